@@ -17,8 +17,9 @@ pairs:
    the smallest class; those members meet the bucket's other components, in
    blocks of bounded size and by step 2, and survivors are confirmed.
 
-So a class is lost only if no band of two linked texts agrees: with 20 bands of
-5 rows, one pair in 100,000 at an overlap of exactly 0.85, far fewer above.
+So a link is lost only if no band of two linked texts agrees. Bands are as long
+as leaves that chance under 1 in 100,000 at the threshold itself: 20 bands of 5
+rows at 0.85, 25 of 4 at 0.8; it falls fast above.
 
 Defined cases: null text, or one without words, has no shingles, is linked with
 nothing and is its own component; rows without doc_id have component null and
@@ -39,8 +40,7 @@ from pyspark.sql import functions as F
 from .common import components, forget, is_empty, short_batches, store
 from .text import U64, mix, raw, shingles, slices
 
-BANDS, ROWS = 20, 5
-HASHES = BANDS * ROWS
+HASHES = 100
 MULTIPLY = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0xA24BAED4963EE407)) | U64(1)
 ADD = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9FB21C651E98DF25))
 
@@ -88,6 +88,11 @@ def figures(docs: DataFrame, k: int = 5, doc_id: str = "doc_id", text: str = "te
     return chosen.mapInArrow(run, f"doc_id {dict(chosen.dtypes)['doc_id']}, n_shingles long, digest binary, signature binary")
 
 
+def band_rows(threshold: float, lost: float = 1e-5) -> int:
+    """The longest band that divides a signature and misses a pair at the threshold with a chance of at most `lost`."""
+    return max(r for r in (1, 2, 4, 5, 10) if (1 - threshold**r) ** (HASHES // r) <= lost or r == 1)
+
+
 def least_equal(threshold: float, miss: float, step: int = 20) -> list[tuple[int, int]]:
     """(n, m): after n values, fewer than m equal ones leave a posterior of under `miss`.
 
@@ -229,7 +234,8 @@ def left_over(bands: DataFrame, leaders: DataFrame, labels: DataFrame, signed: D
 def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float) -> DataFrame:
     """Components (node, component) of the classes in signed (rep, signature); classes without links are left out."""
     threshold = percent / 100
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.expr("signature").substr(b * (4 * ROWS) + 1, F.lit(4 * ROWS))))
+    length = band_rows(threshold)
+    band = F.transform(F.sequence(F.lit(0), F.lit(HASHES // length - 1)), lambda b: F.xxhash64(b, F.col("signature").substr(b * (4 * length) + 1, F.lit(4 * length))))
     bands = store(signed.select("rep", F.explode(band).alias("bucket")), "bands")
     leaders = store(bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket", "leader"), "leaders")
     pairs = bands.join(leaders, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
