@@ -14,8 +14,9 @@ pairs:
 3. survivors are confirmed on their full shingle sets, and linked classes are
    contracted into components;
 4. what step 1 leaves out are pairs of a bucket of which one isn't linked with
-   the smallest class; those members meet the bucket's other components, in
-   blocks of bounded size and by step 2, and survivors are confirmed.
+   the smallest class; those members meet the bucket's other components in
+   blocks of bounded size, by steps 2 and 3 within the block, each pair in the
+   first band that it shares; a block returns only links that join components.
 
 So a link is lost only if no band of two linked texts agrees. Bands are as long
 as leaves that chance under 1 in 100,000 at the threshold itself: 20 bands of 5
@@ -140,6 +141,14 @@ def prune(pairs: DataFrame, signed: DataFrame, threshold: float, miss: float) ->
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def overlap_meets(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets; empty ones meet nothing."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, k: int = 5, block: int = 256) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold: 100 * intersection >= percent * union.
 
@@ -165,12 +174,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, k: int = 5, block:
                     mine = sets[at[i] : at[i + 1]]
                     if not o:
                         held, own = a, mine
-                    elif held == a and len(own) and len(mine):
-                        place = np.searchsorted(own, mine)
-                        common = int((own[np.minimum(place, len(own) - 1)] == mine).sum())
-                        if 100 * common >= percent * (len(own) + len(mine) - common):
-                            found[0].append(a)
-                            found[1].append(b)
+                    elif held == a and overlap_meets(own, mine, percent):
+                        found[0].append(a)
+                        found[1].append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0], part.schema.field("a").type), pa.array(found[1], part.schema.field("a").type)], ["a", "b"])
 
     # the row of a itself comes first in its group: the sort is on (a, _s, _o)
@@ -178,57 +184,131 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, k: int = 5, block:
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def left_over(bands: DataFrame, leaders: DataFrame, labels: DataFrame, signed: DataFrame, threshold: float, miss: float, block: int = 1024) -> DataFrame:
-    """Surviving pairs of a bucket of which one member is in another component than the bucket's smallest class.
+def mixed_cells(bands: DataFrame, leaders: DataFrame, labels: DataFrame, signed: DataFrame, block: int = 512) -> DataFrame:
+    """(bucket, band, i, j, side, rep, component, signature): what step 4 compares.
 
-    Members of the smallest class's component are dealt to blocks; the others
-    go to every block, in blocks of their own kind, so no task has more than two
-    blocks of a bucket and pairs of one component aren't compared.
+    Of the buckets with a member in another component than their smallest class,
+    members of that class's component are dealt to blocks; the others go to every
+    block, in blocks of their own kind. A cell (i, j) holds block i of the others
+    (side 0) against block j (side 1), so no task has more than two blocks of a
+    bucket, and pairs of attached members meet nowhere.
     """
     named = bands.join(leaders, "bucket").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = named.select("bucket", "rep", "leader", F.coalesce("component", "rep").alias("component"))
+    named = named.select("bucket", "band", "rep", "leader", F.coalesce("component", "rep").alias("component"))
     named = store(named.join(labels.select(F.col("node").alias("leader"), F.col("component").alias("_lead")), "leader", "left").withColumn("other", F.col("component") != F.coalesce("_lead", "leader")).drop("_lead"), "members")
     mixed = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("other").cast("long")).alias("d")).where("d > 0 and m > 2")
     rows = named.where("rep <> leader").join(mixed, "bucket")
     spot = F.xxhash64("rep")
     blocks = F.floor(F.col("m") / block) + 1
     mine, others = F.floor(F.col("d") / block) + 1, F.col("other")
-    # cells (i, j): block i of the others against block j of all; j < blocks holds the attached, from there on the others
     home = F.pmod(spot, F.when(others, mine).otherwise(blocks))
+    # columns j below `blocks` hold the attached, from there on the others
     as_row = F.transform(F.sequence(F.lit(0), blocks + mine - 1), lambda j: F.struct(home.alias("i"), j.alias("j"), F.lit(0).alias("side")))
     as_column = F.transform(F.sequence(F.lit(0), mine - 1), lambda i: F.struct(i.alias("i"), F.when(others, blocks + home).otherwise(home).alias("j"), F.lit(1).alias("side")))
-    cells = rows.select("bucket", "rep", "component", F.explode(F.when(others, F.concat(as_row, as_column)).otherwise(as_column)).alias("c"))
-    cells = cells.select("bucket", "c.i", "c.j", "c.side", "rep", "component").join(signed.select("rep", "signature"), "rep")
+    cells = rows.select("bucket", "band", "rep", "component", F.explode(F.when(others, F.concat(as_row, as_column)).otherwise(as_column)).alias("c"))
+    cells = store(cells.select("bucket", "band", "c.i", "c.j", "c.side", "rep", "component").join(signed.select("rep", "signature"), "rep"), "mixed")
+    forget(named)
+    return cells
+
+
+class _Cell:
+    """The side 0 of a cell while its side 1 goes by."""
+
+    def __init__(self, bounds: list[tuple[int, int]], length: int) -> None:
+        self.bounds, self.length, self.key = bounds, length, None
+
+    def start(self, key: tuple) -> None:
+        self.key, self.reps, self.comps, self.sets, self._signs, self.signs = key, [], [], [], [], None
+        self.parent: dict = {}
+
+    def hold(self, rep, comp, sign: np.ndarray, own: np.ndarray | None = None) -> None:
+        self.reps.append(rep)
+        self.comps.append(comp)
+        self.sets.append(own)
+        self._signs.append(sign)
+
+    def root(self, comp):
+        while (up := self.parent.get(comp, comp)) != comp:
+            comp = up
+        return comp
+
+    def candidates(self, band: int, comp, sign: np.ndarray) -> np.ndarray:
+        """Held rows of other components that the comparison leaves and that no earlier band has shown to this row, likeliest first."""
+        if not self.reps:
+            return np.zeros(0, np.int64)
+        if self.signs is None:
+            self.signs, self.names = np.stack(self._signs), np.array(self.comps)
+        near = surviving(self.signs, np.broadcast_to(sign, self.signs.shape), self.bounds)
+        near = near[self.names[near] != comp]
+        equal = self.signs[near] == sign
+        before = equal[:, : band * self.length].reshape(len(near), band, self.length).all(2).any(1) if band else np.zeros(len(near), bool)
+        return near[~before][np.argsort(-equal[~before].sum(1), kind="stable")]
+
+
+def _keys(batch: pa.RecordBatch) -> list[tuple]:
+    return list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True))
+
+
+def left_over(cells: DataFrame, docs: DataFrame, percent: int, miss: float, k: int, length: int) -> DataFrame:
+    """Links (a, b) between different components that mixed_cells() holds.
+
+    A first pass on signatures finds the rows that have a candidate at all; only
+    their texts are fetched. A second pass confirms candidates on the full sets
+    where it finds them and emits a link only between rows that the cell hasn't
+    joined yet, so a cell returns less than one link for each of its rows.
+    """
     short_batches(cells.sparkSession)
-    bounds, kind = least_equal(threshold, miss), dict(cells.dtypes)["rep"]
+    bounds, kind = least_equal(percent / 100, miss), dict(cells.dtypes)["rep"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rep, comp, held, sign = None, [], [], [], None
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, hit = _Cell(bounds, length), set()
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True))
-            sides, reps, comps = (batch.column(c).to_pylist() for c in ("side", "rep", "component"))
-            signs, made = _matrix(batch.column("signature")), ([], [])
-            for r in range(batch.num_rows):
-                if keys[r] != key:
-                    key, rep, comp, held, sign = keys[r], [], [], [], None
-                if not sides[r]:
-                    rep.append(reps[r])
-                    comp.append(comps[r])
-                    held.append(signs[r])
-                elif rep:
-                    sign = np.stack(held) if sign is None else sign
-                    apart = np.array([c != comps[r] for c in comp])
-                    for p in surviving(sign, np.broadcast_to(signs[r], sign.shape), bounds):
-                        if apart[p]:
-                            low, high = sorted((rep[p], reps[r]))
-                            made[0].append(low)
-                            made[1].append(high)
-            yield pa.RecordBatch.from_arrays([pa.array(x, batch.schema.field("rep").type) for x in made], ["a", "b"])
-
-    sorted_cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side")
-    pairs = store(sorted_cells.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "left-over")
-    forget(named)
-    return pairs
+            id_type, out = batch.schema.field("rep").type, []
+            signs = _matrix(batch.column("signature"))
+            for r, (key, band, side, rep, comp) in enumerate(zip(_keys(batch), *(batch.column(c).to_pylist() for c in ("band", "side", "rep", "component")), strict=True)):
+                if key != cell.key:
+                    cell.start(key)
+                    hit = set()
+                if not side:
+                    cell.hold(rep, comp, signs[r])
+                elif len(near := cell.candidates(band, comp, signs[r])):
+                    out.append((*key, 1, rep))
+                    out.extend((*key, 0, cell.reps[p]) for p in near if p not in hit)
+                    hit.update(near.tolist())
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), id_type]
+            yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], t) for n, t in enumerate(types)], ["bucket", "i", "j", "side", "rep"])
+
+    order = ["bucket", "i", "j", "side", "rep"]
+    hits = store(cells.repartition("bucket", "i", "j").sortWithinPartitions(*order).mapInArrow(look, f"bucket long, i long, j long, side int, rep {kind}"), "hits")
+    if is_empty(hits):
+        return hits.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    texts = store(_texts(docs, hits.select("rep").distinct()), "texts")
+    full = cells.join(hits, order, "left_semi").join(texts, "rep")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = _Cell(bounds, length)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets, at = shingles(*raw(part.column("text")), k)
+                signs, made = _matrix(part.column("signature")), ([], [])
+                for r, (key, band, side, rep, comp) in enumerate(zip(_keys(part), *(part.column(c).to_pylist() for c in ("band", "side", "rep", "component")), strict=True)):
+                    mine = sets[at[r] : at[r + 1]]
+                    if key != cell.key:
+                        cell.start(key)
+                    if not side:
+                        cell.hold(rep, comp, signs[r], mine)
+                        continue
+                    for p in cell.candidates(band, comp, signs[r]):
+                        x, y = cell.root(comp), cell.root(cell.comps[p])
+                        if x != y and overlap_meets(cell.sets[p], mine, percent):
+                            cell.parent[max(x, y)] = min(x, y)
+                            made[0].append(min(rep, cell.reps[p]))
+                            made[1].append(max(rep, cell.reps[p]))
+                yield pa.RecordBatch.from_arrays([pa.array(x, part.schema.field("rep").type) for x in made], ["a", "b"])
+
+    found = store(full.select("bucket", "band", "i", "j", "side", "rep", "component", "signature", "text").repartition("bucket", "i", "j").sortWithinPartitions(*order).mapInArrow(settle, f"a {kind}, b {kind}").distinct(), "left-over")
+    forget(hits, texts)
+    return found
 
 
 def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float) -> DataFrame:
@@ -236,7 +316,7 @@ def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float)
     threshold = percent / 100
     length = band_rows(threshold)
     band = F.transform(F.sequence(F.lit(0), F.lit(HASHES // length - 1)), lambda b: F.xxhash64(b, F.col("signature").substr(b * (4 * length) + 1, F.lit(4 * length))))
-    bands = store(signed.select("rep", F.explode(band).alias("bucket")), "bands")
+    bands = store(signed.select("rep", F.posexplode(band).alias("band", "bucket")), "bands")
     leaders = store(bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket", "leader"), "leaders")
     pairs = bands.join(leaders, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     pending = store(prune(pairs, signed, threshold, miss), "pending")
@@ -251,14 +331,13 @@ def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float)
         edges = store(edges.unionByName(confirm(rest, texts, percent, k)), "edges")
         labels = components(edges)
     forget(pending, needed, rest)
-    more = left_over(bands, leaders, labels, signed, threshold, miss)
-    if not is_empty(more):
-        needed = store(more.select(F.col("a").alias("rep")).union(more.select(F.col("b").alias("rep"))).distinct(), "needed")
-        extra = store(_texts(docs, needed), "texts")
-        edges = store(edges.unionByName(confirm(more, extra, percent, k)), "edges")
-        labels = components(edges)
-        forget(needed, extra)
-    forget(bands, leaders, texts, more)
+    cells = mixed_cells(bands, leaders, labels, signed)
+    if not is_empty(cells):
+        more = left_over(cells, docs, percent, miss, k, length)
+        if not is_empty(more):
+            edges = store(edges.unionByName(more), "edges")
+            labels = components(edges)
+    forget(bands, leaders, texts, cells)
     return labels
 
 
