@@ -1 +1 @@
-
+"""Operators over DataFrames: grids, time, labels, sampling, statistics, metrics, learning."""
