@@ -47,14 +47,20 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").alias("mun"), half_year("o_orderdate").alias("semestre"), F.col("c_mktsegment").alias("cultivo"), F.col("o_totalprice").alias("area"), "o_orderkey", "o_custkey")
 
 
-#: A square of cells from part keys: row = (key - 1) div 40, col = (key - 1) % 40, value = size.
-CELLS_SQL = "(SELECT ((p_partkey - 1) // 40)::INT AS row, ((p_partkey - 1) % 40)::INT AS col, p_size::DOUBLE AS value, p_retailprice AS price FROM part WHERE p_partkey <= 1600)"
+#: Cells 40 to a row from all part keys: row = key div 40, col = key % 40, value = size.
+COLUMNS = 40
+CELLS_SQL = "(SELECT (p_partkey // 40)::INT AS row, (p_partkey % 40)::INT AS col, p_size::DOUBLE AS value, p_retailprice AS price FROM part)"
+LAST_ROW_SQL = "(SELECT max(p_partkey) // 40 FROM part)"
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey") - 1
-    part = table(spark, sf_dir, "part").where("p_partkey <= 1600")  # the grid has 40 x 40 cells
-    return part.select(F.floor(key / 40).cast("int").alias("row"), F.pmod(key, F.lit(40)).cast("int").alias("col"), F.col("p_size").cast("double").alias("value"), F.col("p_retailprice").alias("price"))
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(F.floor(key / COLUMNS).cast("int").alias("row"), F.pmod(key, F.lit(COLUMNS)).cast("int").alias("col"), F.col("p_size").cast("double").alias("value"), F.col("p_retailprice").alias("price"))
+
+
+def cell_rows(spark: SparkSession, sf_dir: str) -> int:
+    """The grid's height, a fact of its profile."""
+    return int(cells(spark, sf_dir).agg(F.max("row")).first()[0]) + 1
 
 
 #: Rows with a chance p, a truth y and a weight: late returns scored by discount.

@@ -1 +1 @@
-
+"""Readers, Python data sources and sinks."""
