@@ -60,7 +60,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 17) -> Iterator[pa.RecordBatch]:
     """Runs of rows of about `most` bytes of text; a longer text is a run of its own."""
     sizes = batch.column(column).cast(pa.large_string()).fill_null("")
     at = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset : sizes.offset + len(sizes) + 1] if len(sizes) else np.zeros(1, np.int64)
