@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import agronomy
-from ..functions.names import MODEL_CLASSES, class_id
+from ..functions import agronomy, vectors
+from ..functions.names import MODEL_CLASSES, UNFIT, class_id
 from ..functions.semantics import first_argmax
 from ..operators import labels
 
@@ -27,16 +27,23 @@ SOFT = tuple(f"prob_{c}" for c in MODEL_CLASSES)
 COLUMNS = (*META, *STATIC, *SEASONAL, *HARD, *SOFT)
 
 
-def soft_target(distribution: Column) -> list[Column]:
-    """A column for each class from a map of shares: outside classes count as other, rows sum to 1 where anything is known."""
-    known = F.transform(F.map_entries(distribution), lambda e: F.struct(F.when(e["key"].isin(*MODEL_CLASSES), e["key"]).otherwise("Otros_cultivos").alias("k"), e["value"].cast("double").alias("v")))
-    share = lambda c: F.aggregate(F.filter(known, lambda s: s["k"] == c), F.lit(0.0), lambda a, s: a + s["v"])
-    whole = F.aggregate(known, F.lit(0.0), lambda a, s: a + s["v"])
-    return [F.when(whole > 0, share(c) / whole).otherwise(0.0).alias(f"prob_{c}") for c in MODEL_CLASSES]
+def soft_vector(distribution: str) -> Column:
+    """Shares of all classes in order, from a map of shares: outside classes count as other, the sum is 1 where anything is known and 0 elsewhere.
+
+    One array, so that later columns refer to it instead of repeating it.
+    """
+    pairs = F.transform(F.map_entries(distribution), lambda e: F.struct(F.when(e["key"].isin(*MODEL_CLASSES), e["key"]).otherwise("Otros_cultivos").alias("k"), e["value"].cast("double").alias("v")))
+    names = F.array(*[F.lit(c) for c in MODEL_CLASSES])
+    sums = F.transform(names, lambda c: F.aggregate(F.filter(pairs, lambda s: s["k"] == c), F.lit(0.0), lambda t, s: t + s["v"]))
+    return F.coalesce(vectors.row_normalised(sums), F.array_repeat(F.lit(0.0), len(MODEL_CLASSES)))
+
+
+def one_hot(kind: Column) -> Column:
+    return F.transform(F.array(*[F.lit(c) for c in MODEL_CLASSES]), lambda c: F.when(c == kind, 1.0).otherwise(0.0))
 
 
 def labelled(cells: DataFrame, monitored: DataFrame, regions: DataFrame, yields: DataFrame) -> DataFrame:
-    """Hard and soft labels of cells (cell, semestre, cod_mun, votes, ndvi_max).
+    """Hard and soft labels of cells (cell, semestre, cod_mun, votes, ndvi_max): soft as the array `soft`.
 
     monitored: (cell, semestre, cultivo, ord), the first crop in order wins.
     regions: (cod_mun, semestre, distribution). yields: (cod_mun, semestre, cultivo, rendimiento).
@@ -44,18 +51,16 @@ def labelled(cells: DataFrame, monitored: DataFrame, regions: DataFrame, yields:
     its soft one; a cell of the proxy is wholly unfit.
     """
     first = monitored.groupBy("cell", "semestre").agg(F.min_by("cultivo", "ord").alias("_m"))
-    df = cells.join(first, ["cell", "semestre"], "left").join(regions, ["cod_mun", "semestre"], "left")
-    df = df.select("*", *soft_target(F.col("distribution")))
-    mass = sum((F.col(c) for c in SOFT), F.lit(0.0))
-    top = F.when(mass > 0, F.get(F.array(*[F.lit(c) for c in MODEL_CLASSES]), first_argmax(F.array(*SOFT))))
-    kind, confidence, source = labels.prioritised(F.col("_m"), top, labels.unfit("votes", "ndvi_max"))
+    # a row for each region and semester: its vector and dominant class are made once, not for each cell
+    dominant = F.get(F.array(*[F.lit(c) for c in MODEL_CLASSES]), first_argmax("_soft"))
+    soft = regions.select("cod_mun", "semestre", soft_vector("distribution").alias("_soft")).select("cod_mun", "semestre", "_soft", F.when(vectors.total("_soft") > 0, dominant).alias("_top"))
+    df = cells.join(first, ["cell", "semestre"], "left").join(soft, ["cod_mun", "semestre"], "left")
+    kind, confidence, source = labels.prioritised(F.col("_m"), F.col("_top"), labels.unfit("votes", "ndvi_max"))
     df = df.select("*", kind.alias("cultivo"), confidence.alias("confianza"), source.alias("fuente"))
-    one_hot = lambda c: F.when(F.col("fuente") == "noapto_proxy", F.lit(1.0 if c == "prob_No_apto" else 0.0)).when((mass == 0) & F.col("_m").isNotNull(), (F.col("_m") == c.removeprefix("prob_")).cast("double")).otherwise(F.col(c))
-    df = df.select(*[c for c in df.columns if c not in SOFT], *[one_hot(c).alias(c) for c in SOFT])
+    vector = F.when(F.col("fuente") == "noapto_proxy", one_hot(F.lit(UNFIT))).when(F.col("_top").isNull(), one_hot(F.col("_m"))).otherwise(F.col("_soft"))
     rate = yields.select("cod_mun", "semestre", "cultivo", F.col("rendimiento").alias("rendimiento_tha"))
-    named = df.join(rate, ["cod_mun", "semestre", "cultivo"], "left")
-    ident = F.coalesce(class_id("cultivo"), F.when(mass > 0, first_argmax(F.array(*SOFT))))
-    return named.withColumn("cultivo_id", ident).drop("_m", "distribution")
+    named = df.withColumn("soft", vector).join(rate, ["cod_mun", "semestre", "cultivo"], "left")
+    return named.withColumn("cultivo_id", F.coalesce(class_id("cultivo"), class_id("_top"))).drop("_m", "_soft", "_top")
 
 
 def derived(df: DataFrame) -> DataFrame:
@@ -73,6 +78,7 @@ def derived(df: DataFrame) -> DataFrame:
 
 def assembled(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
     """The contract's columns in order, absent ones as typed missing values, rows without any label left out, ids running on across semesters."""
+    df = df.select(*[c for c in df.columns if c != "soft"], *[F.get("soft", F.lit(i)).alias(c) for i, c in enumerate(SOFT)]) if "soft" in df.columns else df
     have = set(df.columns)
     missing = [F.lit(None).cast((types or {}).get(c, "double")).alias(c) for c in COLUMNS if c not in have and c != "pixel_id"]
     kept = df.select("*", *missing).where(F.length("cultivo") > 0)

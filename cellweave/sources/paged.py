@@ -1,6 +1,6 @@
 """A Python data source over pages of JSON rows, as paged services hand them out.
 
-    spark.dataSource.register(PagedJson)
+    register(spark)
     spark.read.format("paged_json").schema("id long, dept string").options(path=folder, pages=12).load()
 
 Each page is a partition. Pages come from a folder of page_<n>.json files (a
@@ -15,6 +15,7 @@ import json
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 from pyspark.sql.types import StructType
 
@@ -61,3 +62,9 @@ class PagedJson(DataSource):
 
     def reader(self, schema: StructType) -> PagedReader:
         return PagedReader(schema, dict(self.options))
+
+
+def register(spark: SparkSession) -> None:
+    """Registers the source and lets filters reach it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PagedJson)
