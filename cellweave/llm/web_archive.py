@@ -17,8 +17,9 @@ Defined cases: null html is an empty payload, and empty payloads are equal ones
 when `least_bytes` is 0; null urls are written without a target; repeated rows
 of a page_id are records of their own, of which equal ones of one page_id have
 one response; a null page_id never outranks another; an empty table gives an
-empty index; other columns are ignored. urls are written percent-encoded where
-they hold control characters or spaces, so that headers stay whole.
+empty index; other columns are ignored. urls with spaces,
+control characters or letters beyond ASCII are written percent-encoded and read
+back as they were.
 """
 
 from __future__ import annotations
@@ -51,6 +52,15 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
 
 
+def target(url: str | None) -> list[tuple[str, str]]:
+    """The url as it is if it is printable ASCII, else percent-encoded with a field that says so."""
+    if url is None:
+        return []
+    if url and all(33 <= ord(c) <= 126 for c in url):
+        return [("WARC-Target-URI", url)]
+    return [("WARC-Target-URI", quote(url, safe="!#$&'()*+,/:;=?@[]~-._")), ("WARC-Target-URI-Encoding", "percent")]
+
+
 def record(page_id, url: str | None, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
     """One gzip member. A revisit holds no payload: its block is a response head without body."""
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -59,7 +69,7 @@ def record(page_id, url: str | None, payload: bytes, digest: str, kind: str, ref
         ("WARC-Type", kind),
         ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}|{digest}|{kind}')}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
-        *([("WARC-Target-URI", quote(url, safe="!#$&'()*+,/:;=?@[]~%-._"))] if url is not None else []),
+        *target(url),
         *([("WARC-Page-ID", str(page_id))] if page_id is not None else []),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Payload-Length", str(len(payload))),
@@ -193,6 +203,8 @@ def read(index: DataFrame, folder: str, gap: int = 1 << 16, most: int = 8 << 20)
                             fields, payload = parse(data[o - start : o - start + n])
                             other = fields.get("WARC-Refers-To-Page-ID")
                             uri = fields.get("WARC-Target-URI")
+                            if "WARC-Target-URI-Encoding" in fields:
+                                uri = unquote(uri)
                             digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                             role = fields["WARC-Type"]
                             if role == "response" and sha1_base32(payload) != digest:
@@ -200,7 +212,7 @@ def read(index: DataFrame, folder: str, gap: int = 1 << 16, most: int = 8 << 20)
                             named = fields.get("WARC-Page-ID")
                             if (named is None) != (p is None) or named is not None and named != str(p):
                                 raise ValueError(f"the index names page {p}, the record {named}")
-                            out.append((p, None if uri is None else unquote(uri), digest, role, None if other is None or other == "None" else type(p)(other), int(fields["WARC-Payload-Length"]), payload if role == "response" else None))
+                            out.append((p, uri, digest, role, None if other in (None, "None") else int(other) if pa.types.is_integer(id_type) else other, int(fields["WARC-Payload-Length"]), payload if role == "response" else None))
                         types = [id_type, pa.string(), pa.string(), pa.string(), id_type, pa.int64(), pa.binary()]
                         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], ["page_id", "url", "digest", "record_type", "refers_to", "payload_bytes", "payload"])
 
