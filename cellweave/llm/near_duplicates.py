@@ -249,11 +249,11 @@ def _keys(batch: pa.RecordBatch) -> list[tuple]:
     return list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True))
 
 
-def left_over(cells: DataFrame, docs: DataFrame, percent: int, miss: float, k: int, length: int) -> DataFrame:
+def left_over(cells: DataFrame, texts: DataFrame, percent: int, miss: float, k: int, length: int) -> DataFrame:
     """Links (a, b) between different components that mixed_cells() holds.
 
     A first pass on signatures finds the rows that have a candidate at all; only
-    their texts are fetched. A second pass confirms candidates on the full sets
+    they get their texts. A second pass confirms candidates on the full sets
     where it finds them and emits a link only between rows that the cell hasn't
     joined yet, so a cell returns less than one link for each of its rows.
     """
@@ -282,7 +282,6 @@ def left_over(cells: DataFrame, docs: DataFrame, percent: int, miss: float, k: i
     hits = store(cells.repartition("bucket", "i", "j").sortWithinPartitions(*order).mapInArrow(look, f"bucket long, i long, j long, side int, rep {kind}"), "hits")
     if is_empty(hits):
         return hits.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
-    texts = store(_texts(docs, hits.select("rep").distinct()), "texts")
     full = cells.join(hits, order, "left_semi").join(texts, "rep")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +306,7 @@ def left_over(cells: DataFrame, docs: DataFrame, percent: int, miss: float, k: i
                 yield pa.RecordBatch.from_arrays([pa.array(x, part.schema.field("rep").type) for x in made], ["a", "b"])
 
     found = store(full.select("bucket", "band", "i", "j", "side", "rep", "component", "signature", "text").repartition("bucket", "i", "j").sortWithinPartitions(*order).mapInArrow(settle, f"a {kind}, b {kind}").distinct(), "left-over")
-    forget(hits, texts)
+    forget(hits)
     return found
 
 
@@ -320,7 +319,8 @@ def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float)
     leaders = store(bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket", "leader"), "leaders")
     pairs = bands.join(leaders, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     pending = store(prune(pairs, signed, threshold, miss), "pending")
-    needed = store(pending.select(F.col("a").alias("rep")).union(pending.select(F.col("b").alias("rep"))).distinct(), "needed")
+    # the texts of all members of shared buckets, fetched once for both confirmations
+    needed = store(bands.join(leaders, "bucket").select("rep").distinct(), "needed")
     texts = store(_texts(docs, needed), "texts")
     # each class first meets its smallest partner; the pairs that this leaves between different components follow
     first = pending.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -333,7 +333,7 @@ def links(docs: DataFrame, signed: DataFrame, percent: int, k: int, miss: float)
     forget(pending, needed, rest)
     cells = mixed_cells(bands, leaders, labels, signed)
     if not is_empty(cells):
-        more = left_over(cells, docs, percent, miss, k, length)
+        more = left_over(cells, texts, percent, miss, k, length)
         if not is_empty(more):
             edges = store(edges.unionByName(more), "edges")
             labels = components(edges)
