@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from . import sql
 from pyspark.sql import functions as F
 
 
@@ -71,7 +73,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge
 
-    return judge(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judge(_read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +104,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_web_archive": sql.WEB_ARCHIVE, "op6_near_duplicates": sql.NEAR_DUPLICATES, "op8_url_filter": sql.URL_FILTER}

@@ -11,6 +11,7 @@ import random
 import re
 import zlib
 
+import compare
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -19,7 +20,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cellweave.llm import common, fingerprints, language, mixing, near_duplicates, neighbours, packing, private_data, quality, url_filter, web_archive
-from cellweave.llm.queries import QUERIES, tokenizer_path
+from cellweave.llm.queries import QUERIES, SQL, tokenizer_path
 from cellweave.llm.text import raw, shingles, word_spans
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -560,3 +561,8 @@ def test_the_session_names_the_scratch_folder(spark):
     kept = common.store(spark.range(3).select(F.col("id")), "probe")
     assert kept.count() == 3
     common.forget(kept)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_queries_equal_their_sql(spark, sf, name):
+    assert compare.mismatch(QUERIES[name](spark, sf), compare.connect(sf), SQL[name]) is None
