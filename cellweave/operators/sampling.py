@@ -28,7 +28,7 @@ def stratified(df: DataFrame, stratum: list[str], key: str, size: int, always: C
     left = max(0, size - kept.count()) if kept is not None else size
     q = quotas(rest, stratum, left)
     place = F.row_number().over(W.partitionBy(*stratum).orderBy(ticket(key, seed), key))
-    chosen = rest.join(F.broadcast(q), stratum).withColumn("_n", place).where((F.col("_n") <= F.col("quota")) & F.lit(left > 0)).select(df.columns)  # a row for each stratum
+    chosen = rest.join(q, stratum).withColumn("_n", place).where((F.col("_n") <= F.col("quota")) & F.lit(left > 0)).select(df.columns)
     return chosen.unionByName(kept) if kept is not None else chosen
 
 
