@@ -61,6 +61,11 @@ def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
 
+def small(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """df marked for broadcast if it is seen to have at most `rows` rows, unmarked otherwise: joins then shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_crc(column) -> F.Column:
     """crc32 of an id written as text."""
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"))

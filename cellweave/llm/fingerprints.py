@@ -188,17 +188,18 @@ def with_next(docs: DataFrame, partitions: int, run, schema: str) -> DataFrame:
     and sent twice: once to its own part and once, as a guest, to the part
     before (the very first one to the last part). The texts are shuffled once.
     """
-    ids = docs.select("doc_id").where("doc_id is not null")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / partitions for i in range(1, partitions)], 10000).alias("q")).first()["q"] if partitions > 1 else []
-    cuts = sorted(set(cuts or []))
-    first = docs.select("doc_id", F.xxhash64("text").alias("h")).orderBy(F.col("doc_id").asc_nulls_first(), "h").limit(1).collect()
-    if not first:
+    wanted = [i / partitions for i in range(1, partitions)] or [0.5]
+    facts = docs.agg(F.percentile_approx("doc_id", wanted, 10000).alias("q"), F.min("doc_id").alias("least"), F.count_if(F.col("doc_id").isNull()).alias("unnamed"), F.count(F.lit(1)).alias("n")).first()
+    if not facts["n"]:
         return docs.limit(0).mapInArrow(run, schema)
+    cuts = sorted(set(facts["q"] or [])) if partitions > 1 else []
+    very_first = F.col("doc_id").eqNullSafe(F.lit(None if facts["unnamed"] else facts["least"]).cast(docs.schema["doc_id"].dataType))
+    hashed = docs.where(very_first).agg(F.min(F.xxhash64("text")).alias("h")).first()["h"]
     part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     own = docs.select(F.coalesce(F.when(F.col("doc_id").isNotNull(), part), F.lit(0)).cast("int").alias("_part"), F.lit(0).alias("_guest"), "doc_id", "text")
     # guests: the rows of at most `partitions` boundary ids
     guests = docs.where(F.col("doc_id").isin(cuts) if cuts else F.lit(False)).select((part - 1).cast("int").alias("_part"), F.lit(1).alias("_guest"), "doc_id", "text")
-    start = docs.where(F.col("doc_id").eqNullSafe(F.lit(first[0]["doc_id"])) & (F.xxhash64("text") == first[0]["h"])).select(F.lit(len(cuts)).alias("_part"), F.lit(2).alias("_guest"), "doc_id", "text")
+    start = docs.where(very_first & (F.xxhash64("text") == hashed)).select(F.lit(len(cuts)).alias("_part"), F.lit(2).alias("_guest"), "doc_id", "text")
     return own.unionByName(guests).unionByName(start).repartition(partitions, "_part").sortWithinPartitions("_part", "_guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).mapInArrow(run, schema)
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches, text_crc
+from .common import short_batches, small, store, text_crc
 from .text import BYTE_LOWER, U64, mix, raw, slices
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -123,9 +123,9 @@ def fit(docs: DataFrame, per_language: int = 2000, least: float = 2e-5, doc_id:
     """Learn from the labelled rows given. Counts of hashed n-grams by language are summed in Spark and cut to shares of at least `least`."""
     short_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = small(store(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"))
     ticket = F.pmod(F.xxhash64(F.lit(77), "doc_id"), F.lit(1 << 30))
-    sample = rows.join(F.broadcast(known), "lang").where(ticket < F.lit(float(per_language)) / F.col("n") * float(1 << 30)).select("text", "lang")  # known: a row for each language
+    sample = rows.join(known, "lang").where(ticket < F.lit(float(per_language)) / F.col("n") * float(1 << 30)).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,9 +138,9 @@ def fit(docs: DataFrame, per_language: int = 2000, least: float = 2e-5, doc_id:
                     found, n = np.unique(hashed[np.isin(owner, chosen)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(found)), pa.array(found.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
-    counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    held = counted.join(F.broadcast(totals), "lang").where(F.col("n") >= F.greatest(F.lit(least) * F.col("total"), F.lit(1))).select("lang", "gram")
+    counted = store(sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    totals = small(store(counted.groupBy("lang").agg(F.sum("n").alias("total")), "totals"))
+    held = counted.join(totals, "lang").where(F.col("n") >= F.greatest(F.lit(least) * F.col("total"), F.lit(1))).select("lang", "gram")
     members: dict[str, list] = {}
     for r in held.groupBy("lang").agg(F.collect_list("gram").alias("grams")).toLocalIterator():  # at most 1 / least for each language
         members[r["lang"]] = r["grams"]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import forget, is_empty, store
+from .common import forget, is_empty, small, store
 
 
 class Hashing:
@@ -230,7 +230,7 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20,
     found = store(best(search_blocks(dealt, routed.join(queries, "query").select("g", "keys", "query", "vec"), n + 1), n + 1), "found")
 
     # shortfall: fewer than there are vectors of the query's length, itself among them
-    lengths = F.broadcast(data.groupBy(F.size("vec").alias("_l")).agg(F.count(F.lit(1)).alias("_n")))  # a row for each length
+    lengths = small(store(data.groupBy(F.size("vec").alias("_l")).agg(F.count(F.lit(1)).alias("_n")), "lengths"))
     enough = queries.join(found.groupBy("query").agg(F.count(F.lit(1)).alias("_f")), "query", "left").join(lengths, F.size("vec") == F.col("_l"))
     short = store(enough.where(F.coalesce("_f", F.lit(0)) < F.least(F.lit(n + 1), "_n")).select("query", "vec"), "short")
     if not is_empty(short):
