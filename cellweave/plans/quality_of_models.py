@@ -327,3 +327,45 @@ def oversampled_minority(spark, sf):
         return out[["label", "x"]]
 
     return e.groupBy("label", "part").applyInPandas(run, "label int, x array<double>")  # parts of about 256 rows of a class
+
+
+LONG_SQL = f"(SELECT vec_id, label, unnest([0, 1, 2]) AS k, unnest([p0, p1, p2]) AS p FROM {CHANCES_SQL})"
+
+
+def _one_against_rest(by: str) -> str:
+    """ROC area of each group from the mean rank of its positives; ties share a rank."""
+    part = f"PARTITION BY {by}" if by else ""
+    keys = f"{by}, " if by else ""
+    ranked = f"SELECT {keys}(k = label)::INT AS y, rank() OVER ({part} ORDER BY p) + (count(*) OVER ({part + ' ,' if part else 'PARTITION BY '} p) - 1) / 2.0::DOUBLE AS r FROM {LONG_SQL}"
+    return f"SELECT {keys}(sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE) / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0))::DOUBLE AS auc FROM ({ranked}) {'GROUP BY ' + by if by else ''}"
+
+
+@query(f"SELECT 'macro' AS name, round(avg(auc), 6) AS roc_auc FROM ({_one_against_rest('k')}) UNION ALL SELECT 'micro', round(auc, 6) FROM ({_one_against_rest('')}) UNION ALL SELECT 'clase_' || k, round(auc, 6) FROM ({_one_against_rest('k')})")
+def one_against_rest_roc(spark, sf):
+    long = chances(spark, sf).select("label", F.posexplode("p").alias("k", "p")).select("k", "p", (F.col("k") == F.col("label")).cast("int").alias("y"))
+    by = [metrics.auc(long.where(F.col("k") == k), "y", "p").select(F.lit(f"clase_{k}").alias("name"), "roc_auc") for k in range(3)]
+    each = by[0].unionByName(by[1]).unionByName(by[2])
+    macro = each.agg(F.avg("roc_auc").alias("roc_auc")).select(F.lit("macro").alias("name"), "roc_auc")
+    micro = metrics.auc(long, "y", "p").select(F.lit("micro").alias("name"), "roc_auc")
+    return each.unionByName(macro).unionByName(micro).select("name", r("roc_auc").alias("roc_auc"))
+
+
+@query(f"SELECT round(sum(w * c) / sum(w), 6) AS loss FROM (SELECT vec_id, max(CASE WHEN label = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END) AS w, -sum((CASE WHEN k = label THEN 0.9::DOUBLE ELSE 0.05::DOUBLE END) * ln(greatest(p, 1e-9))) AS c FROM {LONG_SQL} GROUP BY 1)")
+def weighted_swap_loss(spark, sf):
+    """Cross-entropy of the predictions under soft assignments, weighted by row: the value of the training loss."""
+    q = F.transform("p", lambda v, i: F.when(i == F.col("label"), 0.9).otherwise(0.05))
+    cost = -vectors.total(F.zip_with(q, "p", lambda a, b: a * F.ln(F.greatest(b, F.lit(1e-9)))))
+    w = F.when(F.col("label") == 0, 2.0).otherwise(1.0)
+    return chances(spark, sf).agg(r(F.sum(w * cost) / F.sum(w)).alias("loss"))
+
+
+@query(f"SELECT count(*)::BIGINT AS n, round(avg(list_contains(ranked[1:1], 0)::INT), 6) AS recall_1, round(avg(list_contains(ranked[1:2], 0)::INT), 6) AS recall_2, count(*) FILTER (ranked[1] = 1)::BIGINT AS confunde_1, count(*) FILTER (ranked[1] = 2)::BIGINT AS confunde_2 FROM {RANKED_SQL} WHERE label = 0")
+def external_recall(spark, sf):
+    ranked = chances(spark, sf).where("label = 0").select(vectors.top_k("p", 3).alias("ranked"))
+    hit = lambda k: r(F.avg(F.array_contains(F.slice("ranked", 1, k), 0).cast("int"))).alias(f"recall_{k}")
+    return ranked.agg(big(F.count(F.lit(1))).alias("n"), hit(1), hit(2), *[big(F.count_if(F.col("ranked")[0] == k)).alias(f"confunde_{k}") for k in (1, 2)])
+
+
+@query(f"SELECT pred, count(*)::BIGINT AS n, round(avg(w), 6) AS media_w, round(avg(p), 6) AS media_p FROM {PREDICTED_SQL} GROUP BY 1")
+def means_by_prediction(spark, sf):
+    return predicted(spark, sf).groupBy("pred").agg(big(F.count(F.lit(1))).alias("n"), r(F.avg("w")).alias("media_w"), r(F.avg("p")).alias("media_p"))

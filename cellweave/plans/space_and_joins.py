@@ -227,3 +227,13 @@ def overlap_check(spark, sf):
     return half(0).intersect(half(1)).agg(big(F.count(F.lit(1))).alias("shared"))
 
 
+
+
+@query(f"SELECT layer, n, n = (SELECT count(*) FROM part) AS completa, round(lo, 4) AS lo, round(hi, 4) AS hi, lo >= low AND hi <= high AS en_rango FROM (SELECT 'value' AS layer, count(value)::BIGINT AS n, min(value) AS lo, max(value) AS hi, 0.0 AS low, 45.0 AS high FROM {CELLS_SQL} UNION ALL SELECT 'price', count(price), min(price), max(price), 100.0, 1e9 FROM {CELLS_SQL})")
+def layer_validation(spark, sf):
+    """Each layer against the grid's number of cells and its physical range."""
+    c = cells(spark, sf)
+    wide = c.agg(F.count(F.lit(1)).alias("all"), *[f(k).alias(f"{m}_{k}") for k in ("value", "price") for m, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
+    limits = {"value": (0.0, 45.0), "price": (100.0, 1e9)}
+    rows = F.array(*[F.struct(F.lit(k).alias("layer"), big(f"n_{k}").alias("n"), (F.col(f"n_{k}") == F.col("all")).alias("completa"), r(f"lo_{k}", 4).alias("lo"), r(f"hi_{k}", 4).alias("hi"), ((F.col(f"lo_{k}") >= a) & (F.col(f"hi_{k}") <= b)).alias("en_rango")) for k, (a, b) in limits.items()])
+    return wide.select(F.explode(rows).alias("x")).select("x.*")
