@@ -86,7 +86,7 @@ def balance(cells: DataFrame, most: float, rounds: int = 30) -> DataFrame:
         forget(state)
         state = new.select("source_no", "scale", "target", "source_size", "l", "low", "high")
         state._stored_at = new._stored_at
-        if new.where("not done and target < source_size * {}".format(float(most))).limit(1).count() == 0:
+        if new.where(f"not done and target < source_size * {float(most)}").limit(1).count() == 0:
             break
     e = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("l") * F.col("size") / F.col("scale")))
     rate = F.when(F.col("target") >= F.col("source_size") * float(most), F.lit(float(most))).when(F.col("target") <= 0, F.lit(0.0)).otherwise(float(most) / (1 + F.exp(-e)))
