@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..functions.semantics import col
+from .statistics import wide_quantiles
 
 
 def grid(spark, rows: int, cols: int) -> DataFrame:
@@ -77,7 +78,7 @@ def median_filled(cells: DataFrame, rows: int, cols: int, valid_only: bool = Fal
     if valid_only:
         source = cells
     else:
-        whole = cells.agg(F.median("value").alias("_m"))
+        whole = wide_quantiles(cells, ["value"], {"_m_": 0.5}).withColumnRenamed("_m_value", "_m")
         source = cells.crossJoin(F.broadcast(whole)).select("row", "col", F.coalesce("value", "_m").alias("value"))  # one row
     medians = neighbours(source, rows, cols).groupBy("row", "col").agg(F.median("value").alias("_w"))
     return cells.join(medians, ["row", "col"], "left").select("row", "col", F.coalesce("value", "_w").alias("value"))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.semantics import col
+from .ordered import quantiles, running
 
 
 def confusion(df: DataFrame, truth: str, predicted: str, weight: str | None = None) -> DataFrame:
@@ -43,24 +44,21 @@ def summary(df: DataFrame, truth: str, predicted: str, weight: str | None = None
 
 
 def curve(df: DataFrame, y: str, score: str, weight: str | None = None) -> DataFrame:
-    """(score, tp, fp, positives, negatives): cumulative weights by falling score, one row for each distinct score.
+    """(score, p, n, tp, fp, positives, negatives): weights of a score and of all scores from it upwards, one row for each distinct score.
 
-    Ties share a row: rows are summed by score before the window runs.
+    Ties share a row: rows are summed by score before anything is ordered, and
+    the running sums go bucket by bucket.
     """
     w = F.col(weight) if weight else F.lit(1.0)
-    sums = df.groupBy(F.col(score).alias("score")).agg(F.sum(F.when(F.col(y) == 1, w).otherwise(0.0)).alias("_p"), F.sum(F.when(F.col(y) == 1, 0.0).otherwise(w)).alias("_n"))
-    down = W.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = W.partitionBy()
-    return sums.select("score", F.sum("_p").over(down).alias("tp"), F.sum("_n").over(down).alias("fp"), F.sum("_p").over(whole).alias("positives"), F.sum("_n").over(whole).alias("negatives"))
+    sums = df.groupBy(F.col(score).alias("score")).agg(F.sum(F.when(F.col(y) == 1, w).otherwise(0.0)).alias("p"), F.sum(F.when(F.col(y) == 1, 0.0).otherwise(w)).alias("n"))
+    whole = sums.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
+    return running(sums, "score", {"tp": "p", "fp": "n"}, descending=True).crossJoin(F.broadcast(whole))  # one row
 
 
 def areas(points: DataFrame) -> DataFrame:
     """(roc_auc, average_precision) of a curve: trapezoids, and the sum of precision times gained recall."""
-    w = W.orderBy(F.desc("score"))
-    back = lambda c: F.coalesce(F.lag(c).over(w), F.lit(0.0))
-    steps = points.select("tp", "fp", "positives", "negatives", back("tp").alias("_tp"), back("fp").alias("_fp"))
-    roc = F.sum((F.col("fp") - F.col("_fp")) * (F.col("tp") + F.col("_tp")) / 2) / F.max(F.col("positives") * F.col("negatives"))
-    return steps.agg(roc.alias("roc_auc"), F.sum((F.col("tp") - F.col("_tp")) / F.col("positives") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
+    roc = F.sum(F.col("n") * (2 * F.col("tp") - F.col("p")) / 2) / F.max(F.col("positives") * F.col("negatives"))
+    return points.agg(roc.alias("roc_auc"), F.sum(F.col("p") / F.col("positives") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"))
 
 
 def auc(df: DataFrame, y: str, score: str, weight: str | None = None) -> DataFrame:
@@ -84,7 +82,8 @@ def proper_scores(df: DataFrame, y: str, p: str, least: float = 1e-7) -> DataFra
 
 def calibration(df: DataFrame, y: str, p: str, bins: int = 15) -> DataFrame:
     """(bin, mean_p, rate, n) over bins whose edges are exact quantiles of p; equal edges share a bin."""
-    edges = df.agg(F.percentile(F.col(p), F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("_e"))
+    found = quantiles(df.select(F.col(p).alias("value")), [i / bins for i in range(1, bins)], ())
+    edges = found.agg(F.collect_list("value").alias("_e"))
     at = df.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("_e", lambda e: e < F.col(p))))  # one row
     return at.groupBy("bin").agg(F.avg(p).alias("mean_p"), F.avg(F.col(y).cast("double")).alias("rate"), F.count(F.lit(1)).alias("n"))
 

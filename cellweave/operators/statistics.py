@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ordered import quantiles
+
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -48,24 +50,35 @@ def zero_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def quantile(c: str, q: float) -> Column:
+    """Exact quantile of a group of moderate size: its buffer counts each distinct value. Of whole columns, see whole_quantiles."""
     return F.percentile(F.col(c).cast("double"), F.lit(q))
 
 
+def whole_quantiles(df: DataFrame, columns: Sequence[str], wanted: dict[str, float]) -> DataFrame:
+    """(name, one column for each wanted quantile) of whole columns, exact, by running counts."""
+    found = quantiles(long(df, columns), list(dict.fromkeys(wanted.values())))
+    return found.groupBy("name").agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n) for n, q in wanted.items()])
+
+
+def wide_quantiles(df: DataFrame, columns: Sequence[str], wanted: dict[str, float]) -> DataFrame:
+    """One row: a column <prefix><name> for each quantile of each column."""
+    rows = whole_quantiles(df, columns, wanted)
+    return rows.agg(*[F.max(F.when(F.col("name") == c, F.col(n))).alias(f"{n}{c}") for c in columns for n in wanted])
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     d = lambda c: F.col(c).cast("double")
-    return stacked_aggregates(df, columns, {
-        "n": lambda c: F.count(c), "mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_samp(d(c)), "min": lambda c: F.min(d(c)),
-        "q25": lambda c: quantile(c, 0.25), "q50": lambda c: quantile(c, 0.5), "q75": lambda c: quantile(c, 0.75), "max": lambda c: F.max(d(c)),
-    })
+    moments = stacked_aggregates(df, columns, {"n": lambda c: F.count(c), "mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_samp(d(c)), "min": lambda c: F.min(d(c)), "max": lambda c: F.max(d(c))})
+    ranks = whole_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return moments.join(ranks, "name", "left").select("name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def basic(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, population std, percentiles, coefficient of variation, share of zeros."""
     d = lambda c: F.col(c).cast("double")
-    return stacked_aggregates(df, columns, {
-        "mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_pop(d(c)), "p5": lambda c: quantile(c, 0.05), "p95": lambda c: quantile(c, 0.95),
-        "cv": lambda c: F.stddev_pop(d(c)) / (F.abs(F.avg(d(c))) + 1e-9), "zero_share": lambda c: F.avg((d(c) == 0).cast("double")),
-    })
+    moments = stacked_aggregates(df, columns, {"mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_pop(d(c)), "cv": lambda c: F.stddev_pop(d(c)) / (F.abs(F.avg(d(c))) + 1e-9), "zero_share": lambda c: F.avg((d(c) == 0).cast("double"))})
+    ranks = whole_quantiles(df, columns, {"p5": 0.05, "p95": 0.95})
+    return moments.join(ranks, "name", "left").select("name", "mean", "std", "p5", "p95", "cv", "zero_share")
 
 
 def extremes(df: DataFrame, columns: Sequence[str], sigmas: float = 5.0) -> DataFrame:
@@ -133,9 +146,12 @@ def pruned(pairs: Sequence[tuple[str, str, float]], above: float = 0.85) -> list
 
 def imputed(df: DataFrame, medians: Sequence[str] = (), modes: Sequence[str] = ()) -> DataFrame:
     """Missing values take the column's exact median, or its most frequent value (ties to the smaller)."""
-    # percentile and mode keep a count of each distinct value
-    facts = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_m_{c}") for c in medians], *[F.mode(c, True).alias(f"_m_{c}") for c in modes])
-    joined = df.crossJoin(F.broadcast(facts))  # one row
+    joined = df
+    if medians:
+        joined = joined.crossJoin(F.broadcast(wide_quantiles(df, medians, {"_m_": 0.5})))  # one row
+    for c in modes:
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        joined = joined.crossJoin(F.broadcast(counts.orderBy(F.desc("_n"), c).limit(1).agg(F.max(c).alias(f"_m_{c}"))))  # one row
     fill = {c: F.coalesce(F.col(c).cast("double") if c in medians else F.col(c), F.col(f"_m_{c}")) for c in [*medians, *modes]}
     return joined.select(*[fill[c].alias(c) if c in fill else F.col(c) for c in df.columns])
 
@@ -152,14 +168,14 @@ def normalised(df: DataFrame, columns: Sequence[str], low: float = 0.02, high: f
     """Each column between its exact quantiles, clipped to 0 to 1."""
     from ..functions.agronomy import min_max
 
-    facts = df.agg(*[quantile(c, q).alias(f"_{m}_{c}") for c in columns for m, q in (("l", low), ("h", high))])
+    facts = wide_quantiles(df, columns, {"_l_": low, "_h_": high})
     joined = df.crossJoin(F.broadcast(facts))  # one row
     return joined.select(*[min_max(F.col(c).cast("double"), F.col(f"_l_{c}"), F.col(f"_h_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def enveloped(df: DataFrame, reference: DataFrame, columns: Sequence[str], low: float = 0.05, high: float = 0.95, slack: float = 0.1) -> DataFrame:
     """Rows whose columns lie within the reference's quantiles, each widened by a part of itself."""
-    facts = reference.agg(*[quantile(c, q).alias(f"_{m}_{c}") for c in columns for m, q in (("l", low), ("h", high))])
+    facts = wide_quantiles(reference, columns, {"_l_": low, "_h_": high})
     joined = df.crossJoin(F.broadcast(facts))  # one row
     ok = reduce(lambda a, b: a & b, [F.col(c).between(F.col(f"_l_{c}") - slack * F.abs(f"_l_{c}"), F.col(f"_h_{c}") + slack * F.abs(f"_h_{c}")) for c in columns])
     return joined.where(ok).select(df.columns)

@@ -134,8 +134,10 @@ def class_profile_z(spark, sf):
 
 @query("SELECT round(quantile_cont(value, 0.99), 4) AS p99, round(min(value), 6) AS minimo, round(max(value), 6) AS maximo, round(max(value) - min(value), 6) AS rango, round(stddev_pop(value), 6) AS std, round(median(value), 5) AS mediana, count(DISTINCT user_id)::BIGINT AS distintos FROM events")
 def scalar_stats(spark, sf):
-    v = "value"
-    return table(spark, sf, "events").agg(r(statistics.quantile(v, 0.99), 4).alias("p99"), r(F.min(v)).alias("minimo"), r(F.max(v)).alias("maximo"), r(F.max(v) - F.min(v)).alias("rango"), r(F.stddev_pop(v)).alias("std"), r(F.median(v), 5).alias("mediana"), big(F.count_distinct("user_id")).alias("distintos"))
+    e, v = table(spark, sf, "events"), "value"
+    ranks = statistics.wide_quantiles(e, [v], {"p99_": 0.99, "p50_": 0.5})
+    moments = e.agg(r(F.min(v)).alias("minimo"), r(F.max(v)).alias("maximo"), r(F.max(v) - F.min(v)).alias("rango"), r(F.stddev_pop(v)).alias("std"), big(F.count_distinct("user_id")).alias("distintos"))
+    return moments.crossJoin(F.broadcast(ranks)).select(r("p99_value", 4).alias("p99"), "minimo", "maximo", "rango", "std", r("p50_value", 5).alias("mediana"), "distintos")  # one row each
 
 
 @query("SELECT name, distintos, round(d, 6) AS dominancia, (CASE WHEN d > 0.5 THEN 'alta' WHEN d > 0.2 THEN 'media' ELSE 'baja' END) AS nivel FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS name, count(*)::BIGINT AS distintos, max(n) / sum(n)::DOUBLE AS d FROM (SELECT {c}, count(*) AS n FROM part GROUP BY 1)" for c in ("p_brand", "p_type")) + ")")

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import grid, learning, metrics, statistics
+from cellweave.operators import grid, learning, metrics, ordered, statistics
 
 
 @pytest.mark.parametrize("seed", range(5))
@@ -81,3 +81,17 @@ def test_random_search_is_seeded():
 def test_encoder_chances_sum_to_one():
     p = learning.Encoder.random(6, (8, 8), 4).chances(np.array([[1, 2, np.nan, 0, 1, 2.0], [0] * 6]))
     assert np.allclose(p.sum(1), 1) and np.allclose(learning.orthogonal_prototypes(4, 8) @ learning.orthogonal_prototypes(4, 8).T, np.eye(4))
+
+
+def test_running_sums_and_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(5)
+    values = {"a": rng.normal(size=400).round(2), "b": np.array([3.0]), "c": np.repeat([1.0, 2.0], 50)}
+    df = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v] + [("a", None)], "name string, value double")
+    wanted = [0.0, 0.02, 0.25, 0.5, 0.98, 1.0]
+    found = {(r["name"], r["q"]): r["value"] for r in ordered.quantiles(df, wanted).collect()}
+    assert all(abs(found[k, q] - np.quantile(v, q)) < 1e-9 for k, v in values.items() for q in wanted) and len(found) == 18
+    scores = spark.createDataFrame([(float(x), 1) for x in np.unique(values["a"])], "s double, n int")
+    for down in (False, True):
+        rows = sorted(ordered.running(scores, "s", {"upto": "n"}, descending=down, buckets=7).collect(), key=lambda r: r["s"], reverse=down)
+        assert [r["upto"] for r in rows] == list(range(1, len(rows) + 1))
+    assert ordered.quantiles(df.limit(0), wanted).collect() == []
