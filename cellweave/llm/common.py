@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave import importable
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only in local mode and only if none is named."""
@@ -53,7 +55,8 @@ def forget(*frames: DataFrame) -> None:
 
 
 def short_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the Arrow batches that carry whole texts to Python, so that long texts don't add up."""
+    """Bound the Arrow batches that carry whole texts to Python, so that long texts don't add up; workers get to know this package."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
