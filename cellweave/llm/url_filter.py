@@ -27,20 +27,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
+def _after_scheme(url: Column) -> Column:
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substr(url, at + 3)).otherwise("")
+
+
 def host_of(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; empty without one."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring({_sql(url)}, instr({_sql(url)}, '://') + 3)")).otherwise("")
-    return F.coalesce(F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
+    return F.coalesce(F.translate(F.regexp_extract(_after_scheme(url), r"^([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
     """What follows the host up to `?`, `#` or the end."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring({_sql(url)}, instr({_sql(url)}, '://') + 3)")).otherwise("")
-    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
-
-
-def _sql(column: Column) -> str:
-    return column._jc.toString() if hasattr(column, "_jc") else str(column)
+    return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def matched(rules: Sequence[tuple[str, str, str]], host: Column, path: Column) -> tuple[Column, Column]:

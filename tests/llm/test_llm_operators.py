@@ -566,3 +566,9 @@ def test_the_session_names_the_scratch_folder(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_equal_their_sql(spark, sf, name):
     assert compare.mismatch(QUERIES[name](spark, sf), compare.connect(sf), SQL[name]) is None
+
+
+def test_column_names_may_be_anything(spark):
+    pages = spark.createDataFrame([(1, "http://x.org/a", "<a href='//y.net/'>")], "`the id` long, `a url` string, `raw html` string")
+    row = url_filter.judge(pages, page_id="the id", url="a url", html="raw html").first()
+    assert (row["host"], row["path"], row["verdict"]) == ("x.org", "/a", "allow")
