@@ -100,3 +100,16 @@ def test_every_kept_document_is_packed(stages):
 def test_run_applies_all_stages(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and "sequence_id" in out.columns and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_an_empty_corpus_stays_empty_and_other_columns_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.count() == 0
+    wide = spark.createDataFrame([(i, f"word{i} some words of a text", "en", "s", 1, "copies", i) for i in range(8)], "doc_id long, text string, lang string, source string, n_chars long, _copies string, component_id long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns, wide = wide.columns, stage(spark, wide, sf)
+        assert wide.columns == columns
+    assert {r["_copies"] for r in wide.collect()} == {"copies"}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 0
