@@ -1,8 +1,9 @@
 """Personal data by weak supervision: labelers vote, expectation-maximisation weighs them, a classifier decides on spans.
 
 Base spans (email, ip, card, phone) follow fixed patterns and always stay.
-Candidates for more spans are looser forms of the same kinds, ids of persons
-and names after a title. Three labelers vote on every candidate: a regex
+Candidates for more spans are looser forms of the same kinds (a card or phone
+whose pattern ran into a neighbouring number among them), ids of persons and
+names after a title. Three labelers vote on every candidate: a regex
 labeler (is the form strict and are its check digits right), a gazetteer labeler
 (known endings, prefixes, titles, first names) and a context labeler (words
 before the span that announce or exclude such data). A vote is yes, no or none.
@@ -91,6 +92,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 CANDIDATES = {
     "email": re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._-]{0,63} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{2,63}){1,4}"),
     "phone": re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9])00[0-9]{1,3} [0-9]{2,4}(?: [0-9]{2,4}){1,4}(?![0-9])"),
+    "card": re.compile(r"(?<![0-9])(?:[0-9]{16}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[47][0-9]{13})(?![0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Mme|Señor|Señora|Sra|Sr)\.? ([^\W\d_]{2,40}(?: [^\W\d_]{2,40})?)"),
@@ -98,6 +100,7 @@ CANDIDATES = {
 TRIGGERS = {
     "email": ("[at]", "(at)"),
     "phone": ("-", ".", " ", "(", "00"),
+    "card": (),
     "ssn": ("-",),
     "iban": (),
     "name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mada", "Monsieur", "Mme", "Señor", "Sra", "Sr"),
@@ -105,12 +108,14 @@ TRIGGERS = {
 ANNOUNCE = {
     "email": ("mail", "contact", "write", "kontakt", "correo", "courriel"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "cell", "telefon", "teléfono", "téléphone"),
+    "card": ("card", "visa", "master", "credit", "karte", "tarjeta", "carte"),
     "ssn": ("ssn", "social security", "sozialversicherung", "seguridad social", "sécurité sociale"),
     "iban": ("iban", "account", "konto", "cuenta", "compte", "bank"),
     "name": ("name", "dear", "signed", "by", "sehr geehrte", "querido", "cher", "nombre", "nom"),
 }
 EXCLUDE = ("version", "isbn", "issn", "doi", "part no", "serial", "page", "error", "http", "example", "chapter")
 FIRST_NAMES = frozenset("james john robert michael william david maria mary patricia linda anna peter thomas hans klaus ursula petra jean pierre marie claire sophie jose juan carlos carmen ana luis laura elena paul martin sarah".split())
+ISSUERS = frozenset("34 35 37 51 52 53 54 55 62 65".split())
 FIRST_TWO = frozenset("AT BE CH DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
 
 
@@ -141,6 +146,9 @@ def vote(kind: str, text: str, start: int, end: int) -> Candidate:
     elif kind == "phone":
         strict = 1 if len(set(digits)) > 2 and digits[:1] not in ("1",) else -1
         gazetteer = 1 if span[:1] == "(" or digits.startswith("00") else 0
+    elif kind == "card":
+        strict = 1 if luhn(digits) else -1
+        gazetteer = 1 if digits[:1] == "4" or digits[:2] in ISSUERS else -1
     elif kind == "ssn":
         strict = 1 if digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000" else -1
     elif kind == "iban":
@@ -159,7 +167,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[Candidate]:
     digits = re.search(r"[0-9]{2}", text) is not None
     found: list[Candidate] = []
     for kind, pattern in CANDIDATES.items():
-        if kind in ("phone", "ssn", "iban") and not digits or TRIGGERS[kind] and not any(t in text for t in TRIGGERS[kind]):
+        if kind in ("phone", "card", "ssn", "iban") and not digits or TRIGGERS[kind] and not any(t in text for t in TRIGGERS[kind]):
             continue
         for m in pattern.finditer(text):
             a, b = m.span(1) if pattern.groups else m.span()

@@ -345,9 +345,11 @@ def test_private_data_over_a_table(docs, no_docs):
 
 
 def test_the_method_adds_spans_and_keeps_base_ones(spark):
-    texts = ["please call me, my phone is (555) 123-4567 today", "phone: 555-123-4567 or bob [at] mail [dot] com, my mail", "isbn 123-45-6789 in the version list", "my social security ssn 123-45-6789", "Dear Mr Robert Martin, hello", "IBAN DE89370400440532013000 of my account", "mail a@b.org"] * 5
+    texts = ["please call me, my phone is (555) 123-4567 today", "phone: 555-123-4567 or bob [at] mail [dot] com, my mail", "isbn 123-45-6789 in the version list", "my social security ssn 123-45-6789", "Dear Mr Robert Martin, hello", "IBAN DE89370400440532013000 of my account", "mail a@b.org", "hesh +1 (269) 555-3296 4111111111111111 and", "order 27.204.213.132 4012888888881881 x", "number 1234567890123456 of parts"] * 5
     rows = private_data.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    kinds = [[s["kind"] for s in r["spans"]] for r in rows[:7]]
+    kinds = [[s["kind"] for s in r["spans"]] for r in rows[:10]]
+    assert kinds[7] == ["card", "phone"] and kinds[8] == ["ip", "card"] and kinds[9] == []
+    assert [len(r["base"]) for r in rows[7:10]] == [0, 1, 0]
     assert kinds[0] == ["phone"] and "iban" in kinds[5] and kinds[6] == ["email"] and "name" in kinds[4]
     assert all({tuple(s) for s in r["base"]} <= {tuple(s) for s in r["spans"]} for r in rows)
     redacted = private_data.redact(spark.createDataFrame([(1, "write a@b.org now", 3), (2, None, 4)], "doc_id long, text string, kind int")).orderBy("doc_id").collect()
