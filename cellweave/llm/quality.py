@@ -12,7 +12,8 @@ Fitting takes at most about `sample` labelled rows, by a hash of their id;
 scoring reads whole texts.
 
 Defined cases: null or empty text is scored by its empty vector; labels without
-a document, or null ones, aren't learned from; repeated rows get equal scores;
+a document, or null ones, aren't learned from; an id with several labels has the
+largest, one with several texts the smallest; repeated rows get equal scores;
 with no labelled rows at all every score is 0.5, with one class only its share
 of the prior; an empty table gives an empty result; other columns are ignored.
 """
@@ -180,12 +181,12 @@ def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0):
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> QualityModel:
     """Learn from the labelled rows given, of which a hash of their id picks about `sample` at most."""
-    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+    named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     total = named.count()
     ticket = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(1 << 30))
     chosen = named.where(ticket < F.lit(float(sample)) / max(total, 1) * float(1 << 30)) if total > sample else named
     # about `sample` ids, whatever the tables hold: small enough to send to every reader of the texts
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     found = sorted(((F_hash(r["doc_id"]), r["doc_id"], r["text"], r["label"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
     return train([r[2] for r in found], np.array([r[3] for r in found], int))
 
