@@ -3,8 +3,8 @@
 Words and the shape of each word fall into `buckets` hashed rows. A row's index
 vector is a fixed sparse random vector; its context vector sums the index
 vectors of its neighbours over the fitting sample (random indexing). A document
-is the mean of its rows' vectors, of the rows that repeat their neighbour, and
-a few shares of shapes; it goes through one hidden layer to a chance of label 1.
+is the mean of its rows' vectors with the means and spreads of its words' shapes
+(letters, digits, marks, repeats of the word before) and a few sizes; it goes through one hidden layer to a chance of label 1.
 The last fifth of the sample isn't trained on: on it a temperature is fitted, so
 that scores are chances and a threshold other than one half means something.
 
@@ -107,8 +107,8 @@ def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nda
         out[some, width + SHAPES : width + 2 * SHAPES] = np.sqrt(np.maximum(np.add.reduceat(flags[first:last] ** 2, here, axis=0) / size[a : a + 64] - out[some, width : width + SHAPES] ** 2, 0))
     out[full, -3] = np.log1p(counts[full])
     out[full, -2] = [len(np.unique(bucket[x : x + c])) / c for x, c in zip(at, counts[full], strict=True)]
-    breaks = np.add.reduceat((data == 10).astype(np.int64), offsets[:-1][full]) if len(data) else 0
-    out[full, -1] = np.log1p(breaks)
+    breaks = np.concatenate([[0], np.cumsum(data == 10)])
+    out[full, -1] = np.log1p(breaks[offsets[1:]] - breaks[offsets[:-1]])[full]
     return out
 
 

@@ -574,3 +574,19 @@ def test_column_names_may_be_anything(spark):
     pages = spark.createDataFrame([(1, "http://x.org/a", "<a href='//y.net/'>")], "`the id` long, `a url` string, `raw html` string")
     row = url_filter.judge(pages, page_id="the id", url="a url", html="raw html").first()
     assert (row["host"], row["path"], row["verdict"]) == ("x.org", "/a", "allow")
+
+
+def test_scores_do_not_depend_on_neighbouring_rows():
+    texts = [BASE, "\n\n\n", None, " \n", "made", " x y. ", ". z", prose(40, 9), "", "word\n\n", "\n\n"]
+    vectors = quality.index_vectors()
+    together = quality.pooled(vectors, *raw(pa.array(texts, pa.string())))
+    alone = np.concatenate([quality.pooled(vectors, *raw(pa.array([t], pa.string()))) for t in texts])
+    assert np.allclose(together, alone)
+    model = language.LanguageModel.fit({"a": np.arange(5, dtype=np.uint64), "b": np.arange(9, dtype=np.uint64)})
+    assert np.allclose(model.shares(*raw(pa.array(texts, pa.string()))), np.concatenate([model.shares(*raw(pa.array([t], pa.string()))) for t in texts]))
+    hashed, at = language.grams(*raw(pa.array(texts, pa.string())))
+    for i, t in enumerate(texts):
+        assert hashed[at[i] : at[i + 1]].tolist() == language.grams(*raw(pa.array([t], pa.string())))[0].tolist()
+    items = fingerprints.Items.of([t or "" for t in texts])
+    for i, t in enumerate(texts):
+        assert items.values[items.owner == i].tolist() == fingerprints.Items.of([t or ""]).values.tolist()
