@@ -65,8 +65,10 @@ class Items:
         mark = MARK[data]
         cut = mark.copy()
         cut[:-1] &= ~mark[1:]
-        word = (data[1:] == 32) & ((data[:-1] == 100) | (data[:-1] == 101))
-        cut[1:] |= word
+        word = np.zeros(len(data), bool)
+        word[1:] = (data[1:] == 32) & ((data[:-1] == 100) | (data[:-1] == 101))
+        word[offsets[:-1][np.diff(offsets) > 0]] = False  # the byte before a text is another's
+        cut |= word
         ends = np.union1d(np.flatnonzero(cut) + 1, offsets[1:][np.diff(offsets) > 0])
         starts = np.concatenate([[0], ends[:-1]])
         owner = np.searchsorted(offsets, starts, "right") - 1
