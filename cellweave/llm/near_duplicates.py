@@ -357,7 +357,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, miss: float
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = store(figures(named, k), "figures")
     classes = store(rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    signed = classes.select("rep", "signature").dropDuplicates(["rep"])
+    # a table of its own, so that joins on it shuffle both sides and a hot class can be split
+    signed = store(classes.groupBy("rep").agg(F.min("signature").alias("signature")), "signed")
     labels = links(named, signed, percent, k, miss)
     # an id with several texts names one node
     to = classes.select("digest", "rep").join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
