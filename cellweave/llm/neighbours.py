@@ -112,15 +112,20 @@ def _group(key: F.Column, block: F.Column, groups: int) -> F.Column:
     return F.pmod(F.xxhash64(key, block), F.lit(groups)).cast("int")
 
 
-def search_blocks(data: DataFrame, queries: DataFrame, n: int, slack: int = 8) -> DataFrame:
+def search_blocks(data: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     """(query, vec_id, score): the n best of each query in each group, data (g, key, vec_id, vec) and queries (g, keys, query, vec) meeting by g and key.
 
-    A group's rows come as one sorted stream, data first.
+    A group's rows come as one sorted stream, data first. Every row of a bucket
+    whose fast score reaches the n-th best one, less what rounding may take, is
+    scored again exactly, however many tie there.
     """
     vec = dict(data.dtypes)["vec"]
     id_kind = dict(data.dtypes)["vec_id"]
     rows = data.select("g", F.lit(0).alias("o"), F.array("key").alias("keys"), F.col("vec_id").alias("id"), "vec").unionByName(queries.select("g", F.lit(1).alias("o"), "keys", F.col("query").alias("id"), "vec"))
 
+    def inner(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        return (matrix * np.asarray(vector, np.float64)).sum(1)
+
     def answer(keys: np.ndarray, ids: np.ndarray, matrix: list[np.ndarray], asked: list) -> tuple[list, list, list]:
         out: tuple[list, list, list] = ([], [], [])
         order = np.argsort(keys, kind="stable")
@@ -138,17 +143,26 @@ def search_blocks(data: DataFrame, queries: DataFrame, n: int, slack: int = 8) -
             length = len(held[a])
             who = [q for q in who if len(asked[q][1]) == length]
             block = np.stack(held[a:b]).astype(np.float64)
+            largest = np.linalg.norm(block, axis=1).max()
             for i in range(0, len(who), 256):
                 some = who[i : i + 256]
-                scores = np.stack([asked[q][1] for q in some]).astype(np.float64) @ block.T
-                m = min(n + slack, b - a)
-                top = np.argpartition(-scores, m - 1, axis=1)[:, :m] if m < b - a else np.broadcast_to(np.arange(b - a), (len(some), b - a))
-                for q, t in zip(some, top, strict=True):
+                if b - a <= n:
+                    for q in some:
+                        found[q].append((ids[a:b], block))
+                    continue
+                wanted = np.stack([asked[q][1] for q in some]).astype(np.float64)
+                scores = wanted @ block.T
+                margin = 4 * length * np.finfo(float).eps * np.linalg.norm(wanted, axis=1) * largest
+                border = np.partition(scores, b - a - n, axis=1)[:, b - a - n] - margin
+                for q, row in zip(some, scores >= border[:, None], strict=True):
+                    t = np.flatnonzero(row)
+                    if len(t) > 2 * n:  # many ties: cut by exact score and id
+                        t = t[np.lexsort((ids[a + t], -inner(block[t], asked[q][1])))[:n]]
                     found[q].append((ids[a + t], block[t]))
         for (query, vector, _), parts in zip(asked, found, strict=True):
             if parts:
                 near, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-                exact = (np.concatenate([p[1] for p in parts])[first] * np.asarray(vector, np.float64)).sum(1)
+                exact = inner(np.concatenate([p[1] for p in parts])[first], vector)
                 best = np.lexsort((near, -exact))[:n]
                 out[0].extend([query] * len(best))
                 out[1].extend(near[best].tolist())

@@ -518,6 +518,23 @@ def test_neighbours_of_awkward_vectors(spark):
     assert got[200] == {1: (201, 4.0)} and neighbours.nearest(df.limit(0)).collect() == []
 
 
+def test_copies_at_the_border_of_a_bucket_are_those_of_smaller_ids(spark):
+    rng = np.random.default_rng(5)
+    data, queries = [], []
+    for key in range(12):  # 15 better vectors and 30 copies in a bucket of 145, in random order
+        q = rng.normal(size=16)
+        vectors = [q * (2 + i / 10) for i in range(15)] + [q] * 30 + list(-np.abs(rng.normal(size=(100, 1))) * q)
+        ids = rng.permutation(len(vectors))
+        data += [(0, key, key * 1000 + int(i), v.tolist()) for i, v in zip(ids, vectors)]
+        queries.append((0, [key], key, q.tolist(), sorted(key * 1000 + int(i) for i in ids[:15]) + sorted(key * 1000 + int(i) for i in ids[15:45])[:6]))
+    held = spark.createDataFrame(data, "g int, key long, vec_id long, vec array<double>")
+    asked = spark.createDataFrame([q[:4] for q in queries], "g int, keys array<long>, query long, vec array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.search_blocks(held, asked, 21).collect():
+        got[r["query"]].add(r["vec_id"])
+    assert got == {q[2]: set(q[4]) for q in queries}
+
+
 def test_recall_on_the_small_table(spark):
     d = "/root/testdata/sf0.01"
     e = spark.read.parquet(f"{d}/embeddings.parquet").collect()
