@@ -12,8 +12,9 @@ Votes fall into a bounded number of (kind, votes, features) patterns, counted in
 Spark over all documents. Expectation-maximisation on the pattern counts
 estimates each labeler's reliability and each pattern's chance of being personal
 data, without any labels; a logistic classifier of spans is trained on the
-patterns with these chances as soft targets. A candidate that it gives at least
-`threshold` becomes a span if it overlaps no base span or earlier span.
+patterns with these chances as soft targets, each weighed by its share of all
+candidates, so the fit is the same for the same mix at every size. A candidate
+that it gives at least `threshold` becomes a span if it overlaps no base span or earlier span.
 
 Defined cases: null or empty text has no spans; spans are in code points, end
 exclusive; texts are scanned in linear time whatever they hold; repeated rows
@@ -204,7 +205,26 @@ class SpanModel:
         return self.chances[pattern]
 
 
-def learn(counts: dict[str, int], rounds: int = 50, ridge: float = 1.0) -> SpanModel:
+def fitted(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float) -> np.ndarray:
+    """Logistic weights for soft targets y of rows weighed by n: Newton steps, halved while they lose, until none gains."""
+
+    def loss(w: np.ndarray) -> float:
+        return float(n @ (np.logaddexp(0, x @ w) - y * (x @ w)) + ridge / 2 * w @ w)
+
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (n * (y - p)) - ridge * w)
+        while loss(w + step) > loss(w) and np.abs(step).max() > 1e-10:
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() <= 1e-10:
+            break
+    return w
+
+
+def learn(counts: dict[str, int], rounds: int = 50, ridge: float = 1e-6) -> SpanModel:
     """EM over vote patterns for each kind, then the classifier on soft targets."""
     model = SpanModel(kinds=sorted({p.split("|")[0] for p in counts}))
     soft: dict[str, float] = {}
@@ -230,13 +250,8 @@ def learn(counts: dict[str, int], rounds: int = 50, ridge: float = 1.0) -> SpanM
     if soft:
         names = sorted(soft)
         x, y = np.stack([model.row(p) for p in names]), np.array([soft[p] for p in names])
-        n = np.minimum(np.array([counts[p] for p in names], float), 1000.0)
-        w = np.zeros(x.shape[1])
-        for _ in range(25):  # Newton steps with a ridge
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            hessian = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-            w += np.linalg.solve(hessian, x.T @ (n * (y - p)) - ridge * w)
-        model.weights = w
+        n = np.array([counts[p] for p in names], float)
+        model.weights = fitted(x, y, n / n.sum(), ridge)
     return model
 
 

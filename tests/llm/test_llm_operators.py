@@ -356,6 +356,22 @@ def test_the_method_adds_spans_and_keeps_base_ones(spark):
     assert [tuple(r) for r in redacted] == [(1, "write <EMAIL> now", 3), (2, None, 4)]
 
 
+def test_the_span_classifier_weighs_patterns_by_what_they_occur():
+    mix = {"card|1,1,0|4,0": 2000000, "card|-1,-1,0|4,0": 600000, "card|1,-1,0|4,0": 9000, "card|-1,1,0|4,0": 300000, "phone|1,1,0|4,0": 4000, "phone|-1,-1,0|4,0": 900000, "phone|1,-1,0|4,0": 700000, "phone|-1,1,0|4,0": 2000, "name|1,1,0|4,0": 5000, "name|-1,1,0|4,0": 5000, "name|-1,-1,0|4,0": 80000}
+    model, larger = private_data.learn(mix), private_data.learn({p: 1000 * n for p, n in mix.items()})
+    assert all(abs(model.chance(p) - larger.chance(p)) < 5e-3 for p in mix)  # what is left is the prior of EM, which fades
+    for kind in model.kinds:  # the mean chance over all candidates of a kind is that of the soft targets
+        names = [p for p in mix if p.split("|")[0] == kind]
+        n, rates = np.array([mix[p] for p in names], float), model.reliabilities[kind]
+        votes = np.array([[int(x) for x in p.split("|")[1].split(",")] for p in names])
+        odds = np.prod([rates[j, 0, votes[:, j]] / rates[j, 1, votes[:, j]] for j in range(3)], 0)
+        prior = 0.5
+        for _ in range(500):
+            soft = prior * odds / (prior * odds + 1 - prior)
+            prior = (n * soft).sum() / n.sum()
+        assert abs((n * (soft - np.array([model.chance(p) for p in names]))).sum() / n.sum()) < 1e-3
+
+
 # 7 language
 
 
