@@ -34,6 +34,9 @@ from .text import BYTE_LOWER, U64, mix, raw, slices
 LETTER = re.compile(r"[^\W\d_]")
 TURN = [U64(pow(0xC2B2AE3D27D4EB4F, 2 * k + 1, 1 << 64)) for k in range(8)]
 GRAMS = 4
+#: Share of n-grams below which a text is in no known language. On sf0.1, learned without the held-out third, the least
+#: held-out text has 0.39; of texts in a language left out of learning 95 % have less than 0.26, random letters at most 0.04.
+LEAST_SCORE = 0.25
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all rows that its
 predecessor kept; its result is written as Parquet and read again. All stages
 but the last return the columns of documents.
 
-1. language: documents without a known language go.
+1. language: documents without a known language go: those without a letter, and
+   those that the filter of no learned language supports.
 2. near_duplicates: of each group of texts that share 80 % or more of their
    five-word shingles the one with the smallest doc_id stays.
 3. private_data: spans of personal data become <KIND>, n_chars follows.
@@ -30,7 +31,7 @@ from cellweave.llm.queries import tokenizer_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_known(docs, language.fit(docs))
+    return language.keep_known(docs, language.fit(docs), language.LEAST_SCORE)
 
 
 def whole(docs: DataFrame) -> Column:

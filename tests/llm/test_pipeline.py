@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_llm_operators import plain_components, plain_spans, plain_targets, plain_words
 
 import corpus_pipeline
@@ -41,6 +42,19 @@ def test_language_drops_texts_without_letters_only(stages):
     assert collections.Counter(map(tuple, after)) == collections.Counter(map(tuple, want)) and len(want) < len(before)
 
 
+def test_language_drops_unlearned_languages_and_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(3)
+    junk = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60))
+    foreign = [(-1, junk, None), (-2, "Привет, мир: это текст на языке, которого здесь нет", None), (-3, "漢字だけの文章です", None)]
+    german = docs.where("lang = 'de'").select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    others = docs.where("lang <> 'de'")
+    left = [r["doc_id"] for r in corpus_pipeline.known_language(spark, others.unionByName(german).unionByName(spark.createDataFrame(foreign, docs.schema)), "").select("doc_id").collect()]
+    clean = {r["doc_id"] for r in others.collect() if r["text"] is not None and re.search(r"[^\W\d_]", r["text"])}
+    dropped = {r["doc_id"] for r in german.collect()} - set(left)
+    assert clean <= set(left) and not set(left) & {-1, -2, -3} and len(dropped) >= 0.9 * german.count()
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = rows(stages[1]), rows(stages[2])
     component = plain_components([(r["doc_id"], r["text"]) for r in before], 80)
