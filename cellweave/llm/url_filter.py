@@ -4,7 +4,8 @@ Native: DataFrame and SQL functions only. Links are read from the pages' html,
 reduced to distinct host edges with counts before anything is joined, and
 personalised PageRank runs from two seed sets at once: trust flows along links
 from hosts that allow rules fit, distrust flows against links from hosts that
-block rules fit. A host is blocked if distrust makes up at least `threshold` of
+block rules fit. Ranks run until every host that a flow can reach is reached
+and no score grows by more than a 1e-9th of itself. A host is blocked if distrust makes up at least `threshold` of
 what reached it.
 
 Defined cases: a null url, or one without `://`, has an empty host and path,
@@ -15,6 +16,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,23 +63,31 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return ends.where("dst <> '' and dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = 12, damping: float = 0.85, tolerance: float = 0.0) -> DataFrame:
     """Personalised PageRank of several graphs at once.
 
     edges: (kind, src, dst, share), share the part of src's score that goes to dst;
     seeds: (kind, node, seed). Returns (kind, node, score) of all reached nodes.
+    Without `rounds` it runs until no node is new and no score has grown by more
+    than `tolerance` of itself; scores only grow, so a new node counts as grown.
     """
-    score = store(seeds.select("kind", "node", ((1 - damping) * F.col("seed")).alias("score")), "rank")
-    for _ in range(rounds):
+    if rounds is None and tolerance <= 0:
+        raise ValueError("without rounds a tolerance is needed")
+    back = seeds.select("kind", "node", ((1 - damping) * F.col("seed")).alias("score"))
+    score = store(back, "rank")
+    for _ in itertools.count() if rounds is None else range(rounds):
         sent = edges.join(score.select("kind", F.col("node").alias("src"), "score"), ["kind", "src"]).select("kind", F.col("dst").alias("node"), (damping * F.col("score") * F.col("share")).alias("score"))
-        back = seeds.select("kind", "node", ((1 - damping) * F.col("seed")).alias("score"))
-        new = store(sent.unionByName(back).groupBy("kind", "node").agg(F.sum("score").alias("score")), "rank")
+        parts = sent.unionByName(back).withColumn("_old", F.lit(0.0)).unionByName(score.select("kind", "node", F.lit(0.0).alias("score"), F.col("score").alias("_old")))
+        new = store(parts.groupBy("kind", "node").agg(F.sum("score").alias("score"), F.max("_old").alias("_old")), "rank")
+        settled = rounds is None and is_empty(new.where(F.col("score") - F.col("_old") > tolerance * F.col("score")))
         forget(score)
         score = new
-    return score
+        if settled:
+            break
+    return score.select("kind", "node", "score")
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, unknown: str = "allow", page_id: str = "page_id", url: str = "url", html: str = "html", rounds: int = 12) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, unknown: str = "allow", page_id: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) for each page."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
     ruled = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -96,7 +106,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
         ways = found.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(found.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
         out = ways.groupBy("kind", "src").agg(F.sum("n").alias("total"))
         edges = store(ways.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("share")), "shares")
-        scores = spread(edges, seeds, rounds)
+        scores = spread(edges, seeds, rounds, tolerance=tolerance)
         forget(edges)
     hosts = scores.groupBy("node").agg(F.sum(F.when(F.col("kind") == "trust", F.col("score"))).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("score"))).alias("distrust"))
     hosts = hosts.select(F.col("node").alias("host"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -443,6 +443,19 @@ def test_distrust_flows_against_links_and_trust_along_them(spark):
     assert all(abs(r["score"] - score[r["node"]]) < 1e-12 for r in got.collect())
 
 
+def test_flows_reach_the_end_of_a_chain_and_settle_on_a_cycle(spark):
+    link = lambda host: f'<a href="https://{host}/x">'
+    chain = [(i, f"http://h{i}.net/", link(f"h{i + 1}.net" if i < 15 else "seed.com")) for i in range(1, 16)]
+    df = spark.createDataFrame([(0, "http://seed.com/de/", ""), *chain], "page_id long, url string, html string")
+    assert {r["verdict"] for r in url_filter.judge(df, tolerance=0.5).collect()} == {"block"}  # a new host goes on at any tolerance
+    nodes, share = "abcd", {("a", "b"): 1.0, ("b", "c"): 1.0, ("c", "a"): 0.9, ("c", "d"): 0.1}
+    flow = np.array([[share.get((s, d), 0.0) for s in nodes] for d in nodes])
+    want = np.linalg.solve(np.eye(4) - 0.85 * flow, [0.15, 0, 0, 0])
+    edges = spark.createDataFrame([("trust", s, d, w) for (s, d), w in share.items()], "kind string, src string, dst string, share double")
+    got = url_filter.spread(edges, spark.createDataFrame([("trust", "a", 1.0)], "kind string, node string, seed double"), rounds=None, tolerance=1e-4)
+    assert all(abs(r["score"] / want[nodes.index(r["node"])] - 1) < 1e-3 for r in got.collect())
+
+
 # 9 mixing
 
 
