@@ -16,6 +16,14 @@ def test_equals_sql(spark, sf, con, name):
     assert compare.mismatch(QUERIES[name](spark, sf), con, SQL[name]) is None
 
 
+@pytest.mark.parametrize(("name", "step", "start", "near"), [("nearest_resample_whole", 1.2, 0.3, 0.5), ("bilinear_resample_whole", 0.7, 0.2, 0)])
+def test_resampling_covers_the_source(spark, sf, name, step, start, near):
+    sf = "/root/testdata/sf0.01"
+    last = QUERIES["raster_algebra"](spark, sf).agg({"row": "max"}).first()[0]
+    reached = QUERIES[name](spark, sf).agg({"row": "max"}).first()[0]
+    assert reached * step + start + near < last + 1 and (reached + 1) * step + start + near > last
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_gives_rows(spark, sf, name):
     assert QUERIES[name](spark, sf).count() > 0
