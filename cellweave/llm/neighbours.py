@@ -3,29 +3,35 @@
 Vectors are scaled by the largest norm and get one more component that makes
 all norms 1, so the largest inner product is the smallest Euclidean distance.
 Each of `tables` tables cuts `k` Gaussian projections into cells of width
-`width`; a query visits its own bucket and, in the order of the estimated chance
-of success (the sum of squared distances to the cell borders crossed), the
-`probes` likeliest perturbed ones. What the tables find is merged and reranked
-by the inner product of the original vectors in double precision.
+`width`. k follows from the number of vectors, so that a bucket holds a falling
+share of them. A query visits its own buckets and, over all tables in the order
+of the estimated chance of success (the sum of squared distances to the cell
+borders crossed), the likeliest perturbed ones, `probes` a table on average.
+What the tables find is merged and reranked by the inner product of the original
+vectors in double precision.
 
 A vector that occurs many times is kept by its smallest ids only, one more than
 neighbours asked for: no further copy can be among anyone's nearest. Equal
-queries are searched once. Buckets are dealt to groups of bounded size, large
-ones in blocks of their own, and every group returns its nearest only, so no
-pairs are emitted. A query that finds fewer than it should is searched again
-against all vectors in the same blocks, which is exact.
+queries are searched once. Buckets are dealt to groups of bounded size; a bucket
+of more than `block` vectors is cut into blocks, and one of more than `block`
+visitors is copied for each block of them. A group's vectors come first and its
+queries are answered as they stream by, so a task holds one group's vectors and
+a few hundred queries. Every group returns its nearest only, so no pairs are
+emitted. A query that finds fewer than it should is searched again against all
+vectors in the same blocks, which is exact.
 
 Recall at the production parameters is measured against brute force in the
 tests and the README. Defined cases: vectors that are null, empty, zero or hold
 null or non-finite components take no part as query or candidate; vectors of
 different lengths are never neighbours; ties go to the smaller vec_id; repeated
-rows of an id are one candidate; null ids take no part; fewer candidates than
-asked for are all returned; an empty table gives an empty result.
+rows of an id are one candidate, with the smallest of their vectors; null ids
+take no part; fewer candidates than asked for are all returned; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import itertools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +40,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import forget, is_empty, small, store
+from .common import forget, importable, is_empty, small, store
+
+
+def perturbations(k: int, most: int) -> np.ndarray:
+    """Sets of ranks of the 2k border distances of k cells, sorted: at most `most` of them, likeliest first, padded with -1.
+
+    Their order is that of the expected costs for uniform positions; a set never
+    crosses both borders of one cell, whose ranks are r and 2k - 1 - r.
+    """
+    near = [(j + 1) * (j + 2) / (4 * (k + 1) * (k + 2)) for j in range(k)]
+    far = [1 - (j + 1) / (k + 1) + near[j] for j in reversed(range(k))]
+    cost, found, heap = near + far, [()], [(near[0], (0,))]
+    while heap and len(found) < most:
+        total, ranks = heapq.heappop(heap)
+        if all(2 * k - 1 - r not in ranks for r in ranks):
+            found.append(ranks)
+        last = ranks[-1]
+        if last + 1 < 2 * k:
+            heapq.heappush(heap, (total - cost[last] + cost[last + 1], (*ranks[:-1], last + 1)))
+            heapq.heappush(heap, (total + cost[last + 1], (*ranks, last + 1)))
+    width = max(map(len, found)) or 1
+    return np.array([[*ranks, *[-1] * (width - len(ranks))] for ranks in found], np.int64)
 
 
 class Hashing:
-    def __init__(self, scale: float, tables: int = 6, k: int = 8, width: float = 2.5, probes: int = 64, seed: int = 11) -> None:
+    def __init__(self, scale: float, tables: int = 8, k: int = 8, width: float = 2.5, probes: int = 80, seed: int = 11) -> None:
         self.scale, self.tables, self.k, self.width, self.probes, self.seed = scale, tables, k, width, probes, seed
-        self.moves = np.array(list(itertools.product((0, -1, 1), repeat=k)), np.int64)
+        self.sets = perturbations(k, 2 * probes)
         self._planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def planes(self, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +85,10 @@ class Hashing:
         a, b = self.planes(vectors.shape[1])
         return ((np.column_stack([scaled, rest]) @ a + b) / self.width).reshape(len(vectors), self.tables, self.k)
 
-    def keys(self, cells: np.ndarray, table: int, length: int) -> np.ndarray:
+    def keys(self, cells: np.ndarray, table: np.ndarray, length: int) -> np.ndarray:
         """A 63-bit key of (table, length, cells)."""
         with np.errstate(over="ignore"):
-            h = np.full(cells.shape[:-1], np.uint64(table * 1000003 + length + 1) * np.uint64(0x9E3779B97F4A7C15), np.uint64)
+            h = (table.astype(np.uint64) * np.uint64(1000003) + np.uint64(length + 1)) * np.uint64(0x9E3779B97F4A7C15)
             for j in range(self.k):
                 h = (h ^ cells[..., j].astype(np.uint64)) * np.uint64(0x100000001B3)
                 h ^= h >> np.uint64(29)
@@ -70,36 +97,41 @@ class Hashing:
     def own(self, vectors: np.ndarray) -> np.ndarray:
         """(n, tables): the bucket of each vector."""
         cells = np.floor(self.cells(vectors, False)).astype(np.int64)
-        return np.stack([self.keys(cells[:, t], t, vectors.shape[1]) for t in range(self.tables)], 1)
+        return self.keys(cells, np.broadcast_to(np.arange(self.tables), cells.shape[:2]), vectors.shape[1])
 
     def probed(self, vectors: np.ndarray) -> np.ndarray:
         """(n, tables * probes): the buckets a query visits."""
-        at = self.cells(vectors, True)
+        n, at = len(vectors), self.cells(vectors, True)
         floor = np.floor(at).astype(np.int64)
         low = at - floor
-        cost = np.stack([np.zeros_like(low), low**2, (1 - low) ** 2], -1)  # stay, down, up
-        pick = np.where(self.moves < 0, 1, np.where(self.moves > 0, 2, 0))
-        probes = min(self.probes, len(self.moves))
-        out = []
-        for t in range(self.tables):
-            total = sum(cost[:, t, j][:, pick[:, j]] for j in range(self.k))
-            best = np.argpartition(total, probes - 1, axis=1)[:, :probes]
-            out.append(self.keys(floor[:, t][:, None, :] + self.moves[best], t, vectors.shape[1]))
-        return np.concatenate(out, 1)
-
-
-def _vectors(column: pa.Array) -> list[np.ndarray]:
+        distances = np.concatenate([low, 1 - low], 2)  # down, up
+        order = np.argsort(distances, 2)
+        padded = np.concatenate([np.take_along_axis(distances, order, 2) ** 2, np.zeros((n, self.tables, 1))], 2)
+        total = padded[:, :, self.sets].sum(3).reshape(n, -1)
+        visits = min(self.tables * self.probes, total.shape[1])
+        best = np.argpartition(total, visits - 1, axis=1)[:, :visits]
+        table, ranks = best // len(self.sets), self.sets[best % len(self.sets)]
+        row = np.arange(n)[:, None]
+        cells = floor[row, table]
+        for j in range(ranks.shape[2]):
+            r, c = np.nonzero(ranks[:, :, j] >= 0)
+            crossed = order[r, table[r, c], ranks[r, c, j]]
+            cells[r, c, crossed % self.k] += np.where(crossed < self.k, -1, 1)
+        return self.keys(cells, table, vectors.shape[1])
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a list column."""
     values, lengths = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
     return np.split(values, np.cumsum(lengths)[:-1].astype(int)) if len(lengths) else []
 
 
 def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows and matrix of each vector length."""
-    vectors = _vectors(column)
-    lengths = np.array([len(v) for v in vectors])
+    values, lengths = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
     for n in np.unique(lengths):
         rows = np.flatnonzero(lengths == n)
-        yield rows, np.stack([vectors[r] for r in rows]).astype(np.float64)
+        yield rows, values[np.repeat(lengths == n, lengths)].reshape(len(rows), n).astype(np.float64)
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -108,93 +140,104 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vec")).where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).where(fine).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
-def _group(key: F.Column, block: F.Column, groups: int) -> F.Column:
-    return F.pmod(F.xxhash64(key, block), F.lit(groups)).cast("int")
-
+class Held:
+    """A group's vectors of one length, by bucket, and the search among them."""
 
-def search_blocks(data: DataFrame, queries: DataFrame, n: int) -> DataFrame:
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, matrix: np.ndarray) -> None:
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.first = np.unique(keys[order], return_index=True)
+        self.last = np.append(self.first[1:], len(keys))
+        self.ids, self.matrix = ids[order], matrix[order].astype(np.float64)
+        self.largest = np.linalg.norm(self.matrix, axis=1).max()
+
+    def nearest(self, wanted: np.ndarray, visits: list[np.ndarray], n: int, side: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, exact score): the n best rows of each query's buckets, ties to the smaller id.
+
+        A fast score within rounding of a query's n-th best so far is kept, how
+        many there are, and what is kept is scored exactly and cut to the n best.
+        """
+        owner, flat = np.repeat(np.arange(len(wanted)), [len(v) for v in visits]), np.concatenate(visits)
+        at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
+        owner, at = owner[self.keys[at] == flat], at[self.keys[at] == flat]
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        visited, start = np.unique(at, return_index=True)
+        end = np.append(start[1:], len(at))
+        margin = 4 * wanted.shape[1] * np.finfo(float).eps * np.linalg.norm(wanted, axis=1) * self.largest
+        border = np.full(len(wanted), -np.inf)
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def cut() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            query, row = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else (np.zeros(0, np.int64),) * 2
+            exact = np.concatenate([np.zeros(0), *[(self.matrix[row[i : i + 65536]] * wanted[query[i : i + 65536]]).sum(1) for i in range(0, len(row), 65536)]])
+            near = exact >= border[query] - margin[query]  # the border has risen since most of them were kept
+            query, row, exact = query[near], row[near], exact[near]
+            order = np.lexsort((self.ids[row], -exact, query))
+            query, row, exact = query[order], row[order], exact[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            full = place == n - 1
+            border[query[full]] = np.maximum(border[query[full]], exact[full] - margin[query[full]])
+            return query[place < n], row[place < n], exact[place < n]
+
+        # large buckets first: they soon set borders that the small ones are held against
+        for j in np.argsort(self.first[visited] - self.last[visited], kind="stable"):
+            for x in range(start[j], end[j], side):
+                who = owner[x : min(x + side, end[j])]
+                for a in range(self.first[visited[j]], self.last[visited[j]], side):
+                    b = min(a + side, self.last[visited[j]])
+                    scores = wanted[who] @ self.matrix[a:b].T
+                    near = scores >= border[who, None]
+                    if b - a > n and np.count_nonzero(near) > 4 * n * len(who):
+                        border[who] = np.maximum(border[who], np.partition(scores, b - a - n, axis=1)[:, b - a - n] - margin[who])
+                        near = scores >= border[who, None]
+                    query, row = np.nonzero(near)
+                    kept.append((who[query], row + a))
+                    size += len(query)
+                    if size > 32 * n * len(wanted):
+                        kept[:] = [cut()[:2]]
+                        size = len(kept[0][0])
+        return cut()
+
+
+def search_blocks(data: DataFrame, queries: DataFrame, n: int, groups: int, at_once: int = 1024) -> DataFrame:
     """(query, vec_id, score): the n best of each query in each group, data (g, key, vec_id, vec) and queries (g, keys, query, vec) meeting by g and key.
 
-    A group's rows come as one sorted stream, data first. Every row of a bucket
-    whose fast score reaches the n-th best one, less what rounding may take, is
-    scored again exactly, however many tie there.
+    A group's rows come as one sorted stream, data first; queries are answered `at_once` at a time.
     """
     vec = dict(data.dtypes)["vec"]
     id_kind = dict(data.dtypes)["vec_id"]
     rows = data.select("g", F.lit(0).alias("o"), F.array("key").alias("keys"), F.col("vec_id").alias("id"), "vec").unionByName(queries.select("g", F.lit(1).alias("o"), "keys", F.col("query").alias("id"), "vec"))
 
-    def inner(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
-        return (matrix * np.asarray(vector, np.float64)).sum(1)
-
-    def answer(keys: np.ndarray, ids: np.ndarray, matrix: list[np.ndarray], asked: list) -> tuple[list, list, list]:
-        out: tuple[list, list, list] = ([], [], [])
-        order = np.argsort(keys, kind="stable")
-        keys, ids, held = keys[order], ids[order], [matrix[i] for i in order]
-        firsts = np.searchsorted(keys, keys, "left")
-        ends = dict(zip(keys[np.unique(firsts)].tolist(), zip(np.unique(firsts).tolist(), np.append(np.unique(firsts)[1:], len(keys)).tolist(), strict=True), strict=True))
-        visits: dict[int, list[int]] = {}
-        for q, (_, _, wanted) in enumerate(asked):
-            for key in wanted:
-                if key in ends:
-                    visits.setdefault(key, []).append(q)
-        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in asked]
-        for key, who in visits.items():
-            a, b = ends[key]
-            length = len(held[a])
-            who = [q for q in who if len(asked[q][1]) == length]
-            block = np.stack(held[a:b]).astype(np.float64)
-            largest = np.linalg.norm(block, axis=1).max()
-            for i in range(0, len(who), 256):
-                some = who[i : i + 256]
-                if b - a <= n:
-                    for q in some:
-                        found[q].append((ids[a:b], block))
-                    continue
-                wanted = np.stack([asked[q][1] for q in some]).astype(np.float64)
-                scores = wanted @ block.T
-                margin = 4 * length * np.finfo(float).eps * np.linalg.norm(wanted, axis=1) * largest
-                border = np.partition(scores, b - a - n, axis=1)[:, b - a - n] - margin
-                for q, row in zip(some, scores >= border[:, None], strict=True):
-                    t = np.flatnonzero(row)
-                    if len(t) > 2 * n:  # many ties: cut by exact score and id
-                        t = t[np.lexsort((ids[a + t], -inner(block[t], asked[q][1])))[:n]]
-                    found[q].append((ids[a + t], block[t]))
-        for (query, vector, _), parts in zip(asked, found, strict=True):
-            if parts:
-                near, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-                exact = inner(np.concatenate([p[1] for p in parts])[first], vector)
-                best = np.lexsort((near, -exact))[:n]
-                out[0].extend([query] * len(best))
-                out[1].extend(near[best].tolist())
-                out[2].extend(exact[best].tolist())
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, ids, matrix, asked, kind = None, [], [], [], [], None
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if keys and asked:
-                for i in range(0, len(asked), 512):
-                    a, b, c = answer(np.array(keys, np.int64), np.array(ids), matrix, asked[i : i + 512])
-                    yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind), pa.array(c, pa.float64())], ["query", "vec_id", "score"])
-
+        group, coming, held = None, {}, None
         for batch in batches:
             kind = batch.schema.field("id").type
-            wanted, vectors = batch.column("keys").to_pylist(), _vectors(batch.column("vec"))
-            for g, o, key, ident, vector in zip(batch.column("g").to_pylist(), batch.column("o").to_pylist(), wanted, batch.column("id").to_pylist(), vectors, strict=True):
-                if g != group:
-                    yield from flush()
-                    group, keys, ids, matrix, asked = g, [], [], [], []
-                if o:
-                    asked.append((ident, vector, key))
-                else:
-                    keys.append(key[0])
-                    ids.append(ident)
-                    matrix.append(vector)
-        yield from flush()
+            groups, sides = batch.column("g").to_numpy(), batch.column("o").to_numpy()
+            cuts = np.flatnonzero((groups[1:] != groups[:-1]) | (sides[1:] != sides[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(groups)], strict=True):
+                if a == b:
+                    continue
+                if groups[a] != group:
+                    group, coming, held = groups[a], {}, None
+                part = batch.slice(a, b - a)
+                if not sides[a]:
+                    for at, matrix in _by_length(part.column("vec")):
+                        some = part.take(pa.array(at))
+                        coming.setdefault(matrix.shape[1], []).append((some.column("keys").flatten().to_numpy(), np.array(some.column("id").to_pylist()), matrix.astype(np.float32) if vec == "array<float>" else matrix))
+                    continue
+                if held is None:
+                    held = {length: Held(*(np.concatenate(x) for x in zip(*parts, strict=True))) for length, parts in coming.items()}
+                    coming = {}
+                for at, matrix in _by_length(part.column("vec")):
+                    own = held.get(matrix.shape[1])
+                    for i in range(0, len(at) if own else 0, at_once):
+                        some = part.take(pa.array(at[i : i + at_once]))
+                        query, row, score = own.nearest(matrix[i : i + at_once], _lists(some.column("keys")), n)
+                        yield pa.RecordBatch.from_arrays([some.column("id").take(pa.array(query)), pa.array(own.ids[row], kind), pa.array(score)], ["query", "vec_id", "score"])
 
     assert vec == dict(queries.dtypes)["vec"]
-    return rows.repartition("g").sortWithinPartitions("g", "o").mapInArrow(run, f"query {id_kind}, vec_id {id_kind}, score double")
+    return rows.repartitionById(min(groups, 10_000), F.col("g")).sortWithinPartitions("g", "o").mapInArrow(run, f"query {id_kind}, vec_id {id_kind}, score double")
 
 
 def best(found: DataFrame, n: int) -> DataFrame:
@@ -203,45 +246,55 @@ def best(found: DataFrame, n: int) -> DataFrame:
     return merged.withColumn("place", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "vec_id"))).where(F.col("place") <= n)
 
 
-def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20, tables: int = 6, k: int = 8, width: float = 2.5, probes: int = 64, block: int = 20000, vec_id: str = "vec_id", vector: str = "vec") -> DataFrame:
+def cells_for(n: int) -> int:
+    """Projections of a table for n vectors: a bucket's share of them falls about as n to the power -0.7."""
+    return max(4, round(0.64 * float(np.log2(max(n, 2)))))
+
+
+def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20, tables: int = 8, k: int | None = None, width: float = 2.5, probes: int = 80, block: int = 20000, vec_id: str = "vec_id", vector: str = "vec") -> DataFrame:
     """(query_id, rank, vec_id, score) for each usable vector that `is_query` picks."""
-    spark = vectors.sparkSession
+    importable(vectors.sparkSession)
     fine = store(usable(vectors, vec_id, vector), "vectors")
     facts = fine.agg(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))).alias("norm"), F.count(F.lit(1)).alias("n")).first()
-    hashing = Hashing(float(facts["norm"] or 1.0), tables, k, width, probes)
+    hashing = Hashing(float(facts["norm"] or 1.0), tables, k or cells_for(int(facts["n"])), width, probes)
     # more copies of a vector than anyone can have among the nearest take no part
     copies = F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))
     data = store(fine.withColumn("_c", copies).where(F.col("_c") <= n + 1).drop("_c"), "candidates")
     asked = fine.where(is_query)
     groups_of = asked.groupBy("vec").agg(F.min("vec_id").alias("query"))
     queries = store(groups_of, "queries")
-    groups = max(32, -(-int(facts["n"]) * tables // block))
+    groups = max(16, -(-int(facts["n"]) * tables // block))
     id_kind, vec_kind = dict(fine.dtypes)["vec_id"], dict(fine.dtypes)["vec"]
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, matrix in _by_length(batch.column("vec")):
-                part = batch.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(hashing.own(matrix).tolist(), pa.list_(pa.int64())), part.column("vec_id"), part.column("vec")], ["keys", "vec_id", "vec"])
+    def hashed(df: DataFrame, name: str, keys) -> DataFrame:
+        """(keys, name, vec): the buckets of each vector."""
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, matrix in _by_length(batch.column("vec")):
-                for i in range(0, len(rows), 64):  # the cost of every perturbation of a query is a wide row
-                    part = batch.take(pa.array(rows[i : i + 64]))
-                    yield pa.RecordBatch.from_arrays([pa.array(hashing.probed(matrix[i : i + 64]).tolist(), pa.list_(pa.int64())), part.column("query"), part.column("vec")], ["keys", "query", "vec"])
-
-    placed = store(data.mapInArrow(place, f"keys array<bigint>, vec_id {id_kind}, vec {vec_kind}").select(F.explode("keys").alias("key"), "vec_id", "vec"), "placed")
-    # a bucket of more than a block is dealt to several blocks, and its visitors to all of them
-    large = placed.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block).select("key", (F.floor(F.col("_n") / block) + 1).alias("_b"))
-    large = store(large, "large")
-    dealt = placed.join(large, "key", "left").withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.coalesce("_b", F.lit(1))))
-    dealt = dealt.select(_group(F.col("key"), F.col("_b"), groups).alias("g"), "key", "vec_id", "vec")
-    visits = store(queries.mapInArrow(visit, f"keys array<bigint>, query {id_kind}, vec {vec_kind}"), "visits")
-    flat = visits.select("query", F.explode("keys").alias("key")).join(large, "key", "left")
-    flat = flat.select("query", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_b", F.lit(1)).cast("long") - 1)).alias("_b"))
-    routed = flat.select("query", "key", _group(F.col("key"), F.col("_b"), groups).alias("g")).groupBy("query", "g").agg(F.collect_set("key").alias("keys"))
-    found = store(best(search_blocks(dealt, routed.join(queries, "query").select("g", "keys", "query", "vec"), n + 1), n + 1), "found")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, matrix in _by_length(batch.column("vec")):
+                    for i in range(0, len(rows), 64):  # the costs of all perturbations of a query are a wide row
+                        part = batch.take(pa.array(rows[i : i + 64]))
+                        found = keys(matrix[i : i + 64])
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, found.shape[1]), pa.int32()), pa.array(found.ravel()))
+                        yield pa.RecordBatch.from_arrays([lists, part.column(name), part.column("vec")], ["keys", name, "vec"])
+
+        return df.mapInArrow(run, f"keys array<bigint>, {name} {id_kind}, vec {vec_kind}")
+
+    placed = store(hashed(data, "vec_id", hashing.own), "placed")
+    visits = store(hashed(queries, "query", hashing.probed), "visits")
+    # a bucket of more than a block of vectors, or of visitors, becomes several cells
+    crowds = [df.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block).select("key", (F.floor(F.col("_n") / block) + 1).cast("int").alias(name)) for df, name in ((placed, "_b"), (visits, "_s"))]
+    hot = small(store(crowds[0].join(crowds[1], "key", "full").select("key", F.coalesce("_b", F.lit(1)).alias("_b"), F.coalesce("_s", F.lit(1)).alias("_s")), "hot"))
+
+    def dealt(df: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        """df's rows with a group for each cell: one block of their own side, all blocks of the other one."""
+        flat = df.select(name, *(["vec"] if own == "_b" else []), F.explode("keys").alias("key")).join(hot, "key", "left")
+        flat = flat.withColumn(own, F.pmod(F.xxhash64(name), F.coalesce(own, F.lit(1))).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+        return flat.withColumn("g", F.pmod(F.xxhash64("key", "_b", "_s"), F.lit(groups)).cast("int")).drop("_b", "_s")
+
+    routed = dealt(visits, "query", "_s", "_b").groupBy("query", "g").agg(F.collect_set("key").alias("keys"))
+    found = store(best(search_blocks(dealt(placed, "vec_id", "_b", "_s"), routed.join(queries, "query").select("g", "keys", "query", "vec"), n + 1, groups), n + 1), "found")
+    forget(placed, visits, hot)
 
     # shortfall: fewer than there are vectors of the query's length, itself among them
     lengths = small(store(data.groupBy(F.size("vec").alias("_l")).agg(F.count(F.lit(1)).alias("_n")), "lengths"))
@@ -251,10 +304,9 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20,
         pieces = max(1, -(-int(facts["n"]) // block))
         everything = data.select(F.pmod(F.xxhash64("vec_id"), F.lit(pieces)).cast("int").alias("g"), F.lit(0).cast("long").alias("key"), "vec_id", "vec")
         again = short.select(F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("g"), F.array(F.lit(0).cast("long")).alias("keys"), "query", "vec")
-        exact = best(search_blocks(everything, again, n + 1), n + 1)
+        exact = best(search_blocks(everything, again, n + 1, pieces), n + 1)
         found = store(found.join(short.select("query"), "query", "left_anti").unionByName(exact), "found")
     members = asked.select(F.col("vec_id").alias("query_id"), "vec").join(groups_of, "vec").select("query_id", "query")
     each = members.join(found.drop("place"), "query").where("vec_id <> query_id")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    forget(placed, visits, large)
     return each.withColumn("rank", rank).where(F.col("rank") <= n).select("query_id", "rank", "vec_id", "score")

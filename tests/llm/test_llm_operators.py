@@ -559,11 +559,30 @@ def test_copies_at_the_border_of_a_bucket_are_those_of_smaller_ids(spark):
     held = spark.createDataFrame(data, "g int, key long, vec_id long, vec array<double>")
     asked = spark.createDataFrame([q[:4] for q in queries], "g int, keys array<long>, query long, vec array<double>")
     got = collections.defaultdict(set)
-    for r in neighbours.search_blocks(held, asked, 21).collect():
+    for r in neighbours.search_blocks(held, asked, 21, 4).collect():
         got[r["query"]].add(r["vec_id"])
     assert got == {q[2]: set(q[4]) for q in queries}
 
 
+def test_ties_between_different_vectors_go_to_the_smaller_ids(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [1.0, float(a), float(b)]) for i, (a, b) in enumerate(rng.normal(size=(400, 2)) / 50, 1)]
+    df = spark.createDataFrame([(0, [1.0, 0.0, 0.0]), *rows], "vec_id long, vec array<double>").orderBy(F.rand(3))
+    got = neighbours.nearest(df, "vec_id = 0", k=1, width=50.0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 21)) and {r["score"] for r in got} == {1.0}
+    # the same through cells: vectors and visitors of one bucket cut into blocks
+    cut = neighbours.nearest(df, "vec_id % 2 = 0", k=1, width=50.0, block=60)
+    whole = neighbours.nearest(df, "vec_id % 2 = 0", k=1, width=50.0)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect())) and whole.count() == 201 * 20
+
+
+def test_perturbations_come_by_expected_cost():
+    sets = neighbours.perturbations(3, 100)
+    assert len(sets) == 27 and len({tuple(x) for x in sets.tolist()}) == 27
+    assert all(2 * 3 - 1 - r not in x for x in sets.tolist() for r in x if r >= 0)
+    assert neighbours.perturbations(20, 50).shape[0] == 50 and neighbours.cells_for(10**9) > neighbours.cells_for(10**4)
+
+
 def test_recall_on_the_small_table(spark):
     d = "/root/testdata/sf0.01"
     e = spark.read.parquet(f"{d}/embeddings.parquet").collect()
