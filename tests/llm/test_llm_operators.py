@@ -6,6 +6,7 @@ repeated rows, an empty table, and extra columns with clashing names.
 
 import base64
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -126,6 +127,31 @@ def test_components_equal_brute_force(spark, docs, percent):
     assert {r["doc_id"]: r["n_shingles"] for r in rows if r["doc_id"]} == {i: len(plain_set(t)) for i, t, *_ in [*ROWS, *edited] if i}
 
 
+def test_an_id_with_two_texts_links_what_either_is_near_to(spark):
+    other = prose(120, 9)
+    rows = [(1, BASE), (1, other), (2, " ".join(NEAR)), (3, other + " more")]
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, percent):
+    rng = random.Random(6)
+    rows = []
+    for i in range(240):  # texts around eight centres that share most of one text, so that bands are crowded by unlinked ones
+        w = BASE.split() + prose(60, i % 8).split() + prose(rng.choice((0, 0, 4, 9, 14)), 50 + i).split()
+        for _ in range(rng.choice((0, 1, 2))):
+            w[rng.randrange(170)] = f"edit{i}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_duplicates, "mixed_cells", functools.partial(near_duplicates.mixed_cells, block=6, crowd=3))
+    divided = []
+    whole = near_duplicates.divided
+    monkeypatch.setattr(near_duplicates, "divided", lambda *a: divided.append(1) or whole(*a))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(df, percent).collect()}
+    assert divided and got == plain_components(rows, percent)
+
+
 def test_no_documents_no_components(no_docs):
     assert near_duplicates.near_duplicates(no_docs).collect() == []
 
