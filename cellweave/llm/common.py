@@ -7,6 +7,7 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,13 @@ def scratch_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="cellweave-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         context.setCheckpointDir(root)
-    return root.rstrip("/")
+    return qualified(spark, root).rstrip("/")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, the default one if it names none: executors must not take it for a folder of their own."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -40,24 +47,45 @@ def store(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._stored_at = path
+    for written in _scopes:
+        written.append(path)
     return kept
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes what operators store while it is open; a result is to be written or collected before it closes.
+
+        with scratch(spark):
+            near_duplicates(docs).write.parquet(out)
+
+    Taking a path out of the list keeps its table.
+    """
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield written
+    finally:
+        _scopes.remove(written)
+        for path in written:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete what store() wrote, once nothing lazy reads it any more."""
     for df in frames:
         path = getattr(df, "_stored_at", None)
         if path:
-            with contextlib.suppress(Exception):
-                jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-                target = jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(conf).delete(target, True)
-
-
-def short_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the Arrow batches that carry whole texts to Python, so that long texts don't add up; workers get to know this package."""
-    importable(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+            _delete(df.sparkSession, path)
 
 
 def is_empty(df: DataFrame) -> bool:

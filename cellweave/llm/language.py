@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches, small, store, text_crc
+from .common import importable, small, store, text_crc
 from .text import BYTE_LOWER, U64, mix, raw, slices
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -124,7 +124,7 @@ class LanguageModel:
 
 def fit(docs: DataFrame, per_language: int = 2000, least: float = 2e-5, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learn from the labelled rows given. Counts of hashed n-grams by language are summed in Spark and cut to shares of at least `least`."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     known = small(store(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"))
     ticket = F.pmod(F.xxhash64(F.lit(77), "doc_id"), F.lit(1 << 30))
@@ -166,7 +166,7 @@ def predict_batch(model: LanguageModel, column: pa.Array) -> tuple[list[str], np
 
 def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score)."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text:
 
 def keep_known(docs: DataFrame, model: LanguageModel, least_score: float = 0.0, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose language is not `und` and whose score is at least `least_score`."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

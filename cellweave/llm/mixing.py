@@ -20,6 +20,7 @@ every document `most` times.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -59,19 +60,20 @@ def targets(sources: DataFrame, weights: Sequence[float], share: float, most: fl
     return t.withColumn("_level", level["_level"]).select("source", "source_size", F.when(F.col("_full") | F.col("_level").isNull(), F.col("_cap")).otherwise(F.col("_level") * F.col("_w")).alias("target"))
 
 
-def balance(cells: DataFrame, most: float, rounds: int = 30) -> DataFrame:
+def balance(cells: DataFrame, most: float, miss_share: float = 1e-7) -> DataFrame:
     """(source_no, size, n, target, rate) for cells (source_no, size, n, target, source_size): Newton steps on the dual.
 
     The step of source s is (target - words(l)) / slope(l), kept inside a bracket
-    that the sign of the miss narrows; a step that leaves it is halved into it.
-    Rounds end when every source is within a ten-thousandth of a word share.
+    that the sign of the miss narrows. A step that leaves it, and every fourth
+    one, halves the bracket, so that rounds end: when every source's words are
+    within `miss_share` of its size, or when its bracket holds no other double.
     """
     docs = F.sum("n")
     start = cells.groupBy("source_no").agg((F.sum(F.col("size") * F.col("n")) / docs).alias("scale"), F.max("target").alias("target"), F.max("source_size").alias("source_size"))
     # beyond the bracket every rate is 0 or `most` to the last bit of a double for any size of at least a thousandth of the mean
     state = start.select("source_no", "scale", "target", "source_size", F.lit(0.0).alias("l"), F.lit(-40000.0).alias("low"), F.lit(40000.0).alias("high"))
     state = store(state.where("source_size > 0"), "dual")
-    for _ in range(rounds):
+    for turn in itertools.count(1):
         x = F.col("size") / F.col("scale")
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("l") * x))))
         at = cells.select("source_no", "size", "n").join(state, "source_no").groupBy("source_no").agg(
@@ -81,8 +83,9 @@ def balance(cells: DataFrame, most: float, rounds: int = 30) -> DataFrame:
         moved = state.join(at, "source_no").select("source_no", "scale", "target", "source_size", "l", low.alias("low"), high.alias("high"), F.col("l").alias("_old"), miss.alias("_miss"), "slope")
         newton = F.col("_old") + F.try_divide(F.col("_miss"), F.col("slope"))
         inside = newton.isNotNull() & (newton > F.col("low")) & (newton < F.col("high"))
-        done = F.abs(F.col("_miss")) <= F.lit(1e-4) * F.col("source_size")
-        new = store(moved.select("source_no", "scale", "target", "source_size", F.when(done, F.col("_old")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2).alias("l"), "low", "high", done.alias("done")), "dual")
+        half = (F.col("low") + F.col("high")) / 2
+        done = (F.abs(F.col("_miss")) <= F.lit(miss_share) * F.col("source_size")) | (half <= F.col("low")) | (half >= F.col("high"))
+        new = store(moved.select("source_no", "scale", "target", "source_size", F.when(done, F.col("_old")).when(inside & F.lit(turn % 4 > 0), newton).otherwise(half).alias("l"), "low", "high", done.alias("done")), "dual")
         forget(state)
         state = new.select("source_no", "scale", "target", "source_size", "l", "low", "high")
         state._stored_at = new._stored_at
@@ -97,8 +100,9 @@ def whole_copies(rated: DataFrame, most: int, repairs: int = 2) -> DataFrame:
     """(source_no, size, n, rate, _base, _extra): each document of a cell gets _base copies, _extra of them one more.
 
     A cell's copies are the running sum of rates along sizes, rounded; what a
-    source then misses of its target is made up `repairs` times by one copy more
-    or less of the document whose size is nearest to the miss.
+    source then misses of its target is made up `repairs` times by copies more
+    or less of the documents of one size: that of which as many as it has come
+    nearest to the miss.
     """
     along = W.partitionBy("source_no").orderBy("size")
     upto = rated.withColumn("_upto", F.floor(F.sum(F.col("rate") * F.col("n")).over(along) + 0.5))
@@ -106,11 +110,13 @@ def whole_copies(rated: DataFrame, most: int, repairs: int = 2) -> DataFrame:
     cell = upto.select("source_no", "size", "n", "target", "rate", F.least(F.greatest(made, F.lit(0)), F.col("n") * most).alias("c"))
     for _ in range(repairs):
         miss = F.col("target") - F.sum(F.col("c") * F.col("size")).over(W.partitionBy("source_no"))
-        step = F.signum("_miss").cast("long")
-        able = (F.col("size") > 0) & (F.col("c") + step).between(0, F.col("n") * most) & (F.abs(F.abs("_miss") - F.col("size")) < F.abs("_miss"))
-        near = F.min(F.when(able, F.struct(F.abs(F.abs("_miss") - F.col("size")), "size"))).over(W.partitionBy("source_no"))
-        cell = cell.withColumn("_miss", miss).withColumn("_near", near["size"])
-        cell = cell.select("source_no", "size", "n", "target", "rate", F.when(F.col("size") == F.col("_near"), F.col("c") + step).otherwise(F.col("c")).alias("c"))
+        room = F.when(F.col("_miss") > 0, F.col("n") * most - F.col("c")).otherwise(F.col("c"))
+        step = F.least(room, F.round(F.try_divide(F.abs("_miss"), F.col("size"))).cast("long"))
+        left = F.abs(F.abs("_miss") - F.col("_step") * F.col("size"))
+        near = F.min(F.when((F.col("size") > 0) & (F.col("_step") > 0), F.struct(left, "size"))).over(W.partitionBy("source_no"))
+        cell = cell.withColumn("_miss", miss).withColumn("_step", step).withColumn("_near", near["size"])
+        moved = F.col("c") + F.signum("_miss").cast("long") * F.col("_step")
+        cell = cell.select("source_no", "size", "n", "target", "rate", F.when(F.col("size") == F.col("_near"), moved).otherwise(F.col("c")).alias("c"))
     base = F.floor(F.col("c") / F.col("n"))
     return cell.select("source_no", "size", "n", "rate", base.alias("_base"), (F.col("c") - base * F.col("n")).alias("_extra"))
 

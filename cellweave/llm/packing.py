@@ -3,11 +3,11 @@
 One pass tokenizes: a document's ids and its closing id make one piece, or, when
 longer than a sequence, a shorter first piece and full ones. Packing needs only
 how many pieces there are of each length, so the driver plans on a histogram of
-at most `size` counts, whatever the corpus holds: for the longest length left,
-a table of single, pair and triple sums of the lengths left looks up what fills
-the gap exactly and as many copies of that combination are consumed as its
-counts allow; lengths without an exact filling are then packed best-fit, the
-longest piece that still fits first. Each step exhausts a length or a way to
+at most `size` counts, whatever the corpus holds: an index of the sums of one,
+two and three lengths at hand is made once; for the longest length left it names
+what fills the gap exactly, and as many copies of that combination are consumed
+as its counts allow; lengths without an exact filling are then packed best-fit,
+the longest piece that still fits first. Each step exhausts a length or a way to
 fill it, so a plan has a few thousand entries at any scale.
 
 Pieces get their place by number: a piece's rank among those of its length is
@@ -17,7 +17,8 @@ down. The written pieces are what later steps read, so a lost executor changes
 nothing.
 
 Defined cases: null or empty text is the closing id alone, one piece of length
-1; repeated rows are documents of their own; null doc_ids stay null; an empty
+1; texts of any length are cut into as many pieces as they need; repeated rows
+are documents of their own; null doc_ids stay null; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import forget, short_batches, store
+from .common import importable, store
+from .text import slices
 
 END_OF_TEXT = "<|endoftext|>"
 
@@ -89,12 +91,12 @@ def coder(path: str) -> ByteBPE:
 
 def tokenize(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 0, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth[, ids]): nth counts the pieces of a length within a partition."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part, seen = coder(tokenizer), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 22)):
             rows, columns, all_ids = [], [[] for _ in fields], []
             for row, value in enumerate(batch.column("text")):
                 ids = np.asarray([*bpe.encode(value.as_py() or ""), end], "<u4")
@@ -119,6 +121,59 @@ def tokenize(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 0, do
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
+class SumIndex:
+    """For every sum a single, a pair and a triple of lengths at hand that make it.
+
+    Built once from the counts. A pair is kept by its shorter part, a triple by
+    its longest. Counts only fall, so an entry whose parts have run out is moved
+    on to the next one and never back; a sum without one stays without.
+    """
+
+    def __init__(self, left: np.ndarray) -> None:
+        self.left, size = left, len(left) - 1
+        lengths = np.flatnonzero(left)
+        self.short, self.first = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+        for low in lengths:
+            sums = low + lengths[np.searchsorted(lengths, low) :]
+            sums = sums[sums <= size]
+            self.short[sums] = np.where(self.short[sums], self.short[sums], low)
+        pairs = np.flatnonzero(self.short)
+        for first in lengths[::-1]:
+            sums = first + pairs[: np.searchsorted(pairs, size - first, "right")]
+            self.first[sums] = np.where(self.first[sums], self.first[sums], first)
+
+    def single(self, total: int, held: Sequence[int]) -> list[int] | None:
+        return [total] if self.left[total] > held.count(total) else None
+
+    def pair(self, total: int, held: Sequence[int]) -> list[int] | None:
+        """The pair of this sum whose longer part is longest, besides the lengths held."""
+        low = int(self.short[total])
+        if not low:
+            return None
+        free = self.left.copy()
+        np.subtract.at(free, list(held), 1)
+        fits = lambda counts, a: (counts[a] > 0) & (counts[total - a] > (2 * a == total))
+        if fits(free, low):
+            return [total - low, low]
+        lows = np.arange(low, total // 2 + 1)
+        ever = lows[fits(self.left, lows)]
+        self.short[total] = ever[0] if len(ever) else 0
+        now = ever[fits(free, ever)]
+        return [int(total - now[0]), int(now[0])] if len(now) else None
+
+    def triple(self, total: int, held: Sequence[int]) -> list[int] | None:
+        """The triple of this sum whose longest part is longest, besides the lengths held."""
+        moved = True
+        for first in np.flatnonzero(self.left[: self.first[total] + 1])[::-1]:
+            if self.left[first] > held.count(first) and (rest := self.pair(total - first, [*held, int(first)])):
+                return [int(first), *rest]
+            # a length that is only held may be free again for another sum's sake
+            moved = moved and not (held.count(first) or self.short[total - first])
+            if moved:
+                self.first[total] = first - 1
+        return None
+
+
 class Plan:
     """Entries (times, lengths): so many sequences hold pieces of these lengths, longest first."""
 
@@ -138,41 +193,15 @@ class Plan:
         self.entries.append((times, lengths))
 
     def _exact(self) -> None:
-        """Longest first: fill its gap by one, two or three pieces whose sum is looked up, fullest counts first."""
+        """Longest first: its gap is looked up among the sums, and what fills it is consumed as often as the counts allow."""
+        sums = SumIndex(self.left)
         for longest in range(self.size, 0, -1):
+            gap = self.size - longest
             while self.left[longest]:
-                found = self._filling(longest)
+                found = [] if not gap else sums.single(gap, [longest]) or sums.pair(gap, [longest]) or sums.triple(gap, [longest])
                 if found is None:
                     break
-                self._take(found)
-
-    def _filling(self, longest: int) -> list[int] | None:
-        gap, left = self.size - longest, self.left.copy()
-        if gap == 0:
-            return [longest]
-        left[longest] -= 1
-        if gap <= self.size and left[gap]:
-            return [longest, gap]
-        if (pair := self._pair(gap, left, longest)) is not None:
-            return [longest, *pair]
-        for first in np.flatnonzero(left[: min(longest, gap) + 1])[::-1]:
-            left[first] -= 1
-            rest = self._pair(gap - first, left, first)
-            left[first] += 1
-            if rest is not None:
-                return [longest, int(first), *rest]
-        return None
-
-    @staticmethod
-    def _pair(total: int, left: np.ndarray, most: int) -> list[int] | None:
-        """Two lengths with this sum, both at hand; the longer one is at most `most` and as long as can be."""
-        if total < 2:
-            return None
-        low = np.arange(1, total // 2 + 1)
-        high = total - low
-        ok = (left[low] > 0) & (left[high] > (low == high)) & (high <= most)
-        at = np.flatnonzero(ok)
-        return [int(high[at[0]]), int(low[at[0]])] if len(at) else None
+                self._take([longest, *found])
 
     def _best_fit(self) -> None:
         while self.left.any():
@@ -226,6 +255,3 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end: int =
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]) for all pieces of all documents."""
     pieces = store(tokenize(docs, tokenizer, size, end, doc_id, text, keep_ids), "pieces")
     return pack(pieces, size).drop("part", "nth")
-
-
-__all__ = ["ByteBPE", "Plan", "forget", "pack", "pack_documents", "tokenize"]

@@ -2,11 +2,13 @@
 
 Base spans (email, ip, card, phone) follow fixed patterns and always stay.
 Candidates for more spans are looser forms of the same kinds (a card or phone
-whose pattern ran into a neighbouring number among them), ids of persons and
-names after a title. Three labelers vote on every candidate: a regex
-labeler (is the form strict and are its check digits right), a gazetteer labeler
-(known endings, prefixes, titles, first names) and a context labeler (words
-before the span that announce or exclude such data). A vote is yes, no or none.
+whose pattern ran into a neighbouring number among them), ids of persons,
+secrets (long runs of letters and digits, as keys and tokens are) and names
+after a title. Three labelers vote on every candidate: a regex labeler (is the
+form strict, are its check digits right, are its characters as mixed as those of
+a key), a gazetteer labeler (known endings, prefixes, issuers, first names; its
+lists are a parameter) and a context labeler (words before the span that
+announce or exclude such data). A vote is yes, no or none.
 
 Votes fall into a bounded number of (kind, votes, features) patterns, counted in
 Spark over all documents. Expectation-maximisation on the pattern counts
@@ -17,9 +19,11 @@ candidates, so the fit is the same for the same mix at every size. A candidate
 that it gives at least `threshold` becomes a span if it overlaps no base span or earlier span.
 
 Defined cases: null or empty text has no spans; spans are in code points, end
-exclusive; texts are scanned in linear time whatever they hold; repeated rows
-have equal results; without candidates no classifier is trained and only base
-spans remain; an empty table gives an empty result.
+exclusive; of overlapping candidates the first one stays, of those of one start
+the longest; texts of any length are scanned whole, in linear time whatever they
+hold; repeated rows have equal results; without candidates no classifier is
+trained and only base spans remain; an empty table gives an empty result; other
+columns are ignored, and kept as they are by redact().
 """
 
 from __future__ import annotations
@@ -35,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, short_batches, store
+from .common import forget, importable, store
+from .text import slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 
@@ -91,19 +96,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # Forms of candidates, words that announce them and words that exclude them.
 CANDIDATES = {
-    "email": re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._-]{0,63} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{2,63}){1,4}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]++)++"),
     "phone": re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9])00[0-9]{1,3} [0-9]{2,4}(?: [0-9]{2,4}){1,4}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])(?:[0-9]{16}|[0-9]{4}(?:[ -][0-9]{4}){3}|3[47][0-9]{13})(?![0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Mme|Señor|Señora|Sra|Sr)\.? ([^\W\d_]{2,40}(?: [^\W\d_]{2,40})?)"),
+    "secret": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+=*+"),
+    "name": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Mme|Señor|Señora|Sra|Sr)\.? (?=[^\W\d_])"),
 }
+WORD = re.compile(r"[^\W\d_]++")
 TRIGGERS = {
     "email": ("[at]", "(at)"),
     "phone": ("-", ".", " ", "(", "00"),
     "card": (),
     "ssn": ("-",),
     "iban": (),
+    "secret": (),
     "name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mada", "Monsieur", "Mme", "Señor", "Sra", "Sr"),
 }
 ANNOUNCE = {
@@ -112,12 +120,30 @@ ANNOUNCE = {
     "card": ("card", "visa", "master", "credit", "karte", "tarjeta", "carte"),
     "ssn": ("ssn", "social security", "sozialversicherung", "seguridad social", "sécurité sociale"),
     "iban": ("iban", "account", "konto", "cuenta", "compte", "bank"),
+    "secret": ("token", "secret", "passw", "key", "auth", "credential", "bearer"),
     "name": ("name", "dear", "signed", "by", "sehr geehrte", "querido", "cher", "nombre", "nom"),
 }
-EXCLUDE = ("version", "isbn", "issn", "doi", "part no", "serial", "page", "error", "http", "example", "chapter")
+EXCLUDE = ("version", "isbn", "issn", "doi", "part no", "serial", "page", "error", "http", "example", "chapter", "sha1", "sha256", "md5", "commit", "checksum")
 FIRST_NAMES = frozenset("james john robert michael william david maria mary patricia linda anna peter thomas hans klaus ursula petra jean pierre marie claire sophie jose juan carlos carmen ana luis laura elena paul martin sarah".split())
 ISSUERS = frozenset("34 35 37 51 52 53 54 55 62 65".split())
 FIRST_TWO = frozenset("AT BE CH DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
+KEY_PREFIXES = ("AKIA", "AIza", "ghp_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "eyJ")
+
+
+@dataclass(frozen=True)
+class Gazetteer:
+    """The lists of the gazetteer labeler; larger ones than these come from a caller's own data."""
+
+    first_names: frozenset[str] = FIRST_NAMES
+    issuers: frozenset[str] = ISSUERS
+    countries: frozenset[str] = FIRST_TWO
+    key_prefixes: tuple[str, ...] = KEY_PREFIXES
+
+
+def mixed(run: str) -> bool:
+    """Whether letters and digits alternate as often as in a random key: at least an eighth of all steps, two in all for each class."""
+    kinds = "".join("d" if c.isdigit() else "a" for c in run if c.isalnum())
+    return 8 * sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) >= max(len(kinds) - 1, 24)
 
 
 @dataclass
@@ -137,7 +163,7 @@ def iban_ok(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
-def vote(kind: str, text: str, start: int, end: int) -> Candidate:
+def vote(kind: str, text: str, start: int, end: int, known: Gazetteer) -> Candidate:
     span, before = text[start:end], text[max(0, start - 40) : start].lower()
     digits = re.sub(r"[^0-9]", "", span)
     strict = gazetteer = 0
@@ -149,30 +175,44 @@ def vote(kind: str, text: str, start: int, end: int) -> Candidate:
         gazetteer = 1 if span[:1] == "(" or digits.startswith("00") else 0
     elif kind == "card":
         strict = 1 if luhn(digits) else -1
-        gazetteer = 1 if digits[:1] == "4" or digits[:2] in ISSUERS else -1
+        gazetteer = 1 if digits[:1] == "4" or digits[:2] in known.issuers else -1
     elif kind == "ssn":
         strict = 1 if digits[:3] not in ("000", "666") and digits[:1] != "9" and digits[3:5] != "00" and digits[5:] != "0000" else -1
     elif kind == "iban":
         strict = 1 if iban_ok(span.replace(" ", "")) else -1
-        gazetteer = 1 if span[:2] in FIRST_TWO else -1
+        gazetteer = 1 if span[:2] in known.countries else -1
+    elif kind == "secret":
+        strict = 1 if mixed(span) else -1
+        gazetteer = 1 if span.startswith(known.key_prefixes) else 0
     elif kind == "name":
         strict = 1 if all(w[:1].isupper() for w in span.split()) else -1
-        gazetteer = 1 if any(w.lower() in FIRST_NAMES for w in span.split()) else 0
+        gazetteer = 1 if any(w.lower() in known.first_names for w in span.split()) else 0
     context = 1 if any(w in before for w in ANNOUNCE[kind]) else -1 if any(w in before for w in EXCLUDE) else 0
     return Candidate(kind, start, end, (strict, gazetteer, context), (min(len(digits) // 4, 4), int(span[:1].isupper())))
 
 
-def candidates(text: str, base: list[tuple[str, int, int]]) -> list[Candidate]:
+def names_after(title: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    """The word after a title and the capitalised ones that follow it."""
+    found = title.search(text)
+    while found:
+        start = found.end()
+        end = WORD.match(text, start).end()
+        while text[end : end + 1] == " " and (word := WORD.match(text, end + 1)) and word.group()[0].isupper():
+            end = word.end()
+        yield start, end
+        found = title.search(text, end)
+
+
+def candidates(text: str, base: list[tuple[str, int, int]], known: Gazetteer = Gazetteer()) -> list[Candidate]:  # noqa: B008
     """Loose matches outside the base spans, in order, none overlapping another."""
     taken = sorted((a, b) for _, a, b in base)
     digits = re.search(r"[0-9]{2}", text) is not None
     found: list[Candidate] = []
     for kind, pattern in CANDIDATES.items():
-        if kind in ("phone", "card", "ssn", "iban") and not digits or TRIGGERS[kind] and not any(t in text for t in TRIGGERS[kind]):
+        if kind in ("phone", "card", "ssn", "iban", "secret") and not digits or TRIGGERS[kind] and not any(t in text for t in TRIGGERS[kind]):
             continue
-        for m in pattern.finditer(text):
-            a, b = m.span(1) if pattern.groups else m.span()
-            found.append(vote(kind, text, a, b))
+        for a, b in names_after(pattern, text) if kind == "name" else (m.span() for m in pattern.finditer(text)):
+            found.append(vote(kind, text, a, b, known))
     found.sort(key=lambda c: (c.start, -c.end, c.kind))
     kept: list[Candidate] = []
     for c in found:
@@ -259,18 +299,18 @@ CANDIDATE_TYPE = pa.list_(pa.struct([("pattern", pa.string()), ("start", pa.int6
 BASE_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", known: Gazetteer = Gazetteer()) -> DataFrame:  # noqa: B008
     """(doc_id, base, candidates): the one pass over the texts."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 22)):
             base, more = [], []
             for value in batch.column("text"):
                 whole = value.as_py() or ""
                 spans = base_spans(whole)
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                more.append([{"pattern": c.pattern(), "start": c.start, "end": c.end} for c in candidates(whole, spans)])
+                more.append([{"pattern": c.pattern(), "start": c.start, "end": c.end} for c in candidates(whole, spans, known)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, BASE_TYPE), pa.array(more, CANDIDATE_TYPE)], ["doc_id", "base", "candidates"])
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -290,9 +330,9 @@ def decide(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]], m
     return sorted([*base, *added], key=lambda s: (order.get(s[0], len(order)), s[0] if s[0] not in order else "", s[1]))
 
 
-def find(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text", known: Gazetteer = Gazetteer()) -> DataFrame:  # noqa: B008
     """(doc_id, base, spans): base and all spans as arrays of (kind, start, end)."""
-    scanned = store(scan(docs, doc_id, text), "scanned")
+    scanned = store(scan(docs, doc_id, text, known), "scanned")
     shared = docs.sparkSession.sparkContext.broadcast(fit(scanned))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,24 +353,28 @@ def joined(spans: str) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, all columns, with each span of the text replaced by its kind in angle brackets."""
-    scanned = store(scan(docs, doc_id, text), "scanned")
+def redact(docs: DataFrame, threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text", known: Gazetteer = Gazetteer()) -> DataFrame:  # noqa: B008
+    """The rows, all columns, with each span of the text replaced by its kind in angle brackets.
+
+    Texts are scanned twice: the first scan is for the votes alone, since keeping
+    its spans beside the rows would write all texts once more.
+    """
+    scanned = store(scan(docs, doc_id, text, known), "scanned")
     model = docs.sparkSession.sparkContext.broadcast(fit(scanned))
     forget(scanned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text, 1 << 22)):
             at = batch.schema.get_field_index(text)
-            out = [None if v.as_py() is None else replaced(v.as_py(), model.value, threshold) for v in batch.column(text)]
+            out = [None if v.as_py() is None else replaced(v.as_py(), model.value, threshold, known) for v in batch.column(text)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(out, batch.schema.field(at).type))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def replaced(text: str, model: SpanModel, threshold: float) -> str:
+def replaced(text: str, model: SpanModel, threshold: float, known: Gazetteer = Gazetteer()) -> str:  # noqa: B008
     base = base_spans(text)
-    spans = sorted((a, b, k) for k, a, b in decide(base, [(c.pattern(), c.start, c.end) for c in candidates(text, base)], model, threshold))
+    spans = sorted((a, b, k) for k, a, b in decide(base, [(c.pattern(), c.start, c.end) for c in candidates(text, base, known)], model, threshold))
     out, done = [], 0
     for a, b, k in spans:
         if a >= done:

@@ -20,6 +20,7 @@ of the prior; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches, text_crc
+from .common import importable, text_crc
 from .text import BYTE_LOWER, U64, mix, raw, slices, span_hashes, word_spans
 
 BUCKETS, WIDTH, NONZERO, SHAPES = 1 << 13, 48, 6, 8
@@ -187,19 +188,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "d
     chosen = named.where(ticket < F.lit(float(sample)) / max(total, 1) * float(1 << 30)) if total > sample else named
     # about `sample` ids, whatever the tables hold: small enough to send to every reader of the texts
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    found = sorted(((F_hash(r["doc_id"]), r["doc_id"], r["text"], r["label"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
+    found = sorted(((shuffled(r["doc_id"]), str(r["doc_id"]), r["text"], r["label"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
     return train([r[2] for r in found], np.array([r[3] for r in found], int))
 
 
-def F_hash(value: int) -> int:
-    """A fixed shuffle of ids."""
-    with np.errstate(over="ignore"):
-        return int(mix(np.array([value & 0xFFFFFFFFFFFFFFFF], U64) * U64(0x9E3779B97F4A7C15))[0])
+def shuffled(value) -> bytes:
+    """A fixed shuffle of ids of any kind."""
+    return hashlib.blake2b(str(value).encode(), digest_size=8).digest()
 
 
 def score(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score)."""
-    short_batches(docs.sparkSession)
+    importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

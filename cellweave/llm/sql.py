@@ -23,17 +23,18 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.
 FROM documents d JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
 
-def _url_filter(rounds: int = 12) -> str:
+def _url_filter(rounds: int = 160) -> str:
+    """Ranks after so many rounds that less than 1e-11 of either flow is unsettled (0.85 ** 160)."""
     rest = "CASE WHEN instr({0}, '://') > 0 THEN substr({0}, instr({0}, '://') + 3) ELSE '' END"
     host = f"coalesce(translate(regexp_extract({rest}, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '')"
     ordered = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
     when = lambda i: "CASE " + " ".join(f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{(h + p) if i else a}'" for a, h, p in ordered) + " END"
     link = "regexp_extract_all(html, '(?i)(?:href|src)\\s*=\\s*[\"'']?((?:[a-z][a-z0-9+.-]*:)?//[^\"''\\s<>]+)', 1)"
     full = "CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END"
-    steps = ["r0 AS MATERIALIZED (SELECT kind, node, 0.15::DOUBLE * seed AS score FROM seeds)"]
-    for i in range(1, rounds + 1):
-        steps.append(f"r{i} AS MATERIALIZED (SELECT kind, node, sum(score) AS score FROM (SELECT kind, dst AS node, 0.85::DOUBLE * score * share AS score FROM r{i - 1} JOIN shares USING (kind) WHERE src = node UNION ALL SELECT kind, node, 0.15::DOUBLE * seed FROM seeds) GROUP BY ALL)")
-    return f"""WITH u AS (SELECT page_id, html, {host.format("url")} AS host, coalesce(regexp_extract({rest.format("url")}, '^[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+    step = "SELECT i + 1, kind, dst AS node, 0.85::DOUBLE * score * share AS score FROM r JOIN shares USING (kind) WHERE src = node"
+    back = "SELECT 0 AS i, kind, node, 0.15::DOUBLE * seed AS score FROM seeds"
+    again = "SELECT i + 1, kind, node, 0.15::DOUBLE * seed FROM (SELECT DISTINCT i FROM r), seeds"
+    return f"""WITH RECURSIVE u AS (SELECT page_id, html, {host.format("url")} AS host, coalesce(regexp_extract({rest.format("url")}, '^[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
   j AS MATERIALIZED (SELECT page_id, html, host, path, {when(1)} AS rule, {when(0)} AS act FROM u),
   k AS (SELECT CASE act WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host AS node, count(*) AS n FROM j WHERE act IS NOT NULL AND host <> '' GROUP BY ALL),
   seeds AS MATERIALIZED (SELECT kind, node, n / (sum(n) OVER (PARTITION BY kind))::DOUBLE AS seed FROM k),
@@ -42,8 +43,8 @@ def _url_filter(rounds: int = 12) -> str:
   edges AS MATERIALIZED (SELECT src, dst, count(*) AS n FROM ends WHERE dst <> '' AND dst <> src GROUP BY ALL),
   ways AS (SELECT 'trust' AS kind, src, dst, n FROM edges UNION ALL SELECT 'distrust', dst, src, n FROM edges),
   shares AS MATERIALIZED (SELECT kind, src, dst, n / (sum(n) OVER (PARTITION BY kind, src))::DOUBLE AS share FROM ways),
-  {", ".join(steps)},
-  hosts AS (SELECT node AS host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d FROM r{rounds} GROUP BY 1)
+  r AS ({back} UNION ALL SELECT i, kind, node, sum(score) FROM ({step} UNION ALL {again}) AS s(i, kind, node, score) WHERE i <= {rounds} GROUP BY ALL),
+  hosts AS (SELECT node AS host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d FROM r WHERE i = {rounds} GROUP BY 1)
 SELECT page_id, j.host, path, rule, coalesce(act, CASE WHEN t + d > 0 AND d >= 0.5::DOUBLE * (t + d) THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN hosts ON hosts.host = j.host"""
 
 

@@ -5,13 +5,14 @@ reduced to distinct host edges with counts before anything is joined, and
 personalised PageRank runs from two seed sets at once: trust flows along links
 from hosts that allow rules fit, distrust flows against links from hosts that
 block rules fit. Ranks run until every host that a flow can reach is reached
-and no score grows by more than a 1e-9th of itself. A host is blocked if distrust makes up at least `threshold` of
-what reached it.
+and no score grows by more than a millionth of itself. A host is blocked if
+distrust makes up at least `threshold` of what reached it.
 
 Defined cases: a null url, or one without `://`, has an empty host and path,
 fits no rule and gets `unknown`; a host that neither flow reaches gets
 `unknown`; null html has no links; repeated pages count as often as they occur;
-an empty table gives an empty result; other columns are ignored.
+urls and html of any length are read whole; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = 12, damping:
     return score.select("kind", "node", "score")
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, unknown: str = "allow", page_id: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = None, tolerance: float = 1e-9) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, threshold: float = 0.5, unknown: str = "allow", page_id: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = None, tolerance: float = 1e-6) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) for each page."""
     host, path = host_of(F.col(url)), path_of(F.col(url))
     ruled = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))

@@ -6,7 +6,8 @@ response and the others are revisits that name it. Then each task writes its
 rows as one file of gzip members, one member a record, and returns an index row
 for each: file, offset, length, url, digest, type. File names carry the attempt,
 and the index is committed by Spark, so a task that is lost and run again leaves
-only a file that no index row names.
+only a file that no index row names. A folder without a file system's name is
+one of the cluster's default file system.
 
 Reading: the selected index rows go to tasks by file and are sorted by offset;
 ranges closer than `gap` bytes are read as one, up to `most` bytes at a time, and
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh_path, short_batches, store
+from .common import fresh_path, importable, qualified, store
+from .text import slices
 
 INDEX = "page_id {kind}, url string, digest string, payload_bytes long, record_type string, refers_to {kind}, file string, offset long, length long"
 END = b"\r\n"
@@ -48,8 +51,8 @@ def sha1_base32(payload: bytes) -> str:
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """The folder of spark.checkpoint.dir, local, hdfs or object store; a bare path is local."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
+    """A folder by its full uri, as the driver makes it: local, hdfs or object store."""
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
 
 
 def target(url: str | None) -> list[tuple[str, str]]:
@@ -118,8 +121,8 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 def write(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html", folder: str | None = None) -> DataFrame:
     """Write the archives and return their index, stored: page_id, url, digest, payload_bytes, record_type, refers_to, file, offset, length."""
     spark = pages.sparkSession
-    short_batches(spark)
-    folder = folder or fresh_path(spark, "warc")
+    importable(spark)
+    folder = qualified(spark, folder) if folder else fresh_path(spark, "warc")
     kind = dict(pages.dtypes)[page_id]
     named = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     planned = plan_records(named, least_bytes)
@@ -136,7 +139,7 @@ def write(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", url:
         files, root = open_folder(top)
         out, name, offset = None, None, 0
         try:
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, "html", 1 << 22)):
                 rows = []
                 for p, u, h, other, again in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to", "revisit")), strict=True):
                     if out is None:
@@ -184,7 +187,8 @@ def read(index: DataFrame, folder: str, gap: int = 1 << 16, most: int = 8 << 20)
     file is read by many tasks.
     """
     kind = dict(index.dtypes)["page_id"]
-    short_batches(index.sparkSession, 512)
+    importable(index.sparkSession)
+    folder = qualified(index.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)

@@ -8,6 +8,8 @@ import base64
 import collections
 import functools
 import hashlib
+import itertools
+import os
 import random
 import re
 import zlib
@@ -242,6 +244,24 @@ def test_plans_use_every_piece_once(counts):
     assert len(slots["length"]) == sum(len(e[1]) for e in plan.entries)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 4), min_size=1, max_size=9), st.lists(st.integers(0, 9), max_size=12), st.integers(0, 9))
+def test_sums_equal_a_plain_search(counts, gone, mine):
+    left = np.zeros(31, np.int64)
+    for length, n in counts.items():
+        left[length] = n
+    sums, lengths = packing.SumIndex(left), sorted(counts)
+    for step in [None, *gone]:
+        if step is not None:  # counts fall, and lengths run out
+            left[lengths[step % len(lengths)]] = max(0, left[lengths[step % len(lengths)]] - 1)
+        held = [x for x in [lengths[mine % len(lengths)]] if left[x]]
+        for total in range(1, 31):
+            for n, find in ((1, sums.single), (2, sums.pair), (3, sums.triple)):
+                made = [c for c in itertools.combinations_with_replacement(lengths, n) if sum(c) == total and all((c + tuple(held)).count(x) <= left[x] for x in c)]
+                found = find(total, held)
+                assert (found is None) == (not made) and (found is None or tuple(sorted(found)) in made)
+
+
 def test_exact_combinations_come_first():
     plan = packing.Plan({10: 1, 6: 1, 3: 1, 1: 1, 7: 2}, 14)
     assert {tuple(sorted(e)) for _, e in plan.entries} >= {(7, 7), (1, 3, 10)}
@@ -251,7 +271,7 @@ def test_exact_combinations_come_first():
 
 
 def test_fingerprints_equal_a_plain_version(docs):
-    rows = fingerprints.fingerprint(docs, partitions=3).collect()
+    rows = fingerprints.fingerprint(docs, part_bytes=9000, per_part=3).collect()
     ordered = sorted(((i, t or "") for i, t, *_ in ROWS), key=lambda r: (r[0] is not None, r[0] or 0))
     texts = [t for _, t in ordered]
     want = collections.Counter()
@@ -266,6 +286,29 @@ def test_fingerprints_equal_a_plain_version(docs):
     assert all(0 <= r[c] <= 1 for r in rows for c in ("near_edited", "near_next"))
 
 
+def test_texts_of_any_script_have_paragraphs():
+    rng = random.Random(2)
+    for letters in ("abcdefghij ", "абвгдежзик ", "的一是不了在人有我他这中大来上"):
+        whole = "".join(rng.choice(letters) for _ in range(1200))
+        half = whole[:600] + "".join(rng.choice(letters) for _ in range(600))
+        (_, _, a, b, near, far) = fingerprints.fingerprint_rows([whole], [half[600:]])[0]
+        assert 0.25 < near < 0.45 and a != b and far < 0.1
+        assert fingerprints.likenesses(fingerprints.Items.of([whole]), fingerprints.Items.of([whole + "."]))[0] > 0.9
+
+
+def test_cuts_split_repeated_ids_and_nulls():
+    sample = [((None, h), 10) for h in range(8)] + [((7, h), 10) for h in range(8)]
+    cuts = fingerprints.cuts_of(sample, 4)
+    assert cuts == [(None, 3), (None, 7), (7, 3)] and fingerprints.cuts_of([], 4) == [] and fingerprints.cuts_of(sample, 1) == []
+
+
+def test_string_ids_have_a_next_document(spark):
+    rows = fingerprints.fingerprint(spark.createDataFrame([("b", "two two"), ("a", "one"), (None, "none")], "doc_id string, text string"), part_bytes=4, per_part=9).collect()
+    after = {None: "one", "a": "two two", "b": "none"}
+    text = {None: "none", "a": "one", "b": "two two"}
+    assert {r["doc_id"]: r["edited_sha256"] for r in rows} == {i: hashlib.sha256((t[: len(t) - len(t) // 2] + after[i][: len(t) // 2]).encode()).hexdigest() for i, t in text.items()}
+
+
 def test_one_document_is_its_own_next(spark, no_docs):
     row = fingerprints.fingerprint(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).collect()
     assert len(row) == 1 and row[0]["near_next"] == 1.0 and row[0]["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
@@ -382,6 +425,43 @@ def test_the_method_adds_spans_and_keeps_base_ones(spark):
     assert [tuple(r) for r in redacted] == [(1, "write <EMAIL> now", 3), (2, None, 4)]
 
 
+def test_secrets_are_found_and_words_left(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [f'token = "{key}" x', "secret: ghp_16C7e42F292c6912E7710c838347Ae178B4a", "donaudampfschifffahrtsgesellschaft in 1990 and 2000", "see /2020-01-01-some-long-title-of-a-page/ there", "Dr Anna Maria Schmidt Lopez went on with Mr Brown"] * 4
+    rows = private_data.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    spans = [[t[x["start"] : x["end"]] for x in r["spans"]] for r, t in zip(rows, texts)]
+    assert spans[0] == [key] and spans[1] == ["ghp_16C7e42F292c6912E7710c838347Ae178B4a"] and spans[2] == spans[3] == []
+    assert spans[4] == ["Anna Maria Schmidt Lopez", "Brown"]
+    known = private_data.Gazetteer(first_names=frozenset({"brown"}))
+    votes = {c.votes[1] for c in private_data.candidates(texts[4], [], known) if c.start > 30}
+    assert votes == {1}
+
+
+def test_candidates_of_long_runs_stay_linear():
+    for text in ("a1" * 10**6, "a." * 10**6 + " [at] x", "Mr " * 10**5, "Mr A" * 10**5, "1 " * 10**6, "12-" * 10**5, "AB12 " * 10**5):
+        private_data.candidates(text, [])
+
+
+def test_reliabilities_equal_a_plain_version():
+    counts = {"card|1,1,0|4,0": 40, "card|-1,-1,0|4,0": 25, "card|1,-1,1|4,0": 9, "card|-1,1,-1|4,0": 13}
+    start, place = [[0.3, 0.55, 0.15], [0.45, 0.1, 0.45]], {0: 0, 1: 1, -1: 2}
+    rates, prior = [[list(x) for x in start] for _ in range(3)], 0.5
+    rows = [([place[int(v)] for v in p.split("|")[1].split(",")], n) for p, n in counts.items()]
+    for _ in range(50):
+        chances = []
+        for votes, _n in rows:
+            yes, no = prior, 1 - prior
+            for j, v in enumerate(votes):
+                yes, no = yes * rates[j][0][v], no * rates[j][1][v]
+            chances.append(yes / (yes + no))
+        prior = min(0.98, max(0.02, sum(n * c for (_v, n), c in zip(rows, chances)) / sum(n for _v, n in rows)))
+        for j in range(3):
+            for side in range(2):
+                weight = [sum(n * (c if side == 0 else 1 - c) for (votes, n), c in zip(rows, chances) if votes[j] == v) for v in range(3)]
+                rates[j][side] = [(w + 2 * s) / (sum(weight) + 2) for w, s in zip(weight, start[side])]
+    assert np.allclose(private_data.learn(counts).reliabilities["card"], rates)
+
+
 def test_the_span_classifier_weighs_patterns_by_what_they_occur():
     mix = {"card|1,1,0|4,0": 2000000, "card|-1,-1,0|4,0": 600000, "card|1,-1,0|4,0": 9000, "card|-1,1,0|4,0": 300000, "phone|1,1,0|4,0": 4000, "phone|-1,-1,0|4,0": 900000, "phone|1,-1,0|4,0": 700000, "phone|-1,1,0|4,0": 2000, "name|1,1,0|4,0": 5000, "name|-1,1,0|4,0": 5000, "name|-1,-1,0|4,0": 80000}
     model, larger = private_data.learn(mix), private_data.learn({p: 1000 * n for p, n in mix.items()})
@@ -469,6 +549,20 @@ def test_distrust_flows_against_links_and_trust_along_them(spark):
     assert all(abs(r["score"] - score[r["node"]]) < 1e-12 for r in got.collect())
 
 
+def test_linked_hosts_equal_the_sql(spark, tmp_path):
+    link = lambda *hosts: "".join(f'<a href="https://{h}/x">' for h in hosts)
+    rng = random.Random(1)
+    hosts = [f"h{i}.net" for i in range(40)]
+    pages = [(i, f"http://{h}/", link(*rng.sample(hosts, 2), *(["seed.com"] if i % 9 == 0 else []))) for i, h in enumerate(hosts)]
+    pages += [(100, "http://seed.com/de/", link("h3.net")), (101, "http://seed.org/", link("h1.net", "h2.net"))]
+    pages += [(200 + i, f"http://c{i}.net/", link(f"c{i + 1}.net" if i < 20 else "seed.com")) for i in range(21)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    judged = QUERIES["op8_url_filter"](spark, str(tmp_path))
+    assert compare.mismatch(judged, compare.connect(str(tmp_path)), SQL["op8_url_filter"]) is None
+    got = collections.Counter(r["verdict"] for r in judged.collect())
+    assert got["block"] >= 22 and got["allow"] > 1
+
+
 def test_flows_reach_the_end_of_a_chain_and_settle_on_a_cycle(spark):
     link = lambda host: f'<a href="https://{host}/x">'
     chain = [(i, f"http://h{i}.net/", link(f"h{i + 1}.net" if i < 15 else "seed.com")) for i in range(1, 16)]
@@ -516,6 +610,26 @@ def test_mix_meets_its_targets(spark, docs, no_docs):
     assert mixing.mix(no_docs).collect() == []
 
 
+def test_one_huge_document_is_made_up_for(spark):
+    rows = [(0, " ".join(["x"] * 60000), "s"), *[(i, "one two three four five", "s") for i in range(1, 6001)]]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=1.2).collect()
+    assert abs(sum(r["taken"] for r in mixed) - mixed[0]["target"]) <= 5 and all(r["taken"] <= 2 * r["size"] for r in mixed)
+
+
+def test_rates_solve_the_dual(spark):
+    sizes = {1: 50, 7: 30, 40: 9, 300: 2}
+    total = sum(k * n for k, n in sizes.items())
+    cells = spark.createDataFrame([(no, k, n, share * total, total) for no, share in enumerate((0.2, 1.0, 1.7, 1.999)) for k, n in sizes.items()], "source_no int, size long, n long, target double, source_size long")
+    got = {(r["source_no"], r["size"]): r["rate"] for r in mixing.balance(cells, 2).collect()}
+    for no, share in enumerate((0.2, 1.0, 1.7, 1.999)):
+        low, high = -100.0, 100.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            words = sum(2 * k * n / (1 + np.exp(-mid * k)) for k, n in sizes.items() if -mid * k < 700)
+            low, high = (mid, high) if words < share * total else (low, mid)
+        assert all(abs(got[no, k] - (2 / (1 + np.exp(-low * k)) if -low * k < 700 else 0)) < 1e-4 for k in sizes)
+
+
 def test_one_source_and_only_empty_texts(spark):
     one = mixing.mix(spark.createDataFrame([(i, prose(10 + i % 7, i), "s") for i in range(60)], "doc_id long, text string, source string")).collect()
     assert abs(sum(r["taken"] for r in one) - one[0]["target"]) <= 3
@@ -542,6 +656,13 @@ def test_quality_of_awkward_rows(spark, docs, no_docs):
     assert {r["score"] for r in quality.score(docs, untaught).collect()} == {0.5} and quality.score(no_docs, model).collect() == []
 
 
+def test_quality_of_string_ids(spark, docs):
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    labels = named.where("doc_id is not null").select("doc_id", (F.length("text") > 100).cast("int").alias("quality"))
+    scores = quality.score(named, quality.fit(named, labels)).collect()
+    assert len(scores) == docs.count() and all(0 <= r["score"] <= 1 for r in scores)
+
+
 # 1 neighbours
 
 
@@ -661,6 +782,15 @@ def test_queries_equal_their_sql(spark, sf, name):
     assert compare.mismatch(QUERIES[name](spark, sf), compare.connect(sf), SQL[name]) is None
 
 
+def test_a_scope_deletes_what_operators_stored(spark, docs):
+    before = set(os.listdir(common.scratch_root(spark).removeprefix("file:")))
+    with common.scratch(spark) as tables:
+        rows = private_data.find(docs).collect()
+        assert len(rows) == len(ROWS) and tables
+    assert set(os.listdir(common.scratch_root(spark).removeprefix("file:"))) == before
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
 def test_column_names_may_be_anything(spark):
     pages = spark.createDataFrame([(1, "http://x.org/a", "<a href='//y.net/'>")], "`the id` long, `a url` string, `raw html` string")
     row = url_filter.judge(pages, page_id="the id", url="a url", html="raw html").first()
