@@ -23,18 +23,22 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import forget, store
+from .common import forget, small, store
 
 WORDS = "[^\\x20\\x09-\\x0D]+"
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(doc_id, source, size): size is the number of words."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORDS)), F.lit(0)).cast("long").alias("size"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"))
+
+
+def size_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -121,28 +125,73 @@ def whole_copies(rated: DataFrame, most: int, repairs: int = 2) -> DataFrame:
     return cell.select("source_no", "size", "n", "rate", base.alias("_base"), (F.col("c") - base * F.col("n")).alias("_extra"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, doc_id: str = "doc_id", text: str = "text", source: str = "source", rank_block: int = 4096) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken) for each document."""
-    sizes = store(sized(docs, doc_id, text, source), "sizes")
+def _spot(doc_id: Column) -> Column:
+    """A fixed shuffle of the documents of a cell."""
+    return F.xxhash64(F.lit(9), doc_id)
+
+
+def _block(spot: Column, n: Column, rank_block: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(spot, 20), F.floor(n / rank_block) + 1)
+
+
+def _planned(sizes: DataFrame, weights: Sequence[float], share: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """(source_no, source, source_size, target) of the sources and the cells of whole_copies(), both stored."""
     counts = store(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
     by_source = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     numbered = store(targets(by_source, weights, share, most).withColumn("source_no", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))), "targets")
     cells = store(counts.join(numbered, counts["source"].eqNullSafe(numbered["source"])).select("source_no", "size", "n", "source_size", "target"), "cells")
     rated = store(balance(cells, most), "rates")
-
     cell = store(whole_copies(rated, most), "copies")
+    forget(counts, cells, rated)
+    return numbered, cell
+
 
-    # which documents of a cell: cells are cut into blocks by hash, a block's part of the extra copies follows from the blocks before it
+def _ranked(sizes: DataFrame, numbered: DataFrame, cell: DataFrame, rank_block: int) -> DataFrame:
+    """The documents with their place in their block and how many of it get one copy more.
+
+    Cells are cut into blocks by hash; a block's part of the extra copies follows from the blocks before it.
+    """
     named = numbered.select(F.col("source").alias("_source"), "source_no", "source_size", "target")
     each = sizes.join(named, sizes["source"].eqNullSafe(F.col("_source"))).drop("_source")
     each = each.join(cell, ["source_no", "size"])
-    key = F.xxhash64(F.lit(9), F.col("doc_id"))
-    each = each.withColumn("_key", key).withColumn("_block", F.pmod(F.shiftrightunsigned("_key", 20), F.floor(F.col("n") / rank_block) + 1))
+    each = each.withColumn("_key", _spot(F.col("doc_id"))).withColumn("_block", _block(F.col("_key"), F.col("n"), rank_block))
     blocks = each.groupBy("source_no", "size", "_block").agg(F.count(F.lit(1)).alias("_m"), F.max("n").alias("_n"), F.max("_extra").alias("_all"))
     run = F.sum("_m").over(W.partitionBy("source_no", "size").orderBy("_block"))
     upto = lambda c: F.floor(c * F.col("_all") / F.col("_n"))
     blocks = store(blocks.select("source_no", "size", "_block", (upto(run) - upto(run - F.col("_m"))).alias("_here")), "blocks")
     place = F.row_number().over(W.partitionBy("source_no", "size", "_block").orderBy("_key", F.col("doc_id").asc_nulls_first()))
-    chosen = each.join(blocks, ["source_no", "size", "_block"]).withColumn("copies", (F.col("_base") + (place <= F.col("_here")).cast("long")).cast("long"))
-    forget(counts, cells, rated)
+    return each.join(blocks, ["source_no", "size", "_block"]).withColumn("_place", place)
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, doc_id: str = "doc_id", text: str = "text", source: str = "source", rank_block: int = 4096) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken) for each document."""
+    sizes = store(sized(docs, doc_id, text, source), "sizes")
+    numbered, cell = _planned(sizes, weights, share, most)
+    chosen = _ranked(sizes, numbered, cell, rank_block).withColumn("copies", (F.col("_base") + (F.col("_place") <= F.col("_here")).cast("long")).cast("long"))
     return chosen.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeated(docs: DataFrame, key: Column, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: int = 2, text: str = "text", source: str = "source", rank_block: int = 4096, rules: int = 200_000) -> DataFrame:
+    """The rows of docs, all columns, each as often as mix() takes it; key tells documents apart.
+
+    What a document gets depends on its source, size and key: up to the last key
+    of its block that gets one copy more. Sources, cells and blocks are few rows
+    beside the documents, so while they are at most `rules` they are broadcast
+    and no text is shuffled; beyond that the texts meet them in a shuffle. Rows
+    of one key in a cell all get what the last of them gets.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(key.alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"), row)
+    sizes = store(sized(keyed), "sizes")
+    numbered, cell = _planned(sizes, weights, share, most)
+    taken = F.when(F.col("_place") <= F.col("_here"), F.struct("_key", "doc_id"))
+    lasts = store(_ranked(sizes, numbered, cell, rank_block).groupBy("source_no", "size", "_block").agg(F.max(taken).alias("_last")).where("_last is not null"), "lasts")
+    forget(sizes)
+    each = keyed.select("row", F.col("doc_id"), F.col("source").alias("_source"), size_of(F.col("text")).alias("size"))
+    named = small(numbered.select("source", "source_no"), rules)
+    each = each.join(named, each["_source"].eqNullSafe(named["source"])).drop("_source", "source")
+    each = each.join(small(cell.select("source_no", "size", "n", "_base"), rules), ["source_no", "size"]).withColumn("_block", _block(_spot(F.col("doc_id")), F.col("n"), rank_block))
+    each = each.join(small(lasts, rules), ["source_no", "size", "_block"], "left")
+    more = F.col("_last").isNotNull() & (F.struct(_spot(F.col("doc_id")).alias("_key"), "doc_id") <= F.col("_last"))
+    copies = (F.col("_base") + more.cast("long")).cast("int")
+    return each.select("row", copies.alias("copies")).where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")

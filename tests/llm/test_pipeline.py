@@ -67,7 +67,9 @@ def test_base_spans_are_replaced_and_clean_texts_stay(stages):
     assert set(before) == set(after)
     touched = 0
     for ident, r in before.items():
-        spans, out, done = sorted((a, b, k) for k, a, b in plain_spans(r["text"])), [], 0
+        keys = [("secret", *m.span(1)) for m in re.finditer('token = "([0-9a-f]{40})"', r["text"])]
+        base = plain_spans(r["text"])
+        spans, out, done = sorted((a, b, k) for k, a, b in base + [x for x in keys if not any(a < x[2] and x[1] < b for _, a, b in base)]), [], 0
         for a, b, k in spans:
             if a >= done:
                 out += [r["text"][done:a], f"<{k.upper()}>"]
