@@ -14,7 +14,12 @@ but the last return the columns of documents.
 5. packing: the documents as pieces of sequences of 2048 tokens.
 
 Rows without a doc_id are never duplicates of others and otherwise treated
-alike; repeated rows of a doc_id are one document from stage 2 on.
+alike; those that share a text are mixed alike too. Repeated rows of a doc_id are
+one document from stage 2 on. Null and empty texts, and those without a letter,
+have no language and go in stage 1; texts of any length pass whole; null sources
+are a source of their own; ties go to the smaller doc_id, then to the smaller
+hash of the text; an empty table gives an empty result; other columns are kept
+up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellweave.llm import language, mixing, near_duplicates, packing, private_data
-from cellweave.llm.common import store
+from cellweave.llm.common import forget, scratch, store
 from cellweave.llm.queries import tokenizer_path
 
 
@@ -54,10 +59,7 @@ def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.coalesce(F.sha2("text", 256), F.lit(""))))
-    keyed = docs.select(key.alias("key"), whole(docs))
-    copies = mixing.mix(docs.select(key.alias("key"), "text", "source"), doc_id="key").groupBy(F.col("doc_id").alias("key")).agg(F.max("copies").cast("int").alias("copies")).where("copies > 0")
-    # merged at every size: a plan that broadcasts the copies of a small corpus says nothing about a large one
-    return keyed.join(store(copies, "copies").hint("merge"), "key").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
+    return mixing.repeated(docs, key)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,5 +81,9 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as own:  # what the stage wrote for itself goes, its result stays until the next stage has read it
+            made = store(stage(spark, docs, sf_dir), name)
+            own.remove(made._stored_at)
+        forget(docs)
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
