@@ -3,8 +3,8 @@
 Two texts are linked if their sets of 5-word shingles overlap by at least
 `threshold`. One pass over the texts makes a row of figures for each document:
 the set's size, a 128-bit digest of the set and a MinHash signature. Equal sets
-become one class at once, so thousands of copies cost one row, and a class is
-known by its digest. Classes that share a band of their signatures are
+become one class at once, so thousands of copies cost one row, and a class has a
+number of its own. Classes that share a band of their signatures are
 candidates, and no bucket is expanded into pairs:
 
 1. every member of a bucket is held against the bucket's smallest class only;
@@ -269,7 +269,7 @@ class _Cell:
         if not self.reps:
             return np.zeros(0, np.int64)
         if self.signs is None:
-            self.signs, self.names = np.stack(self._signs), np.array(self.comps, object)
+            self.signs, self.names = np.stack(self._signs), np.array(self.comps)
         near = surviving(self.signs, np.broadcast_to(sign, self.signs.shape), self.bounds)
         near = near[self.names[near] != comp]
         equal = self.signs[near] == sign
@@ -373,10 +373,10 @@ def links(docs: DataFrame, classes: DataFrame, percent: int, k: int, miss: float
     return edges
 
 
-def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(node, text) for needed (node, doc_id, text_hash)."""
+def _texts(docs: DataFrame, needed: DataFrame, few: int = 500_000) -> DataFrame:
+    """(node, text) for needed (node, doc_id, text_hash); up to `few` of them, some 20 MB, go to the texts, beyond that the texts are shuffled to them."""
     named = docs.where("text is not null and doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return named.join(needed, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "text")
+    return named.join(small(needed, few), ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "text")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -392,16 +392,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, miss: float
     rows = store(figures(named, k), "figures")
     whole = rows.where("digest is not null and doc_id is not null")
     first = F.min(F.struct("doc_id", "text_hash")).alias("_first")
-    classes = whole.groupBy(F.col("digest").alias("node")).agg(first, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    classes = store(classes.select("node", "_first.doc_id", "_first.text_hash", "n_shingles", "signature"), "classes")
+    classes = whole.groupBy("digest").agg(first, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    # numbers are short keys for all that follows; once written they are fixed, and no result depends on their order
+    classes = store(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "_first.doc_id", "_first.text_hash", "n_shingles", "signature"), "classes")
     edges = links(named, classes, percent, k, miss)
     # an id with several texts links their classes
     several = store(whole.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("_z")).where("a <> _z").select("doc_id", "a"), "several")
     if not is_empty(several):
-        edges = edges.unionByName(whole.join(several, "doc_id").where("digest <> a").select("a", F.col("digest").alias("b")))
+        ends = whole.join(several, "doc_id").where("digest <> a").select("a", F.col("digest").alias("b")).distinct()
+        for end in "ab":
+            ends = ends.join(classes.select(F.col("digest").alias(end), F.col("node").alias(f"_{end}")), end)
+        edges = edges.unionByName(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     labels = components(edges)
     named_by = labels.join(classes.select("node", "doc_id"), "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    to = classes.select("node", "doc_id").join(labels.join(named_by, "component"), "node", "left").select(F.col("node").alias("digest"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    to = classes.select("node", "digest", "doc_id").join(labels.join(named_by, "component"), "node", "left").select("digest", F.coalesce("component_id", "doc_id").alias("component_id"))
     joined = rows.select("doc_id", "n_shingles", "digest").join(to, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
