@@ -54,6 +54,11 @@ def test_paged_source(spark, tmp_path):
     paged.register(spark)
     df = spark.read.format("paged_json").schema("id long, dept string").option("path", str(tmp_path)).load()
     assert df.count() == 6 and sorted(r["id"] for r in df.where("dept = 'A'").collect()) == [1, 3, 5]
+    assert sorted(r["id"] for r in df.where("id between 2 and 4 and dept in ('A', 'B')").collect()) == [2, 3, 4]
+    options = {"schema": "id long, dept string", "path": str(tmp_path)}
+    assert paged.scan(spark, limit=2, **options).count() == 2 and [r["id"] for r in paged.scan(spark, where="id >= 5", limit=2, **options).collect()] == [5]
+    reader = paged.PagedReader(df.schema, {"path": str(tmp_path), "limit": "1"})
+    assert list(reader.pushFilters([paged.EqualTo(("dept",), "A"), paged.GreaterThan(("id",), 1)])) == [] and list(reader.read(paged.Page(1))) == [(3, "A")]
 
 
 def test_ascii_grid(spark, tmp_path):
