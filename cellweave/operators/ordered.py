@@ -1,27 +1,36 @@
 """Running sums and exact quantiles over a whole table without one task that sees all of it.
 
-Rows are dealt to buckets of equal width along the order; a window runs within
-each bucket and starts from the sum of the buckets before it, of which there are
-at most `buckets` for each key. Exact quantiles follow from running counts of
-the distinct values: only the rows that hold the two neighbouring ranks are kept.
+Running sums deal rows to buckets between approximate quantiles of the order, so
+that an outlier doesn't put the rest into one; a window runs within each bucket
+and starts from the sum of the buckets before it, of which there are at most
+`buckets` for each key. Exact quantiles come from three narrow passes: brackets
+from approximate quantiles, counts below them, and the few values inside.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def running(df: DataFrame, order: str, sums: dict[str, str], keys: Sequence[str] = (), descending: bool = False, buckets: int = 1024) -> DataFrame:
+def _bucket(value: Column, blocks: str) -> Column:
+    """How many edges are at most the value, by the first edge of each block, so that a row meets few of them."""
+    block = F.size(F.filter(blocks, lambda b: F.get(b, F.lit(0)) <= value))
+    inside = F.size(F.filter(F.get(blocks, block - 1), lambda e: e <= value))
+    return F.when(block > 0, F.aggregate(F.slice(blocks, F.lit(1), block - 1), F.lit(0), lambda n, b: n + F.size(b)) + inside).otherwise(0)
+
+
+def running(df: DataFrame, order: str, sums: dict[str, str], keys: Sequence[str] = (), descending: bool = False, buckets: int = 256) -> DataFrame:
     """Adds for each name in sums the sum of its column up to and with the row, by `order` within keys; `order` is known, and unique within keys."""
-    o = F.col(order).cast("double")
-    ends = df.groupBy(*keys).agg(F.min(o).alias("_low"), F.max(o).alias("_high"))
+    o, step = F.col(order).cast("double"), max(1, round(buckets**0.5))
+    edges = df.groupBy(*keys).agg(F.percentile_approx(o, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_e"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit((buckets - 2) // step)), lambda i: F.slice("_e", i * step + 1, F.lit(step)))
+    ends = edges.select(*keys, blocks.alias("_blocks"))
     ranged = df.join(ends, list(keys)) if keys else df.crossJoin(F.broadcast(ends))  # without keys one row
-    at = F.when(F.col("_high") > F.col("_low"), F.least(F.lit(buckets - 1), F.floor((o - F.col("_low")) / (F.col("_high") - F.col("_low")) * buckets))).otherwise(0)
-    dealt = ranged.withColumn("_b", at).drop("_low", "_high")
+    dealt = ranged.withColumn("_b", F.coalesce(_bucket(o, "_blocks"), F.lit(0))).drop("_blocks")
     way = F.desc if descending else F.asc
     by_bucket = W.partitionBy(*keys).orderBy(way("_b"))
     totals = dealt.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()])
@@ -31,17 +40,33 @@ def running(df: DataFrame, order: str, sums: dict[str, str], keys: Sequence[str]
     return joined.select(*df.columns, *[(F.col(f"_before_{n}") + F.sum(c).over(within)).alias(n) for n, c in sums.items()])
 
 
-def quantiles(values: DataFrame, wanted: Sequence[float], keys: Sequence[str] = ("name",), value: str = "value") -> DataFrame:
-    """(keys, q, value): exact quantiles, linear between neighbouring ranks, of long rows (keys, value); missing values are left out."""
-    counts = values.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(counts, value, {"_upto": "_n"}, keys)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    placed = ranked.join(sizes, list(keys)) if keys else ranked.crossJoin(F.broadcast(sizes))  # without keys one row
-    spots = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.floor(F.lit(float(q)) * (F.col("_all") - 1)).alias("low"), F.ceil(F.lit(float(q)) * (F.col("_all") - 1)).alias("high")) for q in wanted])
-    holds = lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_n"))
-    hit = placed.withColumn("_s", F.filter(spots, lambda s: holds(s["low"]) | holds(s["high"]))).where(F.size("_s") > 0)
-    each = hit.select(*keys, value, "_upto", "_n", "_all", F.explode("_s").alias("_s"))
-    low = F.max(F.when(holds(F.col("_s.low")), F.col(value).cast("double")))
-    high = F.max(F.when(holds(F.col("_s.high")), F.col(value).cast("double")))
-    part = F.max(F.col("_s.q") * (F.col("_all") - 1) - F.col("_s.low"))
-    return each.groupBy(*keys, F.col("_s.q").alias("q")).agg((low + (high - low) * part).alias(value))
+def quantiles(values: DataFrame, wanted: Sequence[float], keys: Sequence[str] = ("name",), value: str = "value", accuracy: int = 50_000) -> DataFrame:
+    """(keys, q, value): exact quantiles, linear between neighbouring ranks, of long rows (keys, value); missing values are left out.
+
+    keys name columns of a table, so they take few values. An approximate
+    quantile is off by at most 1 / accuracy of the ranks; each wanted rank lies
+    between those of twice that distance on both sides, and groups of at most
+    4 * accuracy rows are their own bracket. Of a group only what lies in the
+    brackets, some 4 / accuracy of its rows for each quantile, is shuffled and ranked.
+    """
+    v, near = F.col(value).cast("double"), 2 / accuracy
+    known = values.where(F.col(value).isNotNull())
+    spots = sorted({min(1.0, max(0.0, q + d)) for q in wanted for d in (-near, near)})
+    facts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.min(v).alias("_min"), F.max(v).alias("_max"), F.percentile_approx(v, spots, accuracy).alias("_p"))
+    exact = F.col("_all") <= 4 * accuracy
+    at = lambda q, end: F.when(exact | F.lit(not 0 < q < 1), F.col(end)).otherwise(F.get("_p", F.lit(spots.index(min(1.0, max(0.0, q))))))
+    brackets = F.array(*[F.struct(F.lit(float(q)).alias("q"), at(q - near, "_min").alias("low"), at(q + near, "_max").alias("high")) for q in wanted])
+    facts = F.broadcast(facts.select(*keys, "_all", brackets.alias("_w")))  # a row for each column of a table
+    met = lambda df: df.join(facts, list(keys)) if keys else df.crossJoin(facts)
+    placed = met(known.select(*keys, v.alias("_v")))
+    counts = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.count_if(F.col("_v") < F.col("_w")[i]["low"]).alias("n")) for i, q in enumerate(wanted)])
+    below = placed.groupBy(*keys, "_all").agg(counts.alias("_c")).select(*keys, "_all", F.explode("_c").alias("_c")).select(*keys, "_all", F.col("_c.q").alias("q"), F.col("_c.n").alias("_below"))
+    holds = lambda w: (F.col("_v") >= w["low"]) & (F.col("_v") <= w["high"])
+    inside = placed.where(F.exists("_w", holds)).select(*keys, "_v", F.explode(F.filter("_w", holds)).alias("_s"))
+    inside = inside.groupBy(*keys, F.col("_s.q").alias("q"), "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(W.partitionBy(*keys, "q").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = inside.withColumn("_upto", upto).join(F.broadcast(below), [*keys, "q"]).withColumn("_upto", F.col("_upto") + F.col("_below"))
+    spot = F.col("q") * (F.col("_all") - 1)
+    holding = lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_n"))
+    low, high = F.max(F.when(holding(F.floor(spot)), F.col("_v"))), F.max(F.when(holding(F.ceil(spot)), F.col("_v")))
+    return ranked.groupBy(*keys, "q").agg((low + (high - low) * F.max(spot - F.floor(spot))).alias(value))
