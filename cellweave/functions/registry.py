@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from . import names
 
 
-@F.pandas_udf("string")
-def normalise_accents(values: pd.Series) -> pd.Series:
-    """Any script: decomposed, combining marks dropped."""
-    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn"))
+def plain(values: pa.Array) -> pa.Array:
+    """Decomposed, combining marks dropped, in any script."""
+    return pc.replace_substring_regex(pc.utf8_normalize(values, "NFD"), r"\p{Mn}", "")
 
 
-@F.pandas_udf("string")
-def crop_class(values: pd.Series) -> pd.Series:
-    """The prefix rules for SQL text; names.crop_class is the native form."""
+@F.arrow_udf(StringType())
+def normalise_accents(values: pa.Array) -> pa.Array:
+    return plain(values)
 
-    def one(v: str | None) -> str:
-        plain = "".join(c for c in unicodedata.normalize("NFD", (v or "").strip().lower()) if unicodedata.category(c) != "Mn")
-        return next((kind for prefix, kind in names.PREFIX_RULES if plain.startswith(prefix)), names.OTHER) if v is not None else names.OTHER
 
-    return values.map(one)
+@F.arrow_udf(StringType())
+def crop_class(values: pa.Array) -> pa.Array:
+    """The prefix rules for SQL text, by column; names.crop_class is the native form."""
+    name = plain(pc.utf8_lower(pc.utf8_trim_whitespace(values)))
+    fits = [pc.fill_null(pc.starts_with(name, prefix), False) for prefix, _ in names.PREFIX_RULES]
+    return pc.case_when(pc.make_struct(*fits, field_names=[str(i) for i in range(len(fits))]), *[kind for _, kind in names.PREFIX_RULES], names.OTHER)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def robust_spread(values: pd.Series) -> float:
     """(p95 - p5) / |median| of a group."""
     known = values.dropna()
@@ -37,7 +40,7 @@ def robust_spread(values: pd.Series) -> float:
     return float((known.quantile(0.95) - known.quantile(0.05)) / middle) if middle > 0 else float("nan")
 
 
-@F.udtf(returnType="tile int, west double, south double, east double, north double")
+@F.udtf(returnType=StructType([StructField("tile", IntegerType()), *[StructField(side, DoubleType()) for side in ("west", "south", "east", "north")]]))
 class Tiles:
     """The boxes of at most `side` degrees that cover a box, row by row."""
 
