@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,46 @@ def boosted_binary(df: DataFrame, columns: Sequence[str], y: str, weight: str |
     return GBTClassifier(labelCol=y, maxIter=rounds, maxDepth=depth, seed=seed, **more).fit(assemble(df, columns))
 
 
+def staged(df: DataFrame, model, columns: Sequence[str]) -> DataFrame:
+    """df with chances: the chance of label 1 by the first 1, 2, ... trees of a boosted model."""
+    out = assemble(df, columns)
+    for i, tree in enumerate(model.trees):
+        out = tree.copy({tree.predictionCol: f"_t{i}"}).transform(out)
+    margins = F.array(*[F.col(f"_t{i}") * float(w) for i, w in enumerate(model.treeWeights)])
+    upto = F.transform(F.sequence(F.lit(1), F.size(margins)), lambda k: F.aggregate(F.slice(margins, F.lit(1), k), F.lit(0.0), lambda s, v: s + v))
+    return out.select(*df.columns, F.transform(upto, lambda m: 1 / (1 + F.exp(-2 * m))).alias("chances"))
+
+
+def boosted_stop(model, held: DataFrame, columns: Sequence[str], y: str) -> list[float]:
+    """Average precision on held-out rows after each tree; the best number of trees is that of its first maximum."""
+    from . import metrics
+
+    points = staged(held, model, columns).select(y, F.posexplode("chances").alias("k", "p")).groupBy("k", "p").agg(F.sum(F.col(y).cast("double")).alias("_y"), F.count(F.lit(1)).alias("_n")).persist()
+    each = lambda k: metrics.areas(metrics.summed_curve(points.where(F.col("k") == k).select(F.col("p").alias("score"), F.col("_y").alias("p"), (F.col("_n") - F.col("_y")).alias("n")))).first()["average_precision"]
+    out = [float(each(k) or 0.0) for k in range(len(model.trees))]
+    points.unpersist()
+    return out
+
+
+def boosted_multiclass(df: DataFrame, columns: Sequence[str], y: str, rounds: int = 10, depth: int = 4, weight: str | None = None, seed: int = 42):
+    """Boosted trees for several classes 0 .. K - 1: one model for each against the rest."""
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+
+    more = {"weightCol": weight} if weight else {}
+    one = GBTClassifier(labelCol=y, maxIter=rounds, maxDepth=depth, seed=seed)
+    return OneVsRest(classifier=one, labelCol=y, **more).fit(assemble(df, columns))
+
+
+def class_chances(df: DataFrame, model, columns: Sequence[str]) -> DataFrame:
+    """df with p: chances of all classes, the margins of the models against the rest through a softmax."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..functions import vectors
+
+    scored = model.transform(assemble(df, columns))
+    return scored.select(*df.columns, vectors.softmax(vector_to_array("rawPrediction")).alias("p"))
+
+
 def forest(df: DataFrame, columns: Sequence[str], y: str, trees: int = 20, depth: int = 6, seed: int = 42):
     from pyspark.ml.classification import RandomForestClassifier
 
@@ -68,7 +108,7 @@ def orthogonal_prototypes(kinds: int, width: int, seed: int = 42) -> np.ndarray:
 
 
 class Encoder:
-    """Dense layers with layer normalisation and GELU, the output scaled to length 1; weights are given."""
+    """Dense layers with layer normalisation and GELU, the output scaled to length 1 and compared with prototypes."""
 
     def __init__(self, layers: list[tuple[np.ndarray, np.ndarray]], medians: np.ndarray, mean: np.ndarray, std: np.ndarray, prototypes: np.ndarray, tau: float) -> None:
         self.layers, self.medians, self.mean, self.std, self.prototypes, self.tau = layers, medians, mean, np.where(std == 0, 1, std), prototypes, tau
@@ -79,32 +119,152 @@ class Encoder:
         layers = [(rng.normal(0, 1 / math.sqrt(a), (a, b)), np.zeros(b)) for a, b in zip(sizes, sizes[1:], strict=False)]
         return cls(layers, np.zeros(width), np.zeros(width), np.ones(width), orthogonal_prototypes(kinds, sizes[-1], seed), tau)
 
+    def forward(self, x: np.ndarray) -> list[tuple]:
+        """What each layer sees and makes: (input, normalised sums, their deviation) of hidden layers, (input, sums) of the last."""
+        z, seen = (np.where(np.isnan(x), self.medians, x) - self.mean) / self.std, []
+        for w, b in self.layers[:-1]:
+            a = z @ w + b
+            deviation = np.sqrt(a.var(1, keepdims=True) + 1e-5)
+            n = (a - a.mean(1, keepdims=True)) / deviation
+            seen.append((z, n, deviation))
+            z = 0.5 * n * (1 + np.tanh(math.sqrt(2 / math.pi) * (n + 0.044715 * n**3)))
+        w, b = self.layers[-1]
+        return [*seen, (z, z @ w + b)]
+
     def encode(self, x: np.ndarray) -> np.ndarray:
-        z = (np.where(np.isnan(x), self.medians, x) - self.mean) / self.std
-        for i, (w, b) in enumerate(self.layers):
-            z = z @ w + b
-            if i < len(self.layers) - 1:
-                z = (z - z.mean(1, keepdims=True)) / np.sqrt(z.var(1, keepdims=True) + 1e-5)
-                z = 0.5 * z * (1 + np.tanh(math.sqrt(2 / math.pi) * (z + 0.044715 * z**3)))
-        return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        out = self.forward(x)[-1][1]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
     def chances(self, x: np.ndarray) -> np.ndarray:
-        s = self.encode(x) @ self.prototypes.T / self.tau
-        e = np.exp(s - s.max(1, keepdims=True))
-        return e / e.sum(1, keepdims=True)
+        return _softmax(self.encode(x) @ self.prototypes.T / self.tau)
+
+    def slopes(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+        """Summed cross-entropy of soft targets and its gradient over all weights, flat."""
+        seen = self.forward(x)
+        z, out = seen[-1]
+        size = np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+        unit = out / size
+        p = _softmax(unit @ self.prototypes.T / self.tau)
+        loss = float(-(weight[:, None] * target * np.log(np.maximum(p, 1e-12))).sum())
+        back = ((p * target.sum(1, keepdims=True) - target) * weight[:, None]) @ self.prototypes / self.tau
+        back = (back - unit * (unit * back).sum(1, keepdims=True)) / size
+        grads = [(z.T @ back, back.sum(0))]
+        for i in range(len(self.layers) - 2, -1, -1):
+            z, n, deviation = seen[i]
+            back = back @ self.layers[i + 1][0].T
+            c = math.sqrt(2 / math.pi)
+            t = np.tanh(c * (n + 0.044715 * n**3))
+            back = back * (0.5 * (1 + t) + 0.5 * n * (1 - t**2) * c * (1 + 3 * 0.044715 * n**2))
+            back = (back - back.mean(1, keepdims=True) - n * (back * n).mean(1, keepdims=True)) / deviation
+            grads.append((z.T @ back, back.sum(0)))
+        return loss, np.concatenate([g.ravel() for pair in reversed(grads) for g in pair])
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([w.ravel() for pair in self.layers for w in pair])
+
+    def with_weights(self, flat: np.ndarray) -> Encoder:
+        layers, at = [], 0
+        for w, b in self.layers:
+            layers.append((flat[at : at + w.size].reshape(w.shape), flat[at + w.size : at + w.size + b.size]))
+            at += w.size + b.size
+        return Encoder(layers, self.medians, self.mean, self.std, self.prototypes, self.tau)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One Parquet row for each array."""
+        arrays = {"medians": self.medians, "mean": self.mean, "std": self.std, "prototypes": self.prototypes, "tau": np.array([self.tau])}
+        arrays |= {f"{kind}{i}": w for i, pair in enumerate(self.layers) for kind, w in zip("wb", pair, strict=True)}
+        spark.createDataFrame([(k, list(v.shape), v.astype(float).ravel().tolist()) for k, v in arrays.items()], "name string, shape array<int>, data array<double>").coalesce(1).write.mode("overwrite").parquet(path)
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Encoder:
+        a = {r["name"]: np.array(r["data"]).reshape(r["shape"]) for r in spark.read.parquet(path).collect()}  # a row for each array of weights
+        depth = sum(k.startswith("w") for k in a)
+        return cls([(a[f"w{i}"], a[f"b{i}"]) for i in range(depth)], a["medians"], a["mean"], a["std"], a["prototypes"], float(a["tau"][0]))
+
+
+def _softmax(s: np.ndarray) -> np.ndarray:
+    e = np.exp(s - s.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
+
+
+def learning_rate(epoch: int, warm: int, total: int, peak: float) -> float:
+    """Linear warm-up, then half a cosine down to nothing."""
+    return peak * (epoch + 1) / warm if epoch < warm else peak * 0.5 * (1 + math.cos(math.pi * min(1.0, (epoch - warm) / max(1, total - warm))))
+
+
+def train_encoder(df: DataFrame, features: str, target: str, weight: F.Column, held: F.Column, hidden: Sequence[int], epochs: int = 30, warm: int = 3, peak: float = 0.02, clip: float = 1.0, patience: int = 5, seed: int = 42) -> tuple[Encoder, list[tuple[int, float, float, float]]]:
+    """The encoder of least loss on held-out rows, and (epoch, rate, loss, held-out loss) of each epoch.
 
-def infer(df: DataFrame, key: str, features: str, model: Encoder) -> DataFrame:
-    """(key, p): class chances of each row's feature array; imputes, scales, encodes, compares with prototypes."""
+    target is an array of class masses. Rows stay where they are: in each epoch
+    every task sums the gradient of its rows, the sums are added up in a second
+    step, and the driver moves the weights (Adam, the gradient's length cut to
+    `clip`). It stops `patience` epochs after the best one.
+    """
+    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.col(target).cast("array<double>").alias("q"), weight.cast("double").alias("w"), held.alias("h")).persist()
+    width, kinds = rows.select(F.size("x"), F.size("q")).first()
+    numbers = [F.get("x", F.lit(i)) for i in range(width)]
+    known = [F.when(~F.isnan(c), c) for c in numbers]
+    facts = rows.where("not h").agg(F.array(*[F.avg(c) for c in known]), F.array(*[F.stddev_pop(c) for c in known]), F.array(*[F.percentile_approx(c, 0.5) for c in known])).first()
+    mean, std, medians = (np.array([v or 0.0 for v in part], float) for part in facts)
+    start = Encoder.random(width, hidden, kinds, seed)
+    model = Encoder(start.layers, medians, mean, std, start.prototypes, start.tau)
+    parts = rows.rdd.getNumPartitions()
+
+    def epoch_sums(current: Encoder) -> np.ndarray:
+        shared = df.sparkSession.sparkContext.broadcast(current)
+
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(4 + len(shared.value.flat()))
+            for part in batches:
+                for a in range(0, len(part), 4096):
+                    some = part.iloc[a : a + 4096]
+                    x, q, w, h = np.stack(some["x"]).astype(float), np.stack(some["q"]).astype(float), some["w"].to_numpy(), some["h"].to_numpy(bool)
+                    if (~h).any():
+                        loss, slope = shared.value.slopes(x[~h], q[~h], w[~h])
+                        total[:2] += loss, w[~h].sum()
+                        total[4:] += slope
+                    if h.any():
+                        total[2:4] += shared.value.slopes(x[h], q[h], w[h])[0], w[h].sum()
+            yield pd.DataFrame({"s": [total]})
+
+        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            found = [s for part in batches for s in part["s"]]
+            yield pd.DataFrame({"s": [np.sum(found, 0)] if found else []})
+
+        sums = rows.mapInPandas(local, "s array<double>").repartition(max(1, math.isqrt(parts))).mapInPandas(added, "s array<double>")
+        out = np.sum([np.array(r["s"]) for r in sums.collect()], 0)  # about the square root of the tasks, each the size of the weights
+        shared.unpersist()
+        return out
+
+    flat, first, second, best, log = model.flat(), 0.0, 0.0, (math.inf, model), []
+    for epoch in range(epochs):
+        sums, rate = epoch_sums(model), learning_rate(epoch, warm, epochs, peak)
+        loss, held_loss = sums[0] / max(sums[1], 1e-12), sums[2] / sums[3] if sums[3] else sums[0] / max(sums[1], 1e-12)
+        log.append((epoch, rate, float(loss), float(held_loss)))
+        best = min(best, (float(held_loss), model), key=lambda x: x[0])
+        if epoch - min(log, key=lambda x: x[3])[0] >= patience:
+            break
+        slope = sums[4:] / max(sums[1], 1e-12)
+        slope = slope * min(1.0, clip / max(float(np.linalg.norm(slope)), 1e-12))
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        flat = flat - rate * (first / (1 - 0.9 ** (epoch + 1))) / (np.sqrt(second / (1 - 0.999 ** (epoch + 1))) + 1e-8)
+        model = model.with_weights(flat)
+    rows.unpersist()
+    return best[1], log
+
+
+def infer(df: DataFrame, key: str, features: str, model: Encoder, *kept: str) -> DataFrame:
+    """(key, p, kept columns): class chances of each row's feature array; imputes, scales, encodes, compares with prototypes."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             p = shared.value.chances(np.stack(part["x"].to_numpy()).astype(float)) if len(part) else np.zeros((0, 1))
-            yield pd.DataFrame({"key": part["key"].to_numpy(), "p": list(p)})
+            yield part[["_key"]].assign(p=list(p), **{k: part[k] for k in kept})
 
-    chosen = df.select(F.col(key).alias("key"), F.col(features).cast("array<double>").alias("x"))
-    return chosen.mapInPandas(run, f"key {dict(chosen.dtypes)['key']}, p array<double>").withColumnRenamed("key", key)
+    chosen = df.select(F.col(key).alias("_key"), F.col(features).cast("array<double>").alias("x"), *kept)
+    types = dict(chosen.dtypes)
+    return chosen.mapInPandas(run, ", ".join([f"_key {types['_key']}", "p array<double>", *[f"`{k}` {types[k]}" for k in kept]])).withColumnRenamed("_key", key)
 
 
 def augmented(values: F.Column, key: F.Column, noise: float = 0.05, drop: float = 0.1) -> F.Column:
@@ -113,19 +273,31 @@ def augmented(values: F.Column, key: F.Column, noise: float = 0.05, drop: float
     return F.transform(values, lambda x, i: F.when(unit(i, 1) < drop, 0.0).otherwise(x * (1 + noise * (2 * unit(i, 2) - 1))))
 
 
+#: Chance of a dropped entry and spread of the noise for each family of features.
+FAMILIES = {"topo": (0.0, 0.01), "suelo": (0.0, 0.01), "clima": (0.10, 0.05), "s2": (0.20, 0.05), "otro": (0.10, 0.025)}
+
+
+def augmented_by_family(values: F.Column, families: F.Column, key: F.Column) -> F.Column:
+    """An array with entries dropped and normal noise added as each entry's family (an array of names) asks for, the same for a key on every run."""
+    unit = lambda i, salt: (F.pmod(F.xxhash64(key, i, F.lit(salt)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    normal = lambda i: F.sqrt(-2 * F.ln(unit(i, 2))) * F.cos(2 * math.pi * unit(i, 3))
+    table = F.create_map(*[x for name, (drop, noise) in FAMILIES.items() for x in (F.lit(name), F.array(F.lit(drop), F.lit(noise)))])
+    rules = lambda i: F.coalesce(F.try_element_at(table, F.get(families, i)), F.array(*map(F.lit, FAMILIES["otro"])))
+    return F.transform(values, lambda x, i: F.when(unit(i, 1) < rules(i)[0], 0.0).otherwise(x) + rules(i)[1] * normal(i))
+
+
 def sinkhorn(scores: DataFrame, bag: str, row: str, kind: str, score: str, target: DataFrame, rounds: int = 5) -> DataFrame:
     """(bag, row, kind, q): exp(scores) scaled in turn to the bag's class masses and to 1 for each row.
 
     target: (bag, kind, w), proportions; a class's mass is w times the bag's
-    rows. The scale factors alone change, kept as one column, so a round is two
-    windows over the same partitioning by bag.
+    rows. Rows are dealt by bag once, which serves every window of every round;
+    a bag's rows must fit a task, as its size is bounded where bags are sampled.
     """
     from pyspark.sql import Window as W
 
     top = F.max(score).over(W.partitionBy(bag, row))
-    q = scores.join(target, [bag, kind]).withColumn("q", F.exp(F.col(score) - top))
     counts = scores.groupBy(bag).agg(F.count_distinct(row).alias("_rows"))
-    q = q.join(counts, bag)
+    q = scores.join(target.join(counts, bag), [bag, kind]).repartition(bag).withColumn("q", F.exp(F.col(score) - top))
     for _ in range(rounds):
         q = q.withColumn("q", F.col("q") * F.try_divide(F.col("w") * F.col("_rows"), F.sum("q").over(W.partitionBy(bag, kind))))
         q = q.withColumn("q", F.try_divide(F.col("q"), F.sum("q").over(W.partitionBy(bag, row))))

@@ -51,6 +51,11 @@ def curve(df: DataFrame, y: str, score: str, weight: str | None = None) -> DataF
     """
     w = F.col(weight) if weight else F.lit(1.0)
     sums = df.groupBy(F.col(score).alias("score")).agg(F.sum(F.when(F.col(y) == 1, w).otherwise(0.0)).alias("p"), F.sum(F.when(F.col(y) == 1, 0.0).otherwise(w)).alias("n"))
+    return summed_curve(sums)
+
+
+def summed_curve(sums: DataFrame) -> DataFrame:
+    """The curve of rows (score, p, n) with one row for each score."""
     whole = sums.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     return running(sums, "score", {"tp": "p", "fp": "n"}, descending=True).crossJoin(F.broadcast(whole))  # one row
 

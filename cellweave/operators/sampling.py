@@ -74,6 +74,15 @@ def folds(groups: DataFrame, key: str, size: str, k: int) -> DataFrame:
     return groups.select(key, size, F.when(F.pmod(lap, F.lit(2)) == 0, at).otherwise(k - 1 - at).cast("int").alias("fold"))
 
 
+def class_folds(groups: DataFrame, key: str, kind: str, size: str, k: int) -> DataFrame:
+    """(key, kind, size, fold): within each dominant class, groups from large to small go round the folds there and back, each class starting one fold on."""
+    classes = groups.select(kind).distinct().withColumn("_k", F.row_number().over(W.orderBy(kind)) - 1)  # a row for each class
+    n = F.row_number().over(W.partitionBy(kind).orderBy(F.desc(size), key)) - 1
+    lap, at = F.floor(n / k), F.pmod(n, F.lit(k))
+    turned = F.when(F.pmod(lap, F.lit(2)) == 0, at).otherwise(k - 1 - at)
+    return groups.join(classes, kind).select(key, kind, size, F.pmod(turned + F.col("_k"), F.lit(k)).cast("int").alias("fold"))
+
+
 def within_class_split(df: DataFrame, kind: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds is_test: the first share of each class by ticket."""
     place = F.row_number().over(W.partitionBy(kind).orderBy(ticket(key, seed), key))

@@ -25,16 +25,16 @@ def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH v AS (SELECT vec_id, (vec_id % 20)::DOUBLE AS x, ((vec_id // 20) % 20)::DOUBLE AS y, label, abs(embedding[5]::DOUBLE) AS b, exp(embedding[1]::DOUBLE / 0.1) AS e0, exp(embedding[2]::DOUBLE / 0.1) AS e1, exp(embedding[3]::DOUBLE / 0.1) AS e2, exp(embedding[4]::DOUBLE / 0.1) AS e3 FROM embeddings),
   i AS (SELECT vec_id FROM (SELECT vec_id, count(*) FILTER ((y1 > y) <> (y2 > y) AND x < x1 + (y - y1) * (x2 - x1) / (CASE WHEN y2 = y1 THEN 1 ELSE y2 - y1 END)) AS n FROM v, (VALUES {EDGES}) s(x1, y1, x2, y2) WHERE label % 2 = 0 GROUP BY 1) WHERE n % 2 = 1),
   p AS (SELECT unnest(['Papa', 'Cafe', 'Maiz', 'Mora']) AS cultivo, unnest([b / t, e1 / s / t, e2 / s / t, e3 / s / t]) AS p FROM (SELECT *, b + (e1 + e2 + e3) / s AS t FROM (SELECT *, e0 + e1 + e2 + e3 AS s FROM v)) JOIN i USING (vec_id))
-  SELECT cultivo, round(avg(p), 6) AS prob_media, round(max(p), 6) AS prob_max, CASE cultivo WHEN 'Papa' THEN '#8B4513' WHEN 'Cafe' THEN '#4B2E05' WHEN 'Maiz' THEN '#FFD700' ELSE '#6A0DAD' END AS color FROM p GROUP BY 1 ORDER BY 2 DESC""")
+  SELECT cultivo, round(avg(p), 6) AS prob_media, round(max(p), 6) AS prob_max, CASE cultivo WHEN 'Papa' THEN '#8B4513' WHEN 'Cafe' THEN '#6F4E37' WHEN 'Maiz' THEN '#FFD700' ELSE '#8B0000' END AS color FROM p GROUP BY 1 ORDER BY 2 DESC""")
 def recommend_in_polygon(spark, sf):
     recommend.validated("2024A", POLYGON, ("2023B", "2024A"))
     inside = recommend.pixels(_pixels(spark, sf), "2024A", POLYGON)
-    chances = recommend.combined(inside, lambda d: d.select("vec_id", F.col("soft").alias("p")), 0, F.col("binary"), "vec_id")
+    chances = recommend.combined(inside, lambda d, kept: d.select("vec_id", F.col("soft").alias("p"), kept), 0, F.col("binary"), "vec_id")
     out = recommend.ranked(chances, CLASSES)
     return out.select("cultivo", r("prob_media").alias("prob_media"), r("prob_max").alias("prob_max"), "color")
 
 
-def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _view(spark: SparkSession, sf_dir: str, ids: bool = True) -> DataFrame:
     """The wide view on the tables: a cell is a customer, a region a nation, a monitored crop an urgent order."""
     reg = registry(spark, sf_dir).withColumn("cultivo", F.when(F.col("cultivo") == "BUILDING", "Papa").when(F.col("cultivo") == "MACHINERY", "Cafe").otherwise(F.col("cultivo")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
@@ -46,7 +46,7 @@ def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     monitored = full.where("o_orderpriority like '1%'").select(F.col("o_custkey").alias("cell"), "semestre", "cultivo", F.col("o_orderkey").alias("ord"))
     shared = labels.shares(reg.withColumn("cod_mun", F.lpad(F.col("mun").cast("string"), 5, "0")), ["cod_mun", "semestre"], "cultivo", "area", [F.median("area").alias("rendimiento")])
     regions = labels.as_map(shared.where("cod_mun < '00015'"), ["cod_mun", "semestre"], "cultivo")  # the last regions report nothing
-    return view.assembled(view.derived(view.labelled(cells, monitored, regions, shared)), {"cod_mun": "string"})
+    return view.assembled(view.derived(view.labelled(cells, monitored, regions, shared)), {"cod_mun": "string"}, ids)
 
 
 @query(f"""WITH g AS (SELECT *, CASE cultivo WHEN 'BUILDING' THEN 'Papa' WHEN 'MACHINERY' THEN 'Cafe' ELSE cultivo END AS c FROM {REGISTRY_SQL}),
@@ -56,7 +56,7 @@ def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
   top AS (SELECT mun, semestre, k FROM sh QUALIFY row_number() OVER (PARTITION BY mun, semestre ORDER BY a DESC, CASE k WHEN 'Papa' THEN 0 WHEN 'Cafe' THEN 2 ELSE 18 END) = 1)
   SELECT semestre, fuente, cultivo, count(*)::BIGINT AS n FROM (SELECT semestre, coalesce(m, k, CASE WHEN votes >= 3 OR ndvi < 0.15 THEN 'No_apto' END) AS cultivo, CASE WHEN m IS NOT NULL THEN 'monitoreo' WHEN k IS NOT NULL THEN 'eva_municipal' ELSE 'noapto_proxy' END AS fuente FROM cells LEFT JOIN mon USING (cell, semestre) LEFT JOIN top USING (mun, semestre)) WHERE cultivo IS NOT NULL GROUP BY ALL""")
 def minable_view_labels(spark, sf):
-    return _view(spark, sf).groupBy("semestre", "fuente", "cultivo").agg(big(F.count(F.lit(1))).alias("n"))
+    return _view(spark, sf, False).groupBy("semestre", "fuente", "cultivo").agg(big(F.count(F.lit(1))).alias("n"))
 
 
 @query(None)

@@ -210,6 +210,21 @@ def missing_months(spark, sf):
     return temporal.calendar(spark, 1992, 1998).select("month_label").join(found, "month_label", "left_anti")
 
 
+@query("SELECT o_orderpriority AS variable, count(DISTINCT strftime(o_orderdate, '%Y_%m'))::BIGINT AS encontrados, 84::BIGINT AS esperados, round(count(DISTINCT strftime(o_orderdate, '%Y_%m')) * 100.0::DOUBLE / 84, 6) AS cobertura_pct FROM orders WHERE o_totalprice > 450000 AND year(o_orderdate) BETWEEN 1992 AND 1998 GROUP BY 1")
+def monthly_coverage(spark, sf):
+    """Months found of those expected, in percent, for each variable."""
+    month = F.date_format("o_orderdate", "yyyy_MM")
+    found = table(spark, sf, "orders").where((F.col("o_totalprice") > 450000) & F.year("o_orderdate").between(1992, 1998)).groupBy(F.col("o_orderpriority").alias("variable")).agg(big(F.count_distinct(month)).alias("encontrados"))
+    return found.select("variable", "encontrados", big(F.lit(84)).alias("esperados"), r(F.col("encontrados") * 100.0 / 84).alias("cobertura_pct"))
+
+
+@query(f"SELECT semestre, cultivo, round(median(rend), 4) AS rendimiento FROM (SELECT mun, semestre, cultivo, median(area) AS rend FROM {REGISTRY_SQL} GROUP BY ALL) GROUP BY ALL")
+def regional_yield(spark, sf):
+    """The median over regions of a class's yield in a semester, as monitored cells take it."""
+    by_region = registry(spark, sf).groupBy("mun", "semestre", "cultivo").agg(F.median("area").alias("rend"))
+    return by_region.groupBy("semestre", "cultivo").agg(r(F.median("rend"), 4).alias("rendimiento"))
+
+
 @query("""SELECT strftime(d, '%Y_%m') AS month_label, year(d)::VARCHAR || CASE WHEN month(d) <= 6 THEN 'A' ELSE 'B' END AS semestre, day(last_day(d))::INT AS days FROM generate_series(TIMESTAMP '2020-01-01', TIMESTAMP '2024-06-01', INTERVAL 1 MONTH) t(d)""")
 def month_calendar(spark, sf):
     return temporal.calendar(spark, 2020, 2024, False).select("month_label", F.col("semester").alias("semestre"), F.col("days").cast("int").alias("days"))

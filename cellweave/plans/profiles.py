@@ -274,6 +274,14 @@ def mass_threshold(spark, sf):
     return chances(spark, sf).where(total(F.slice("p", 1, 2)) >= 0.6).select("vec_id")
 
 
+@query("SELECT vec_id FROM (SELECT vec_id, avg((label % 3 = 0)::INT) OVER (PARTITION BY vec_id % 40) AS part FROM embeddings) WHERE part >= 0.3")
+def bag_mass_filter(spark, sf):
+    """Rows of the bags in which at least a share of rows has its label from the region."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.pmod("vec_id", F.lit(40)).alias("bag"), (F.col("label") % 3 == 0).cast("int").alias("regional"))
+    kept = e.groupBy("bag").agg(F.avg("regional").alias("part")).where("part >= 0.3")
+    return e.join(kept, "bag", "left_semi").select("vec_id")
+
+
 @query("""SELECT l_orderkey, l_linenumber FROM (SELECT *, CASE WHEN l_linenumber = 2 THEN NULL ELSE l_discount * 10 END AS m, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_tax END AS s FROM lineitem)
   WHERE coalesce(NOT (m < 0.15 OR (m > 0.80 AND coalesce(s, 1) < 0.06) OR (m > 0.55 AND coalesce(s, 1) < 0.04)), true)""")
 def agricultural_mask(spark, sf):

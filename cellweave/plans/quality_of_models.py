@@ -86,6 +86,15 @@ def error_kinds(spark, sf):
     return metrics.error_kinds(predicted(spark, sf), "y", "pred").withColumn("fp_rate", r("fp_rate")).withColumn("fn_rate", r("fn_rate"))
 
 
+@query("""SELECT l_suppkey AS cod_mun, count(*) FILTER (y = 0)::BIGINT AS fp, count(*) FILTER (y = 1)::BIGINT AS fn, count(*)::BIGINT AS total
+  FROM (SELECT l_suppkey, (l_returnflag = 'R')::INT AS y, (l_discount * 5 + l_tax >= 0.35)::INT AS pred FROM lineitem) WHERE y <> pred GROUP BY 1 ORDER BY total DESC, cod_mun LIMIT 10""")
+def errors_by_region(spark, sf):
+    """The ten regions with most wrong predictions, by kind of error."""
+    y, wrong = F.col("l_returnflag") == "R", (F.col("l_returnflag") == "R") != (F.col("l_discount") * 5 + F.col("l_tax") >= 0.35)
+    g = table(spark, sf, "lineitem").where(wrong).groupBy(F.col("l_suppkey").alias("cod_mun")).agg(big(F.count_if(~y)).alias("fp"), big(F.count_if(y)).alias("fn"), big(F.count(F.lit(1))).alias("total"))
+    return g.orderBy(F.desc("total"), "cod_mun").limit(10)
+
+
 @query(f"SELECT banda, count(*)::BIGINT AS n, round(avg((y = pred)::INT), 6) AS accuracy FROM (SELECT *, CASE WHEN w > 40 THEN 'L1' WHEN w > 20 THEN 'L2' ELSE 'L3' END AS banda FROM {PREDICTED_SQL}) GROUP BY 1")
 def metrics_by_source(spark, sf):
     band = F.when(F.col("w") > 40, "L1").when(F.col("w") > 20, "L2").otherwise("L3")
@@ -232,6 +241,27 @@ def boosted_trees(spark, sf):
     return out.select("doc_id", "y", vector_to_array("probability")[1].alias("p"))
 
 
+@query(None)
+def boosted_stages(spark, sf):
+    """Held-out average precision after each tree, by which the number of trees is chosen."""
+    rows = _quality(spark, sf)
+    model = learning.boosted_binary(rows.where("not held"), FEATURES, "y", "w", None, 4, 3)
+    found = learning.boosted_stop(model, rows.where("held"), FEATURES, "y")
+    return spark.createDataFrame([(i + 1, v, i == found.index(max(found))) for i, v in enumerate(found)], "trees int, average_precision double, best boolean")
+
+
+@query(None)
+def boosted_gains(spark, sf):
+    model = learning.boosted_binary(_quality(spark, sf), FEATURES, "y", "w", None, 4, 3)
+    return spark.createDataFrame(sorted(zip(FEATURES, map(float, model.featureImportances.toArray()), strict=True), key=lambda x: -x[1]), "name string, gain double")
+
+
+@query(None)
+def boosted_classes(spark, sf):
+    rows = _quality(spark, sf).select("doc_id", *FEATURES, F.when(F.col("size") < 6, 0.0).when(F.col("size") < 7.5, 1.0).otherwise(2.0).alias("kind"))
+    return learning.class_chances(rows, learning.boosted_multiclass(rows, FEATURES, "kind", 2, 2), FEATURES).select("doc_id", "kind", "p")
+
+
 @query(None)
 def feature_importance(spark, sf):
     model = learning.forest(_quality(spark, sf), FEATURES, "y", 5, 4)
@@ -259,16 +289,28 @@ def hyperparameter_search(spark, sf):
 
 @query(None)
 def principal_components(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)])
-    model = learning.components(e, [f"x{i}" for i in range(8)], 4)
+    """All components of all numbers of the vectors: each one's share, the running share, and the mean squared error of rebuilding a row from so many."""
+    width = 64
+    e = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(width)])
+    model = learning.components(e, [f"x{i}" for i in range(width)], width)
+    variance = sum(e.agg(*[F.var_samp(f"x{i}") for i in range(width)]).first()) / width
     explained = model.explainedVariance.toArray()
-    return spark.createDataFrame([(i + 1, float(v), float(explained[: i + 1].sum())) for i, v in enumerate(explained)], "k int, share double, running double")
+    return spark.createDataFrame([(i + 1, float(v), float(explained[: i + 1].sum()), variance * max(0.0, 1 - float(explained[: i + 1].sum()))) for i, v in enumerate(explained)], "k int, share double, running double, rebuilt_mse double")
+
+
+def _trained(spark, sf, epochs):
+    e = table(spark, sf, "embeddings").withColumn("q", F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: (k == F.col("label") % 5).cast("double")))
+    return learning.train_encoder(e, "embedding", "q", F.lit(1.0), F.col("vec_id") % 7 == 0, (32, 16), epochs)
+
+
+@query(None)
+def encoder_training(spark, sf):
+    return spark.createDataFrame(_trained(spark, sf, 8)[1], "epoch int, rate double, loss double, held_loss double")
 
 
 @query(None)
 def encoder_inference(spark, sf):
-    model = learning.Encoder.random(64, (32, 16), 5)
-    return learning.infer(table(spark, sf, "embeddings"), "vec_id", "embedding", model)
+    return learning.infer(table(spark, sf, "embeddings"), "vec_id", "embedding", _trained(spark, sf, 4)[0])
 
 
 @query(None)
@@ -277,6 +319,12 @@ def augmented_features(spark, sf):
     return e.select("vec_id", learning.augmented(vectors.doubles("embedding"), F.col("vec_id")).alias("x"))
 
 
+@query(None)
+def augmented_by_family(spark, sf):
+    families = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(i < 16, "topo").when(i < 32, "clima").when(i < 48, "s2").otherwise("otro"))
+    return table(spark, sf, "embeddings").select("vec_id", learning.augmented_by_family(vectors.doubles("embedding"), families, F.col("vec_id")).alias("x"))
+
+
 @query(None)
 def nearest_spread(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("bag", F.floor(F.col("vec_id") / 256))  # bags of 256

@@ -17,7 +17,11 @@ from ..operators import grid, metrics
 from ..sources import sinks
 
 # Colours of classes on a map.
-COLOURS = {"Papa": "#8B4513", "Cafe": "#4B2E05", "Maiz": "#FFD700", "Mora": "#6A0DAD", "No_apto": "#808080"}
+COLOURS = {
+    "Papa": "#8B4513", "Cafe": "#6F4E37", "Maiz": "#FFD700", "Cana_Panelera": "#9ACD32", "Platano": "#FFFF66", "Mango": "#FFA500",
+    "Frijol": "#A0522D", "Cacao": "#7B3F00", "Arveja": "#7CFC00", "Palma": "#228B22", "Banano": "#FFE135", "Citricos": "#FFA07A",
+    "Mora": "#8B0000", "Zanahoria": "#FF8C00", "Tomate_Arbol": "#FF6347", "Yuca": "#DEB887", "Habichuela": "#90EE90", "Hortalizas": "#3CB371",
+}
 PLAIN_COLOUR = "#888888"
 
 
@@ -33,11 +37,14 @@ def pixels(view: DataFrame, semester: str, polygon: Sequence, x: str = "x", y: s
     return grid.within(view.where(F.col(label) == semester), polygon, x, y)
 
 
-def combined(df: DataFrame, soft: Callable[[DataFrame], DataFrame], replaced: int, binary: Column, key: str) -> DataFrame:
-    """(key, p): chances of the many-class model with one class's chance taken from the binary model, renormalised."""
-    p = soft(df).join(df.select(key, binary.alias("_b")), key)
+def combined(df: DataFrame, soft: Callable[[DataFrame, str], DataFrame], replaced: int, binary: Column, key: str) -> DataFrame:
+    """(key, p): chances of the many-class model with one class's chance taken from the binary model, renormalised.
+
+    soft(df, "_b") returns (key, p, _b): the binary chance goes along, so that the rows are read once.
+    """
+    p = soft(df.withColumn("_b", binary), "_b")
     swapped = F.transform("p", lambda v, i: F.when(i == replaced, F.col("_b")).otherwise(v))
-    return p.select(key, F.transform(swapped, lambda v: v).alias("_q"), "_b").select(key, vectors.row_normalised("_q").alias("p"))
+    return p.select(key, swapped.alias("_q")).select(key, vectors.row_normalised("_q").alias("p"))
 
 
 def ranked(chances: DataFrame, classes: Sequence[str]) -> DataFrame:

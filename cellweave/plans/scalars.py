@@ -78,18 +78,24 @@ def spectral_indices(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", *[r(c, 5).alias(k) for k, c in out.items()])
 
 
-@query("""SELECT l_suppkey, round(avg(10 * log10(l_quantity)) FILTER (l_quantity > 0 AND l_tax > 0), 5) AS vv, round(avg(10 * log10(l_tax)) FILTER (l_quantity > 0 AND l_tax > 0), 5) AS vh,
-  round(avg(10 * log10(l_tax)) FILTER (l_quantity > 0 AND l_tax > 0) - avg(10 * log10(l_quantity)) FILTER (l_quantity > 0 AND l_tax > 0), 5) AS ratio FROM lineitem WHERE l_quantity > 0 AND l_tax > 0 GROUP BY 1""")
+@query("""SELECT l_suppkey, week, coalesce(round(avg(10 * log10(q)) FILTER (ok), 5), 0.0) AS vv, coalesce(round(avg(10 * log10(t)) FILTER (ok), 5), 0.0) AS vh,
+  coalesce(round(avg(10 * log10(t)) FILTER (ok) - avg(10 * log10(q)) FILTER (ok), 5), 0.0) AS ratio
+  FROM (SELECT l_suppkey, (floor(epoch(l_shipdate) / 604800))::BIGINT AS week, CASE WHEN l_quantity > 0 AND l_tax > 0 THEN l_quantity ELSE 1 END AS q, CASE WHEN l_quantity > 0 AND l_tax > 0 THEN l_tax ELSE 1 END AS t, l_quantity > 0 AND l_tax > 0 AS ok FROM lineitem) GROUP BY ALL""")
 def radar_db(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_quantity > 0 and l_tax > 0")
-    vv, vh = F.avg(agronomy.decibel("l_quantity")), F.avg(agronomy.decibel("l_tax"))
-    return li.groupBy("l_suppkey").agg(r(vv, 5).alias("vv"), r(vh, 5).alias("vh"), r(vh - vv, 5).alias("ratio"))
+    """Mean decibels of the valid samples of a cell and week; 0 where none is valid."""
+    ok = (F.col("l_quantity") > 0) & (F.col("l_tax") > 0)
+    mean = lambda c: F.avg(F.when(ok, agronomy.decibel(c)))
+    vv, vh = mean("l_quantity"), mean("l_tax")
+    week = F.floor(F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) / 604800).cast("long").alias("week")
+    zero = lambda c, name: F.coalesce(r(c, 5), F.lit(0.0)).alias(name)
+    return table(spark, sf, "lineitem").groupBy("l_suppkey", week).agg(zero(vv, "vv"), zero(vh, "vh"), zero(vh - vv, "ratio"))
 
 
-@query("SELECT l_partkey, coalesce(round(median(l_extendedprice), 4), 0.0) AS composite FROM lineitem WHERE l_linenumber NOT IN (3, 8, 9, 10) GROUP BY 1")
+@query("SELECT l_orderkey, coalesce(round(median(l_extendedprice) FILTER (l_linenumber NOT IN (3, 8, 9, 10) AND l_tax > 0.02), 4), 0.0) AS composite FROM lineitem GROUP BY 1")
 def cloud_free_median(spark, sf):
-    li = table(spark, sf, "lineitem").where(agronomy.cloud_free("l_linenumber"))
-    return li.groupBy("l_partkey").agg(F.coalesce(r(F.median("l_extendedprice"), 4), F.lit(0.0)).alias("composite"))
+    """Median of the cloud-free samples of a cell; 0 where clouds hide them all."""
+    clear = agronomy.cloud_free("l_linenumber") & (F.col("l_tax") > 0.02)
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.coalesce(r(F.median(F.when(clear, F.col("l_extendedprice"))), 4), F.lit(0.0)).alias("composite"))
 
 
 @query("SELECT o_orderkey, (month(o_orderdate) > 6)::INT AS sem, round(cos(pi() * (month(o_orderdate) > 6)::INT), 6) AS sem_cos, round((year(o_orderdate) - 1992) / 6.0::DOUBLE, 6) AS year_norm FROM orders")

@@ -187,6 +187,16 @@ def confusers(spark, sf):
 
 # samples and splits
 
+@query("""WITH c AS (SELECT l_suppkey, l_returnflag AS kind, count(*) AS n FROM lineitem GROUP BY ALL), d AS (SELECT l_suppkey, arg_max(kind, n * 1000 - ascii(kind)) AS kind, sum(n)::BIGINT AS n FROM c GROUP BY 1),
+  k AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, l_suppkey) - 1 AS i, dense_rank() OVER (ORDER BY kind) - 1 AS g FROM d)
+  SELECT l_suppkey, kind, n, ((CASE WHEN (i // 5) % 2 = 0 THEN i % 5 ELSE 4 - i % 5 END + g) % 5)::INT AS fold FROM k""")
+def class_group_folds(spark, sf):
+    """Five folds of whole suppliers, balanced within the flag most of their rows have."""
+    c = table(spark, sf, "lineitem").groupBy("l_suppkey", F.col("l_returnflag").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    groups = c.groupBy("l_suppkey").agg(F.max_by("kind", F.col("n") * 1000 - F.ascii("kind")).alias("kind"), big(F.sum("n")).alias("n"))
+    return sampling.class_folds(groups, "l_suppkey", "kind", "n", 5)
+
+
 QUOTA_SQL = "(SELECT c_nationkey, c_mktsegment, count(*) AS n, least(count(*), greatest(1, floor(400 * count(*) / (SELECT count(*) FROM customer)::DOUBLE)))::BIGINT AS quota FROM customer GROUP BY ALL)"
 
 

@@ -76,12 +76,17 @@ def derived(df: DataFrame) -> DataFrame:
     )
 
 
-def assembled(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
-    """The contract's columns in order, absent ones as typed missing values, rows without any label left out, ids running on across semesters."""
+def assembled(df: DataFrame, types: dict[str, str] | None = None, ids: bool = True) -> DataFrame:
+    """The contract's columns in order, absent ones as typed missing values, rows without any label left out.
+
+    With ids, pixel_id runs on across semesters, which costs a shuffle of all rows; without, it is missing.
+    """
     df = df.select(*[c for c in df.columns if c != "soft"], *[F.get("soft", F.lit(i)).alias(c) for i, c in enumerate(SOFT)]) if "soft" in df.columns else df
     have = set(df.columns)
     missing = [F.lit(None).cast((types or {}).get(c, "double")).alias(c) for c in COLUMNS if c not in have and c != "pixel_id"]
     kept = df.select("*", *missing).where(F.length("cultivo") > 0)
+    if not ids:
+        return kept.withColumn("pixel_id", F.lit(None).cast("long")).select("cell", *COLUMNS)
     block = F.floor(F.col("cell") / 4096)
     counts = kept.groupBy("semestre", block.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("semestre", "_b", (F.sum("_n").over(W.orderBy("semestre", "_b")) - F.col("_n")).alias("_base"))

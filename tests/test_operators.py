@@ -83,6 +83,74 @@ def test_encoder_chances_sum_to_one():
     assert np.allclose(p.sum(1), 1) and np.allclose(learning.orthogonal_prototypes(4, 8) @ learning.orthogonal_prototypes(4, 8).T, np.eye(4))
 
 
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(1)
+    model, x = learning.Encoder.random(5, (7, 6, 4), 3, seed=2, tau=0.5), rng.normal(size=(9, 5))
+    target, weight = rng.dirichlet(np.ones(3), 9), rng.random(9)
+    _, slope = model.slopes(x, target, weight)
+    flat = model.flat()
+    for i in rng.choice(len(flat), 25, replace=False):
+        step = np.zeros(len(flat))
+        step[i] = 1e-5
+        up, down = (model.with_weights(flat + d * step).slopes(x, target, weight)[0] for d in (1, -1))
+        assert abs((up - down) / 2e-5 - slope[i]) < 1e-5
+
+
+def test_training_lowers_the_loss_and_models_reload(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=6) + 3 * np.eye(6)[i % 3]).tolist() if i % 50 else [float("nan")] * 6, np.eye(3)[i % 3].tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, q array<double>").repartition(3)
+    model, log = learning.train_encoder(df, "x", "q", F.lit(1.0), F.col("id") % 5 == 0, (16, 8), 12, peak=0.05)
+    again = learning.train_encoder(df, "x", "q", F.lit(1.0), F.col("id") % 5 == 0, (16, 8), 12, peak=0.05)[1]
+    assert log[-1][2] < 0.6 * log[0][2] and np.allclose([r[2] for r in log], [r[2] for r in again])
+    model.save(spark, str(tmp_path / "m"))
+    x = np.array([r[1] for r in rows])
+    assert np.allclose(model.chances(x), learning.Encoder.load(spark, str(tmp_path / "m")).chances(x))
+    found = learning.infer(df, "id", "x", model, "q")
+    hits = [np.argmax(r["p"]) == np.argmax(r["q"]) for r in found.collect()]
+    assert np.mean(hits) > 0.85 and found.columns == ["id", "p", "q"]
+    assert [round(learning.learning_rate(e, 2, 6, 1.0), 3) for e in range(6)] == [0.5, 1.0, 1.0, 0.854, 0.5, 0.146]
+
+
+def test_boosting_stops_by_precision_and_knows_several_classes(spark):
+    rng = np.random.default_rng(7)
+    rows = [(float(a), float(b), float(a + 0.3 * b > 0), float((a > 0) + (b > 0.5))) for a, b in rng.normal(size=(400, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, y double, kind double")
+    model = learning.boosted_binary(df, ["a", "b"], "y", rounds=3, depth=2)
+    by = learning.boosted_stop(model, df, ["a", "b"], "y")
+    assert len(by) == 3 and by[-1] > 0.9
+    from pyspark.ml.functions import vector_to_array
+
+    whole = learning.staged(model.transform(learning.assemble(df, ["a", "b"])).select("a", "b", vector_to_array("probability")[1].alias("want")), model, ["a", "b"])
+    assert all(abs(r["chances"][-1] - r["want"]) < 1e-9 for r in whole.collect())
+    several = learning.class_chances(df, learning.boosted_multiclass(df, ["a", "b"], "kind", 3, 3), ["a", "b"]).collect()
+    assert all(abs(sum(r["p"]) - 1) < 1e-9 for r in several) and np.mean([np.argmax(r["p"]) == r["kind"] for r in several]) > 0.9
+
+
+def test_families_of_features_are_augmented_apart(spark):
+    families = F.array(*[F.lit(x) for x in ("topo", "clima", "s2", "rest")])
+    df = spark.range(4000).select("id", learning.augmented_by_family(F.array(*[F.lit(10.0)] * 4), families, F.col("id")).alias("x"))
+    x = np.array([r["x"] for r in df.orderBy("id").collect()])
+    assert np.allclose((abs(x) < 5).mean(0), [0, 0.1, 0.2, 0.1], atol=0.02)
+    assert np.allclose([x[:, i][x[:, i] > 5].std() for i in range(4)], [0.01, 0.05, 0.05, 0.025], rtol=0.1)
+
+
+def test_an_outlier_leaves_the_buckets_even(spark):
+    df = spark.range(20000).select(F.when(F.col("id") == 7, 1e15).otherwise(F.col("id").cast("double")).alias("v"), F.lit(1).alias("n"))
+    at = ordered.running(df.withColumn("b", F.lit(0)), "v", {"upto": "n"}, buckets=50)
+    assert [r["upto"] for r in at.orderBy("v").collect()] == list(range(1, 20001))
+    edges = df.agg(F.percentile_approx("v", [i / 50 for i in range(1, 50)], 1000).alias("_e"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.slice("_e", i * 7 + 1, F.lit(7)))
+    dealt = df.crossJoin(edges.select(blocks.alias("_blocks"))).groupBy(ordered._bucket(F.col("v"), "_blocks").alias("b")).count().collect()
+    assert len(dealt) == 50 and max(r["count"] for r in dealt) < 2 * 400
+    # brackets narrower than the group: the same quantiles as numpy's
+    wide = df.select(F.lit("a").alias("name"), F.col("v").alias("value"))
+    got = {r["q"]: r["value"] for r in ordered.quantiles(wide, [0.0, 0.3, 0.5, 0.999, 1.0], accuracy=500).collect()}
+    values = np.arange(20000.0)
+    values[7] = 1e15
+    assert all(abs(v - np.quantile(values, q)) < 1e-6 * max(1, abs(v)) for q, v in got.items()) and len(got) == 5
+
+
 def test_running_sums_and_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(5)
     values = {"a": rng.normal(size=400).round(2), "b": np.array([3.0]), "c": np.repeat([1.0, 2.0], 50)}
