@@ -89,6 +89,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9_mixing aims at, which SQL can state: the rounding of its copies it can't."""
+    return op9_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edited texts that op3_fingerprints compares, which SQL can state."""
+    return op3_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_packing": op2_packing,
@@ -100,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "mixing_targets": mixing_targets,
+    "fingerprint_edits": fingerprint_edits,
 }
 
-SQL: dict[str, str] = {"op4_web_archive": sql.WEB_ARCHIVE, "op6_near_duplicates": sql.NEAR_DUPLICATES, "op8_url_filter": sql.URL_FILTER}
+SQL: dict[str, str] = {"op4_web_archive": sql.WEB_ARCHIVE, "op6_near_duplicates": sql.NEAR_DUPLICATES, "op8_url_filter": sql.URL_FILTER, "mixing_targets": sql.MIXING_TARGETS, "fingerprint_edits": sql.FINGERPRINT_EDITS}

@@ -49,3 +49,20 @@ SELECT page_id, j.host, path, rule, coalesce(act, CASE WHEN t + d > 0 AND d >= 0
 
 
 URL_FILTER = _url_filter()
+
+def _mixing_targets(rounds: int = 12) -> str:
+    """Excess of full sources is shared out again, as often as there can be sources that fill up one after another."""
+    steps = ["t0 AS (SELECT source, s, w, false AS filled FROM weighed)"]
+    level = "(1.5::DOUBLE * (SELECT sum(s) FROM weighed) - coalesce((SELECT sum(2.0::DOUBLE * s) FROM t{0} WHERE filled), 0)) / (SELECT sum(w) FROM t{0} WHERE NOT filled)"
+    for i in range(1, rounds + 1):
+        steps.append(f"t{i} AS MATERIALIZED (SELECT source, s, w, filled OR coalesce({level.format(i - 1)} * w >= 2.0::DOUBLE * s, false) AS filled FROM t{i - 1})")
+    return f"""WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+  sums AS (SELECT source, sum(size)::BIGINT AS s FROM d GROUP BY 1), weighed AS MATERIALIZED (SELECT source, s, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM sums),
+  {", ".join(steps)}
+SELECT doc_id, size, s AS source_size, round(CASE WHEN filled THEN 2.0::DOUBLE * s ELSE {level.format(rounds)} * w END, 3) AS target FROM d JOIN t{rounds} ON d.source IS NOT DISTINCT FROM t{rounds}.source"""
+
+
+MIXING_TARGETS = _mixing_targets()
+
+FINGERPRINT_EDITS = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id) AS i, count(*) OVER () AS n FROM documents)
+SELECT a.doc_id, length(a.t)::BIGINT AS n_chars, sha256(substr(a.t, 1, length(a.t) - length(a.t) // 2) || substr(b.t, 1, length(a.t) // 2)) AS edited_sha256 FROM d a JOIN d b ON b.i = a.i % a.n + 1"""

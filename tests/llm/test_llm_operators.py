@@ -753,7 +753,7 @@ def test_probes_come_in_order_of_success():
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES if q.startswith("op")) == list(range(1, 11))
 
 
 @pytest.mark.parametrize("name", [q for q in sorted(QUERIES) if not q.startswith(("op1_", "op4_", "op8_"))])
