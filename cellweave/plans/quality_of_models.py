@@ -325,10 +325,19 @@ def augmented_by_family(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", learning.augmented_by_family(vectors.doubles("embedding"), families, F.col("vec_id")).alias("x"))
 
 
-@query(None)
+@query("""WITH e AS (SELECT vec_id, vec_id // 256 AS bag, embedding::DOUBLE[] AS x FROM embeddings), m AS (SELECT a.bag, a.vec_id, max(list_cosine_similarity(a.x, b.x)) AS c FROM e a JOIN e b ON a.bag = b.bag AND a.vec_id <> b.vec_id GROUP BY ALL)
+  SELECT bag, round(-avg(ln(sqrt(greatest(2 - 2 * c, 1e-16)) + 1e-8)), 5) AS loss FROM m GROUP BY 1""")
 def nearest_spread(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("bag", F.floor(F.col("vec_id") / 256))  # bags of 256
-    return learning.nearest_spread(e, "embedding", "bag")
+    return learning.nearest_spread(e, "embedding", "bag").select("bag", r("loss", 5).alias("loss"))
+
+
+@query("""WITH n AS (SELECT l_returnflag AS t, l_linestatus AS p, count(*) AS n FROM lineitem GROUP BY ALL), z AS (SELECT t, p, coalesce(n, 0) AS n FROM (SELECT DISTINCT t FROM n) CROSS JOIN (SELECT DISTINCT p FROM n) LEFT JOIN n USING (t, p))
+  SELECT round(max(a.n + b.n) / (SELECT sum(n) FROM n)::DOUBLE, 6) AS accuracy FROM z a JOIN z b ON a.p < b.p AND a.t <> b.t""")
+def matched_share(spark, sf):
+    """The accuracy of the best one-to-one reading alone, whatever reading ties leave."""
+    counts = metrics.dense_confusion(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
+    return spark.createDataFrame([(round(learning.matched_accuracy(counts)[0], 6),)], "accuracy double")
 
 
 @query(None)
