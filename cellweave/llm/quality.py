@@ -77,9 +77,10 @@ class QualityModel:
     layers: list[tuple[np.ndarray, np.ndarray]]
     temperature: float
     constant: float | None = None
+    shapes: bool = True
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return pooled(self.vectors, data, offsets)
+        return pooled(self.vectors, data, offsets, self.shapes)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -88,8 +89,8 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z / self.temperature, -30, 30)))
 
 
-def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Of each row: mean vector of its words, mean and spread of shapes, log size, share of distinct words."""
+def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray, shapes: bool = True) -> np.ndarray:
+    """Of each row: mean vector of its words, mean and spread of shapes, log size, share of distinct words, log of line breaks; without shapes the vector alone."""
     n, width = len(offsets) - 1, vectors.shape[1]
     out = np.zeros((n, width + 2 * SHAPES + 3), np.float64)
     bucket, rows, hashed, flags = tokens(data, offsets)
@@ -110,6 +111,8 @@ def pooled(vectors: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.nda
     out[full, -2] = [len(np.unique(bucket[x : x + c])) / c for x, c in zip(at, counts[full], strict=True)]
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
     out[full, -1] = np.log1p(breaks[offsets[1:]] - breaks[offsets[:-1]])[full]
+    if not shapes:
+        out[:, width:] = 0
     return out
 
 
@@ -138,14 +141,14 @@ def context_vectors(texts: list[str | None], window: int = 2) -> np.ndarray:
     return (context / np.maximum(length, 1e-6) + index).astype(np.float32)
 
 
-def train(texts: list[str | None], labels: np.ndarray, hidden: int = 24, epochs: int = 60, seed: int = 5) -> QualityModel:
+def train(texts: list[str | None], labels: np.ndarray, hidden: int = 24, epochs: int = 60, seed: int = 5, shapes: bool = True) -> QualityModel:
     """Rows in a fixed order: four fifths train, the last fifth sets the temperature."""
     vectors = context_vectors(texts)
-    x = np.concatenate([pooled(vectors, *raw(pa.array(texts[i : i + 64], pa.large_string()))) for i in range(0, len(texts), 64)]) if len(texts) else np.zeros((0, WIDTH + 2 * SHAPES + 3))
+    x = np.concatenate([pooled(vectors, *raw(pa.array(texts[i : i + 64], pa.large_string())), shapes) for i in range(0, len(texts), 64)]) if len(texts) else np.zeros((0, WIDTH + 2 * SHAPES + 3))
     y = labels.astype(np.float64)
     share = float((y.sum() + 1) / (len(y) + 2))
     if len(np.unique(y)) < 2:
-        return QualityModel(vectors, np.zeros(x.shape[1]), np.ones(x.shape[1]), [], 1.0, share)
+        return QualityModel(vectors, np.zeros(x.shape[1]), np.ones(x.shape[1]), [], 1.0, share, shapes)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
     z = (x - mean) / scale
     cut = max(1, len(z) * 4 // 5)
@@ -173,15 +176,15 @@ def train(texts: list[str | None], labels: np.ndarray, hidden: int = 24, epochs:
     out = forward(final, z[held])[1]
     grid = np.exp(np.linspace(np.log(0.25), np.log(8), 60))
     loss = [np.mean(np.logaddexp(0, -(2 * y[held] - 1) * out / t)) for t in grid]
-    return QualityModel(vectors, mean, scale, final, float(grid[int(np.argmin(loss))]))
+    return QualityModel(vectors, mean, scale, final, float(grid[int(np.argmin(loss))]), shapes=shapes)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0):
     return F.pmod(text_crc(doc_id), F.lit(parts)) == part
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> QualityModel:
-    """Learn from the labelled rows given, of which a hash of their id picks about `sample` at most."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "doc_id", text: str = "text", label: str = "quality", shapes: bool = True) -> QualityModel:
+    """Learn from the labelled rows given, of which a hash of their id picks about `sample` at most; without shapes from the word vectors alone."""
     named = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     total = named.count()
     ticket = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(1 << 30))
@@ -189,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "d
     # about `sample` ids, whatever the tables hold: small enough to send to every reader of the texts
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     found = sorted(((shuffled(r["doc_id"]), str(r["doc_id"]), r["text"], r["label"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
-    return train([r[2] for r in found], np.array([r[3] for r in found], int))
+    return train([r[2] for r in found], np.array([r[3] for r in found], int), shapes=shapes)
 
 
 def shuffled(value) -> bytes:

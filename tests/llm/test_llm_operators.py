@@ -497,6 +497,40 @@ def test_language_of_awkward_rows(docs, no_docs):
     assert {r["doc_id"] for r in language.keep_known(docs, model).collect()} == {i for i, *_ in ROWS} - {4, 5, 6, 9}
 
 
+def plain_grams(text):
+    """The n-grams of a text, byte by byte: letters in lower case, one gap for all that isn't a letter, a gap at both ends."""
+    out = []
+    for b in (text or "").encode():
+        b = b + 32 if 65 <= b <= 90 else b
+        if b >= 128 or 97 <= b <= 122:
+            out.append(b)
+        elif not out or out[-1]:
+            out.append(0)
+    if not text:
+        return []
+    seq = [0, *out, 0]
+    seq += [0] * (4 - len(seq))
+    return [tuple(seq[i : i + 4]) for i in range(len(seq) - 3)]
+
+
+def test_languages_equal_a_plain_version(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(150).collect()
+    texts = [r["text"] for r in rows]
+    hashed, at = language.grams(*raw(pa.array(texts, pa.large_string())))
+    plain = [plain_grams(t) for t in texts]
+    assert [len(g) for g in plain] == np.diff(at).tolist()
+    assert all(len(set(g)) == len(set(hashed[at[i] : at[i + 1]].tolist())) for i, g in enumerate(plain))
+    known, members = {}, {}
+    for i, r in enumerate(rows):
+        if r["lang"] is not None and i % 3:
+            known.setdefault(r["lang"], collections.Counter()).update(plain[i])
+            members.setdefault(r["lang"], []).append(hashed[at[i] : at[i + 1]])
+    model = language.LanguageModel.fit({k: np.unique(np.concatenate(v)) for k, v in members.items()})
+    shares = model.shares(*raw(pa.array(texts, pa.large_string())))
+    want = np.array([[sum(g in known[k] for g in gs) / max(len(gs), 1) for k in sorted(known)] for gs in plain])
+    assert np.abs(shares - want).max() < 0.05 and np.abs(shares - want).mean() < 0.002
+
+
 def test_filters_hold_all_members_and_more_than_64_languages():
     rng = np.random.default_rng(1)
     members = {f"l{i:03}": rng.integers(0, 1 << 63, 50).astype(np.uint64) for i in range(70)}
@@ -647,6 +681,24 @@ def test_quality_of_the_small_table(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
+def test_pooled_vectors_equal_a_plain_version():
+    texts = ["One two, two 33 (ok)!\nÉté two", "", "word"]
+    vectors = np.random.default_rng(3).normal(size=(quality.BUCKETS, quality.WIDTH)).astype(np.float32)
+    got = quality.pooled(vectors, *raw(pa.array(texts, pa.large_string())))
+    for t, row in zip(texts, got):
+        words = [w.encode() for w in WORDS.findall(t)]
+        if not words:
+            assert not row.any()
+            continue
+        buckets = [int(quality.tokens(*raw(pa.array([w.decode()], pa.large_string())))[0][0]) for w in words]
+        kinds = [[sum(97 <= b <= 122 for b in w), sum(65 <= b <= 90 for b in w), sum(48 <= b <= 57 for b in w), sum(b in b".,;:'\"()!?-" for b in w), 0, sum(b >= 128 for b in w)] for w in words]
+        flags = np.array([[x / len(w) for x in k] + [min(len(w), 32) / 16, float(i > 0 and w.lower() == words[i - 1].lower())] for i, (w, k) in enumerate(zip(words, kinds))])
+        want = np.concatenate([np.mean([vectors[b] for b in buckets], 0), flags.mean(0), flags.std(0), [np.log1p(len(words)), len(set(buckets)) / len(words), np.log1p(t.count("\n"))]])
+        assert np.allclose(row, want, atol=1e-3)
+    bare = quality.pooled(vectors, *raw(pa.array(texts, pa.large_string())), False)
+    assert np.array_equal(bare[:, : quality.WIDTH], got[:, : quality.WIDTH]) and not bare[:, quality.WIDTH :].any()
+
+
 def test_quality_of_awkward_rows(spark, docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 1), (12, 0), (7, 0), (None, 1), (9, None), (77, 1)], "doc_id long, quality int")
     model = quality.fit(docs, labels)
