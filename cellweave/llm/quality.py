@@ -8,8 +8,10 @@ is the mean of its rows' vectors with the means and spreads of its words' shapes
 The last fifth of the sample isn't trained on: on it a temperature is fitted, so
 that scores are chances and a threshold other than one half means something.
 
-Fitting takes at most about `sample` labelled rows, by a hash of their id;
-scoring reads whole texts.
+Fitting takes at most about `sample` labelled rows, by a hash of their id. Their
+contexts are summed and their features made where the texts are; the driver gets
+four tables of sums and a short row of numbers for each text. Scoring reads
+whole texts, of any length.
 
 Defined cases: null or empty text is scored by its empty vector; labels without
 a document, or null ones, aren't learned from; an id with several labels has the
@@ -29,21 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, text_crc
+from .common import forget, importable, store, text_crc
 from .text import BYTE_LOWER, U64, mix, raw, slices, span_hashes, word_spans
 
 BUCKETS, WIDTH, NONZERO, SHAPES = 1 << 13, 48, 6, 8
 
 
 def index_vectors(buckets: int = BUCKETS, width: int = WIDTH) -> np.ndarray:
-    """Sparse ternary vectors, fixed by a hash of the row."""
-    out = np.zeros((buckets, width), np.float32)
+    """Sparse ternary vectors of whole numbers, fixed by a hash of the row."""
+    out = np.zeros((buckets, width), np.int64)
     rows = np.arange(buckets, dtype=U64)
     with np.errstate(over="ignore"):
         for j in range(NONZERO):
             h = mix(rows * U64(31) + U64(j + 1) * U64(0xBF58476D1CE4E5B9))
             out[np.arange(buckets), (h % U64(width)).astype(np.int64)] += np.where((h >> U64(40)) & U64(1), 1, -1)
-    return out / np.sqrt(NONZERO, dtype=np.float32)
+    return out
 
 
 # Classes of bytes: lower, upper, digit, sentence mark, other ASCII mark, beyond ASCII.
@@ -122,29 +124,28 @@ def forward(layers: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray) -> tuple
     return hidden, (hidden @ c + d)[:, 0]
 
 
-def context_vectors(texts: list[str | None], window: int = 2) -> np.ndarray:
-    """Random indexing over the sample: each row sums its neighbours' index vectors; rows are scaled to length 1 and keep their own."""
-    index = index_vectors()
-    context = np.zeros_like(index)
-    for i in range(0, len(texts), 64):
-        bucket, rows, _, _ = tokens(*raw(pa.array(texts[i : i + 64], pa.large_string())))
-        for d in range(1, window + 1):
-            near = np.flatnonzero(rows[d:] == rows[:-d])
-            for here, there in ((near, near + d), (near + d, near)):
-                order = np.argsort(bucket[here], kind="stable")
-                here, there = bucket[here][order], bucket[there][order]
-                firsts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])) if len(here) else np.zeros(0, np.int64)
-                for a in range(0, len(firsts), 1024):
-                    lo, hi = firsts[a], firsts[a + 1024] if a + 1024 < len(firsts) else len(here)
-                    context[here[firsts[a : a + 1024]]] += np.add.reduceat(index[there[lo:hi]], firsts[a : a + 1024] - lo, axis=0)
+def add_contexts(context: np.ndarray, data: np.ndarray, offsets: np.ndarray, index: np.ndarray, window: int = 2) -> None:
+    """Random indexing: each row of context gains the index vectors of its words' neighbours. Sums of whole numbers, so their order doesn't matter."""
+    bucket, rows, _, _ = tokens(data, offsets)
+    for d in range(1, window + 1):
+        near = np.flatnonzero(rows[d:] == rows[:-d])
+        for here, there in ((near, near + d), (near + d, near)):
+            order = np.argsort(bucket[here], kind="stable")
+            here, there = bucket[here][order], bucket[there][order]
+            firsts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])) if len(here) else np.zeros(0, np.int64)
+            for a in range(0, len(firsts), 1024):
+                lo, hi = firsts[a], firsts[a + 1024] if a + 1024 < len(firsts) else len(here)
+                context[here[firsts[a : a + 1024]]] += np.add.reduceat(index[there[lo:hi]], firsts[a : a + 1024] - lo, axis=0)
+
+
+def word_vectors(context: np.ndarray) -> np.ndarray:
+    """Contexts scaled to length 1, and each row's own index vector."""
     length = np.linalg.norm(context, axis=1, keepdims=True)
-    return (context / np.maximum(length, 1e-6) + index).astype(np.float32)
+    return (context / np.maximum(length, 1e-6) + index_vectors() / np.sqrt(NONZERO)).astype(np.float32)
 
 
-def train(texts: list[str | None], labels: np.ndarray, hidden: int = 24, epochs: int = 60, seed: int = 5, shapes: bool = True) -> QualityModel:
-    """Rows in a fixed order: four fifths train, the last fifth sets the temperature."""
-    vectors = context_vectors(texts)
-    x = np.concatenate([pooled(vectors, *raw(pa.array(texts[i : i + 64], pa.large_string())), shapes) for i in range(0, len(texts), 64)]) if len(texts) else np.zeros((0, WIDTH + 2 * SHAPES + 3))
+def train(vectors: np.ndarray, x: np.ndarray, labels: np.ndarray, hidden: int = 24, epochs: int = 60, seed: int = 5, shapes: bool = True) -> QualityModel:
+    """Rows of features in a fixed order: four fifths train, the last fifth sets the temperature."""
     y = labels.astype(np.float64)
     share = float((y.sum() + 1) / (len(y) + 2))
     if len(np.unique(y)) < 2:
@@ -191,8 +192,37 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, doc_id: str = "d
     chosen = named.where(ticket < F.lit(float(sample)) / max(total, 1) * float(1 << 30)) if total > sample else named
     # about `sample` ids, whatever the tables hold: small enough to send to every reader of the texts
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    found = sorted(((shuffled(r["doc_id"]), str(r["doc_id"]), r["text"], r["label"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
-    return train([r[2] for r in found], np.array([r[3] for r in found], int), shapes=shapes)
+    rows, spark = store(rows, "sample"), docs.sparkSession
+    importable(spark)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = index_vectors()
+        context = np.zeros_like(index)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                add_contexts(context, *raw(part.column("text")), index)
+        yield pa.RecordBatch.from_arrays([pa.array([context.tobytes()], pa.binary())], ["sums"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.frombuffer(v.as_py(), np.int64) for batch in batches for v in batch.column("sums")]
+        yield pa.RecordBatch.from_arrays([pa.array([np.sum(parts, 0).tobytes()] if parts else [], pa.binary())], ["sums"])
+
+    sums = rows.select("text").mapInArrow(contexts, "sums binary").repartition(4).mapInArrow(added, "sums binary").collect()
+    context = np.sum([np.frombuffer(r["sums"], np.int64) for r in sums], 0).reshape(BUCKETS, WIDTH) if sums else np.zeros((BUCKETS, WIDTH), np.int64)
+    vectors = word_vectors(context)
+    shared = spark.sparkContext.broadcast(vectors)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                x = pooled(shared.value, *raw(part.column("text")), shapes)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+
+    made = rows.select("doc_id", "label", "text").mapInArrow(features, f"doc_id {dict(rows.dtypes)['doc_id']}, label int, x array<double>")
+    found = sorted(((shuffled(r["doc_id"]), str(r["doc_id"]), r["x"], r["label"]) for r in made.toLocalIterator()), key=lambda r: r[:2])  # about `sample` rows of some 70 numbers
+    forget(rows)
+    x = np.array([r[2] for r in found]).reshape(len(found), WIDTH + 2 * SHAPES + 3)
+    return train(vectors, x, np.array([r[3] for r in found], int), shapes=shapes)
 
 
 def shuffled(value) -> bytes:
