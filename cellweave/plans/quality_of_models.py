@@ -357,11 +357,11 @@ def linkage_order(spark, sf):
 
 @query(None)
 def kriged_field(spark, sf):
-    stations = table(spark, sf, "supplier").select(F.lit("2020_01").alias("period"), (F.col("s_suppkey") % 7 * 3.0).alias("x"), (F.col("s_suppkey") % 11 * 2.0).alias("y"), (F.col("s_suppkey") % 7 + F.col("s_suppkey") % 11 * 0.5).alias("value"))
-    from ..operators import grid
-
-    cells_ = grid.grid(spark, 10, 10).select("row", "col", (F.col("col") * 2.0).alias("x"), (F.col("row") * 2.0).alias("y"))
-    return learning.kriged(stations, cells_)
+    """Every cell of the grid from the stations of each period: a station is a nation, a period a segment, its value the mean balance."""
+    c = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("period"), F.col("c_nationkey").alias("k")).agg(F.avg("c_acctbal").alias("value"))
+    stations = c.select("period", (F.col("k") % 5 * 16.0).alias("x"), (F.floor(F.col("k") / 5) * 200.0).alias("y"), "value")
+    grid_ = cells(spark, sf).select("row", "col", (F.col("col") * 2.0).alias("x"), (F.col("row") * 2.0).alias("y"))
+    return learning.kriged(stations, grid_)
 
 
 @query(None)
