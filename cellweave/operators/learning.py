@@ -8,8 +8,9 @@ scoring run over the rows in Spark.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -101,6 +102,17 @@ def random_search(space: dict[str, Sequence], trials: int, seed: int = 42) -> li
     return out
 
 
+def searched(spark: SparkSession, path: str, trials: Sequence[dict], score: Callable[[dict], float]) -> DataFrame:
+    """(trial, score) of all trials, kept at path: those that an earlier run has scored are not run again."""
+    from ..sources import readers
+
+    done = {r["trial"] for r in spark.read.parquet(path).select("trial").collect()} if readers.landed(spark, path) else set()  # a row for each trial
+    for trial in trials:
+        if (name := json.dumps(trial, sort_keys=True)) not in done:
+            spark.createDataFrame([(name, float(score(trial)))], "trial string, score double").write.mode("append").parquet(path)
+    return spark.read.parquet(path).orderBy(F.desc("score"), "trial")
+
+
 def orthogonal_prototypes(kinds: int, width: int, seed: int = 42) -> np.ndarray:
     """Unit rows, mutually orthogonal while kinds <= width."""
     q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, width)))

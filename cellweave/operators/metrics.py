@@ -85,6 +85,12 @@ def proper_scores(df: DataFrame, y: str, p: str, least: float = 1e-7) -> DataFra
     return df.agg(F.avg((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("brier"), (-F.avg(F.when(F.col(y) == 1, F.ln(q)).otherwise(F.ln(1 - q)))).alias("log_loss"))
 
 
+def evaluated(df: DataFrame, y: str, p: str, threshold: float = 0.5, weight: str | None = None) -> DataFrame:
+    """One row: the summary of the classes at a threshold, the areas under both curves, Brier and log loss."""
+    classes = summary(df.withColumn("_pred", (F.col(p) >= threshold).cast("int")).withColumn("_y", F.col(y).cast("int")), "_y", "_pred", weight)
+    return classes.crossJoin(F.broadcast(auc(df, y, p, weight))).crossJoin(F.broadcast(proper_scores(df, y, p)))  # a row each
+
+
 def calibration(df: DataFrame, y: str, p: str, bins: int = 15) -> DataFrame:
     """(bin, mean_p, rate, n) over bins whose edges are exact quantiles of p; equal edges share a bin."""
     found = quantiles(df.select(F.col(p).alias("value")), [i / bins for i in range(1, bins)], ())

@@ -274,6 +274,19 @@ def logistic_baseline(spark, sf):
     return spark.createDataFrame([(n, float(c)) for n, c in zip(FEATURES, model.coefficients.toArray(), strict=True)], "name string, weight double")
 
 
+@query(None)
+def baselines(spark, sf):
+    """The plain models under one set of measures on held-out rows."""
+    from functools import reduce
+
+    from pyspark.ml.functions import vector_to_array
+
+    rows = _quality(spark, sf)
+    models = {"ridge": learning.logistic(rows.where("not held"), FEATURES, "y", 0.01, 0.0), "lasso": learning.logistic(rows.where("not held"), FEATURES, "y", 0.01, 1.0), "forest": learning.forest(rows.where("not held"), FEATURES, "y", 5, 4)}
+    scored = {n: m.transform(learning.assemble(rows.where("held"), FEATURES)).select("y", vector_to_array("probability")[1].alias("p")) for n, m in models.items()}
+    return reduce(lambda a, b: a.unionByName(b), [metrics.evaluated(p, "y", "p").select(F.lit(n).alias("model"), "*") for n, p in scored.items()])
+
+
 @query(None)
 def hyperparameter_search(spark, sf):
     """Seeded trials of a small space, scored by held-out ROC area."""

@@ -78,6 +78,15 @@ def test_random_search_is_seeded():
     assert learning.random_search(space, 10) == learning.random_search(space, 10) and len(learning.random_search(space, 10)) == 6
 
 
+def test_a_search_goes_on_where_it_stopped(spark, tmp_path):
+    asked = []
+    score = lambda t: asked.append(t["a"]) or t["a"] / 10
+    path = str(tmp_path / "study")
+    assert learning.searched(spark, path, [{"a": 1}, {"a": 2}], score).count() == 2
+    best = learning.searched(spark, path, [{"a": 1}, {"a": 2}, {"a": 3}], score).first()
+    assert asked == [1, 2, 3] and best["score"] == 0.3
+
+
 def test_encoder_chances_sum_to_one():
     p = learning.Encoder.random(6, (8, 8), 4).chances(np.array([[1, 2, np.nan, 0, 1, 2.0], [0] * 6]))
     assert np.allclose(p.sum(1), 1) and np.allclose(learning.orthogonal_prototypes(4, 8) @ learning.orthogonal_prototypes(4, 8).T, np.eye(4))
