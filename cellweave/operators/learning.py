@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -483,17 +484,62 @@ def wetness(part: pd.DataFrame, size: float) -> pd.DataFrame:
     return pd.DataFrame({"row": r + r0, "col": c + c0, "twi": twi[keep]})
 
 
-def oversampled(part: pd.DataFrame, need: int, k: int = 5, seed: int = 42) -> pd.DataFrame:
-    """New rows between a class's points and their k nearest of the class: columns x (array) and n."""
-    x = np.stack(part["x"].to_numpy()).astype(float)
-    if need <= 0 or len(x) < 2:
-        return pd.DataFrame({"x": []})
-    rng = np.random.default_rng(seed)
-    made = []
-    for i in rng.integers(len(x), size=need):
-        near = np.argsort(((x - x[i]) ** 2).sum(1), kind="stable")[1 : k + 1]
-        made.append(x[i] + rng.random() * (x[rng.choice(near)] - x[i]))
-    return pd.DataFrame({"x": made})
+def nearest_of_kind(df: DataFrame, kind: str, key: str, x: str, k: int = 5, block: int = 1024) -> DataFrame:
+    """(kind, key, x, near): the k nearest other rows of the same class, as arrays, nearest first, ties to the smaller key.
+
+    A class is cut into blocks by hash; each pair of its blocks meets in a task
+    of its own and returns k rows for each of one block's rows.
+    """
+    rows = df.select(F.col(kind).alias("kind"), F.col(key).alias("key"), F.col(x).cast("array<double>").alias("x"))
+    counts = rows.groupBy("kind").agg((F.floor(F.count(F.lit(1)) / block) + 1).cast("int").alias("blocks"))
+    home = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    each = rows.join(counts, "kind").withColumn("_h", home).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sides = each.select("kind", F.col("_h").alias("i"), F.col("_o").alias("j"), F.lit(0).alias("side"), "key", "x").unionByName(each.select("kind", F.col("_o").alias("i"), F.col("_h").alias("j"), F.lit(1).alias("side"), "key", "x"))
+    types = dict(rows.dtypes)
+
+    def meet(part: pa.Table) -> pa.Table:
+        side, names = part.column("side").to_numpy(), np.array(part.column("key").to_pylist())
+        matrix = np.stack(part.column("x").to_pylist())
+        held = np.flatnonzero(side == 1)
+        held = held[np.argsort(names[held], kind="stable")]
+        found: list[tuple[int, float, int]] = []
+        for own in np.flatnonzero(side == 0):
+            d = ((matrix[held] - matrix[own]) ** 2).sum(1)
+            d[names[held] == names[own]] = np.inf
+            found += [(own, d[at], held[at]) for at in np.argsort(d, kind="stable")[:k] if np.isfinite(d[at])]
+        own, near = (pa.array([f[n] for f in found], pa.int64()) for n in (0, 2))
+        return pa.table({"kind": part.column("kind").take(own), "key": part.column("key").take(own), "d": pa.array([f[1] for f in found], pa.float64()), "near_key": part.column("key").take(near), "near": part.column("x").take(near)})
+
+    from pyspark.sql import Window as W
+
+    found = sides.groupBy("kind", "i", "j").applyInArrow(meet, f"kind {types['kind']}, key {types['key']}, d double, near_key {types['key']}, near array<double>")
+    place = F.row_number().over(W.partitionBy("kind", "key").orderBy("d", "near_key"))
+    best = found.withColumn("_n", place).where(F.col("_n") <= k).groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("_n", "near"))).alias("_l"))
+    return rows.join(best.select("kind", "key", F.transform("_l", lambda s: s["near"]).alias("near")), ["kind", "key"], "left")
+
+
+def oversampled(df: DataFrame, kind: str, key: str, x: str, k: int = 5) -> DataFrame:
+    """(kind, x): new rows that bring every class to the size of the largest, each on the way from a row to one of its k nearest of the class.
+
+    Which neighbour and how far follow from hashes of the key: reruns agree. A
+    class of one row has no neighbours and gets copies of it.
+    """
+    from pyspark.sql import Window as W
+
+    counts = df.groupBy(F.col(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.agg(F.max("n").alias("most"))
+    need = counts.crossJoin(F.broadcast(most)).where("most > n").select("kind", "n", (F.col("most") - F.col("n")).alias("need"))  # one row beside a row for each class
+    few = df.join(need.select(F.col("kind").alias(kind)), kind, "left_semi")
+    nth = F.row_number().over(W.partitionBy("kind", "_block").orderBy("key"))
+    ranked = nearest_of_kind(few, kind, key, x, k).join(need, "kind").withColumn("_block", F.pmod(F.xxhash64("key"), F.floor(F.col("n") / 4096) + 1))
+    sizes = ranked.groupBy("kind", "_block").agg(F.count(F.lit(1)).alias("_m"))
+    before = sizes.select("kind", "_block", (F.sum("_m").over(W.partitionBy("kind").orderBy("_block")) - F.col("_m")).alias("_before"))
+    each = ranked.join(before, ["kind", "_block"]).withColumn("_r", F.col("_before") + nth)
+    copies = F.floor(F.col("need") / F.col("n")) + (F.col("_r") <= F.col("need") % F.col("n")).cast("long")
+    made = each.withColumn("_c", copies).where("_c > 0").select("kind", "key", "x", "near", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_i"))
+    part = lambda salt: F.pmod(F.xxhash64("key", "_i", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    other = F.coalesce(F.get("near", F.floor(part(1) * F.size("near")).cast("int")), F.col("x"))
+    return made.select("kind", F.zip_with("x", other, lambda a, b: a + part(2) * (b - a)).alias("x"))
 
 
 def warmup_cosine(step: F.Column, warm: int, total: int, peak: float, least: float = 0.0) -> F.Column:

@@ -389,14 +389,8 @@ def wetness_index(spark, sf):
 
 @query(None)
 def oversampled_minority(spark, sf):
-    e = table(spark, sf, "embeddings").select("label", F.pmod(F.xxhash64("vec_id"), F.floor(F.count(F.lit(1)).over(W.partitionBy("label")) / 256) + 1).alias("part"), F.col("embedding").cast("array<double>").alias("x"))
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        out = learning.oversampled(part, 20)
-        out["label"] = int(part["label"].iloc[0])
-        return out[["label", "x"]]
-
-    return e.groupBy("label", "part").applyInPandas(run, "label int, x array<double>")  # parts of about 256 rows of a class
+    """New rows for all classes but the largest, from neighbours in the whole class."""
+    return learning.oversampled(table(spark, sf, "embeddings"), "label", "vec_id", "embedding").select(F.col("kind").alias("label"), "x")
 
 
 LONG_SQL = f"(SELECT vec_id, label, unnest([0, 1, 2]) AS k, unnest([p0, p1, p2]) AS p FROM {CHANCES_SQL})"

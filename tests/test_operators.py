@@ -78,6 +78,24 @@ def test_random_search_is_seeded():
     assert learning.random_search(space, 10) == learning.random_search(space, 10) and len(learning.random_search(space, 10)) == 6
 
 
+def test_new_rows_lie_between_neighbours_of_the_class(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "big", rng.normal(size=3).tolist()) for i in range(40)] + [(100 + i, "small", (rng.normal(size=3) + 9).tolist()) for i in range(13)] + [(200, "one", [5.0, 5.0, 5.0])]
+    df = spark.createDataFrame(rows, "id long, kind string, x array<double>")
+    near = {r["key"]: r["near"] for r in learning.nearest_of_kind(df, "kind", "id", "x", 5, block=4).collect()}
+    small = {i: np.array(x) for i, k, x in rows if k == "small"}
+    for i, x in small.items():
+        want = sorted((((x - y) ** 2).sum(), j) for j, y in small.items() if j != i)[:5]
+        assert np.allclose(near[i], [small[j] for _, j in want])
+    made = learning.oversampled(df, "kind", "id", "x").collect()
+    assert sorted({r["kind"] for r in made}) == ["one", "small"] and sum(r["kind"] == "small" for r in made) == 27 and sum(r["kind"] == "one" for r in made) == 39
+    assert all(r["x"] == [5.0, 5.0, 5.0] for r in made if r["kind"] == "one")
+    for r in made:
+        if r["kind"] == "small":
+            assert any(abs(np.linalg.norm(r["x"] - a) + np.linalg.norm(r["x"] - np.array(b)) - np.linalg.norm(a - np.array(b))) < 1e-9 for i, a in small.items() for b in near[i])
+    assert sorted(map(str, made)) == sorted(map(str, learning.oversampled(df.repartition(5), "kind", "id", "x").collect()))
+
+
 def test_a_search_goes_on_where_it_stopped(spark, tmp_path):
     asked = []
     score = lambda t: asked.append(t["a"]) or t["a"] / 10
