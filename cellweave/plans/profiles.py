@@ -174,7 +174,10 @@ def high_corr(spark, sf):
     return c.orderBy(F.abs("r").desc()).select("a", "b", r("r").alias("r"), severity(F.abs("r"), [(0.95, "alta"), (0.9, "media")], "baja").alias("nivel"))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE p AS MATERIALIZED (SELECT a, b, coalesce(abs(r), 0) AS r FROM {PAIRS_SQL}), m AS (SELECT c, avg(r) AS m FROM (SELECT a AS c, r FROM p UNION ALL SELECT b, r FROM p) GROUP BY 1),
+  o AS MATERIALIZED (SELECT row_number() OVER (ORDER BY p.r DESC, a, b) AS i, a, b, p.r, CASE WHEN x.m > y.m OR (x.m = y.m AND a > b) THEN a ELSE b END AS weaker FROM p JOIN m x ON x.c = a JOIN m y ON y.c = b),
+  g AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS gone UNION ALL SELECT o.i, CASE WHEN o.r > 0.5 AND NOT list_contains(gone, a) AND NOT list_contains(gone, b) THEN list_append(gone, weaker) ELSE gone END FROM g JOIN o ON o.i = g.i + 1)
+  SELECT unnest([{", ".join(f"'{c}'" for c in NUMBERS)}]) AS name, list_contains((SELECT gone FROM g ORDER BY i DESC LIMIT 1), unnest([{", ".join(f"'{c}'" for c in NUMBERS)}])) AS dropped""")
 def corr_pruned(spark, sf):
     rows = statistics.correlations(table(spark, sf, "lineitem"), NUMBERS).collect()  # columns squared
     gone = statistics.pruned([(x["a"], x["b"], x["r"] or 0.0) for x in rows], 0.5)
@@ -302,7 +305,8 @@ def constant_fields(spark, sf):
     return g.where((F.col("s") < 1e-6) | (F.col("s") / (F.abs("m") + 1e-9) < 0.01)).select("l_suppkey", r("s").alias("std"))
 
 
-@query(None)
+@query("""SELECT column_name AS name, CASE WHEN column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') OR starts_with(column_type, 'DECIMAL') THEN 'numeric' ELSE 'other' END AS kind,
+  column_name NOT IN ('l_orderkey', 'l_linenumber') AND NOT starts_with(column_name, 'prob_') AS feature, count(*) OVER (PARTITION BY column_name) > 1 AS repeated FROM (DESCRIBE SELECT *, 1.0::DOUBLE AS prob_a FROM lineitem)""")
 def column_groups(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("prob_a", F.lit(1.0))
     kinds = {c: "numeric" for c in statistics.numeric_columns(li)}
