@@ -68,9 +68,10 @@ def balance(cells: DataFrame, most: float, miss_share: float = 1e-7) -> DataFram
     """(source_no, size, n, target, rate) for cells (source_no, size, n, target, source_size): Newton steps on the dual.
 
     The step of source s is (target - words(l)) / slope(l), kept inside a bracket
-    that the sign of the miss narrows. A step that leaves it, and every fourth
-    one, halves the bracket, so that rounds end: when every source's words are
-    within `miss_share` of its size, or when its bracket holds no other double.
+    that the sign of the miss narrows; a step that leaves it is halved into it.
+    Should Newton not do in 20 rounds, every other one halves the bracket, so
+    rounds end: when every source's words are within `miss_share` of its size,
+    or when its bracket holds no other double.
     """
     docs = F.sum("n")
     start = cells.groupBy("source_no").agg((F.sum(F.col("size") * F.col("n")) / docs).alias("scale"), F.max("target").alias("target"), F.max("source_size").alias("source_size"))
@@ -89,7 +90,7 @@ def balance(cells: DataFrame, most: float, miss_share: float = 1e-7) -> DataFram
         inside = newton.isNotNull() & (newton > F.col("low")) & (newton < F.col("high"))
         half = (F.col("low") + F.col("high")) / 2
         done = (F.abs(F.col("_miss")) <= F.lit(miss_share) * F.col("source_size")) | (half <= F.col("low")) | (half >= F.col("high"))
-        new = store(moved.select("source_no", "scale", "target", "source_size", F.when(done, F.col("_old")).when(inside & F.lit(turn % 4 > 0), newton).otherwise(half).alias("l"), "low", "high", done.alias("done")), "dual")
+        new = store(moved.select("source_no", "scale", "target", "source_size", F.when(done, F.col("_old")).when(inside & F.lit(turn <= 20 or turn % 2 > 0), newton).otherwise(half).alias("l"), "low", "high", done.alias("done")), "dual")
         forget(state)
         state = new.select("source_no", "scale", "target", "source_size", "l", "low", "high")
         state._stored_at = new._stored_at
