@@ -3,8 +3,7 @@
 Two texts are linked if their sets of 5-word shingles overlap by at least
 `threshold`. One pass over the texts makes a row of figures for each document:
 the set's size, a 128-bit digest of the set and a MinHash signature. Equal sets
-become one class at once, so thousands of copies cost one row, and a class has a
-number of its own. Classes that share a band of their signatures are
+become one class at once, so thousands of copies cost one row. Classes that share a band of their signatures are
 candidates, and no bucket is expanded into pairs:
 
 1. every member of a bucket is held against the bucket's smallest class only;
@@ -393,12 +392,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5, miss: float
     whole = rows.where("digest is not null and doc_id is not null")
     first = F.min(F.struct("doc_id", "text_hash")).alias("_first")
     classes = whole.groupBy("digest").agg(first, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    # numbers are short keys for all that follows; once written they are fixed, and no result depends on their order
-    classes = store(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "_first.doc_id", "_first.text_hash", "n_shingles", "signature"), "classes")
-    edges = links(named, classes, percent, k, miss)
-    # an id with several texts links their classes
+    classes = classes.select("digest", "_first.doc_id", "_first.text_hash", "n_shingles", "signature")
+    # a class is named by its smallest id, unless an id has several texts: then by a number, in the same order, since
+    # later documents are more often edits of earlier ones than of each other, and a bucket's smallest class leads it
     several = store(whole.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("_z")).where("a <> _z").select("doc_id", "a"), "several")
-    if not is_empty(several):
+    alone = is_empty(several)
+    if alone:
+        classes = store(classes.select(F.col("doc_id").alias("node"), "*"), "classes")
+    else:
+        ordered = classes.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+        classes = store(ordered.select(F.monotonically_increasing_id().alias("node"), "*"), "classes")
+    edges = links(named, classes, percent, k, miss)
+    if not alone:  # an id with several texts links their classes
         ends = whole.join(several, "doc_id").where("digest <> a").select("a", F.col("digest").alias("b")).distinct()
         for end in "ab":
             ends = ends.join(classes.select(F.col("digest").alias(end), F.col("node").alias(f"_{end}")), end)
