@@ -89,6 +89,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked_search import search
+
+    return search(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import deduplicate_files
+
+    return deduplicate_files(spark, f"{sf_dir}/documents.parquet")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(_read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op9_mixing aims at, which SQL can state: the rounding of its copies it can't."""
     return op9_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
@@ -110,8 +128,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_exact_copies": op12_exact_copies,
+    "op13_divergence": op13_divergence,
     "mixing_targets": mixing_targets,
     "fingerprint_edits": fingerprint_edits,
 }
 
-SQL: dict[str, str] = {"op4_web_archive": sql.WEB_ARCHIVE, "op6_near_duplicates": sql.NEAR_DUPLICATES, "op8_url_filter": sql.URL_FILTER, "mixing_targets": sql.MIXING_TARGETS, "fingerprint_edits": sql.FINGERPRINT_EDITS}
+SQL: dict[str, str] = {
+    "op4_web_archive": sql.WEB_ARCHIVE,
+    "op6_near_duplicates": sql.NEAR_DUPLICATES,
+    "op8_url_filter": sql.URL_FILTER,
+    "op11_ranked_search": sql.RANKED_SEARCH,
+    "op12_exact_copies": sql.EXACT_COPIES,
+    "op13_divergence": sql.DIVERGENCE,
+    "mixing_targets": sql.MIXING_TARGETS,
+    "fingerprint_edits": sql.FINGERPRINT_EDITS,
+}

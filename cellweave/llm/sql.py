@@ -66,3 +66,30 @@ MIXING_TARGETS = _mixing_targets()
 
 FINGERPRINT_EDITS = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id) AS i, count(*) OVER () AS n FROM documents)
 SELECT a.doc_id, length(a.t)::BIGINT AS n_chars, sha256(substr(a.t, 1, length(a.t) - length(a.t) // 2) || substr(b.t, 1, length(a.t) // 2)) AS edited_sha256 FROM d a JOIN d b ON b.i = a.i % a.n + 1"""
+
+EXACT_COPIES = f"""WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{GAP}', ' ', 'g')) AS h FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, h AS text_sha256 FROM t WINDOW w AS (PARTITION BY h)"""
+
+DIVERGENCE = f"""WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+  t AS MATERIALIZED (SELECT i, lang, source, unnest(w) AS term FROM d), g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+  k AS MATERIALIZED (SELECT lang, term, count(*) AS ln FROM t GROUP BY ALL HAVING count(DISTINCT i) >= 30),
+  s AS (SELECT lang, count(*) AS v, sum(ln) AS lt FROM k GROUP BY 1), c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+  z AS MATERIALIZED (SELECT g.lang, g.source, k.term, ln, v, lt, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang JOIN s ON s.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+  y AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total FROM z),
+  p AS MATERIALIZED (SELECT lang, source, term, n, 1 + ((1000000000::HUGEINT * (n + 5)) // (total + 5 * v))::BIGINT AS p, 1 + ((1000000000::HUGEINT * (ln + 5)) // (lt + 5 * v))::BIGINT AS q FROM y),
+  f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+  r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+RANKED_SEARCH = f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+  q AS MATERIALIZED (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+  l AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0), g AS MATERIALIZED (SELECT count(*) AS cn, sum(n)::BIGINT AS cl FROM l),
+  t AS (SELECT doc_id, unnest(w) AS term FROM d), f AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  s AS (SELECT term, floor(1000 * ln((2 * max(cn) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY 1),
+  m AS (SELECT doc_id, 10 + ((90 * n * cn) // cl) AS m FROM l, g),
+  o AS (SELECT f.doc_id, f.term, s.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * m.m)) AS part FROM f JOIN s ON s.term = f.term JOIN m ON m.doc_id = f.doc_id),
+  x AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM q JOIN o ON o.term = q.term GROUP BY ALL),
+  r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
