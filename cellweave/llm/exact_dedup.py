@@ -83,6 +83,7 @@ def ingest(spark: SparkSession, path: str, at: str, doc_id: str = "doc_id", text
     """
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else every partition of the state takes some MB of disk ahead
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     read = own.readStream.schema(_fields(spark, path, doc_id, text)).option("maxFilesPerTrigger", files_per_batch).parquet(_globbed(path))
     log = _located(read, doc_id, text).select("doc_id", "file", "row", sha256(F.col("text")).alias("digest"))
