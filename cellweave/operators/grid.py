@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..functions.semantics import col
 from .statistics import wide_quantiles
+from .tiles import windows
 
 
 def grid(spark, rows: int, cols: int) -> DataFrame:
@@ -49,23 +51,31 @@ def neighbours(cells: DataFrame, rows: int, cols: int, reach: int = 1, clamp: bo
     return inner.unionByName(beyond.join(edge, ["_r", "_c"]).select("row", "col", "dr", "dc", "value"))
 
 
-def window3(cells: DataFrame, rows: int, cols: int) -> DataFrame:
-    """(row, col, w): the 3 x 3 values around each cell as a map from 'dr,dc'."""
-    at = [F.max(F.when((F.col("dr") == i) & (F.col("dc") == j), F.col("value"))).alias(f"w{i + 1}{j + 1}") for i in (-1, 0, 1) for j in (-1, 0, 1)]
-    return neighbours(cells, rows, cols).groupBy("row", "col").agg(*at)
+def medians(cells: DataFrame, rows: int, cols: int) -> DataFrame:
+    """(row, col, med, n): the median of the 3 x 3 values around each cell, and how many there are."""
+
+    def run(w: np.ndarray) -> dict[str, np.ndarray]:
+        n = (~np.isnan(w)).sum(0)
+        sorted_ = np.sort(w, 0)  # NaN last
+        at = np.arange(w.shape[1])
+        low, high = sorted_[np.maximum(n - 1, 0) // 2, at], sorted_[np.maximum(n, 1) // 2, at]
+        return {"med": (low + high) / 2, "n": n}
+
+    return windows(cells, rows, cols, run, "med double, n long")
 
 
 def terrain(cells: DataFrame, rows: int, cols: int, size: float) -> DataFrame:
-    """(row, col, slope_pct, slope_deg, aspect, laplacian) by Horn's weights; aspect in degrees from north, -1 where flat."""
-    w = window3(cells, rows, cols)
-    c = F.col
-    gx = ((c("w02") + 2 * c("w12") + c("w22")) - (c("w00") + 2 * c("w10") + c("w20"))) / (8.0 * size)
-    gy = ((c("w20") + 2 * c("w21") + c("w22")) - (c("w00") + 2 * c("w01") + c("w02"))) / (8.0 * size)
-    rise = F.sqrt(gx * gx + gy * gy)
-    turned = F.degrees(F.atan2(-gx, gy))
-    aspect = F.when(rise == 0, -1.0).otherwise(F.when(turned < 0, turned + 360.0).otherwise(turned))
-    laplacian = (c("w01") + c("w10") + c("w12") + c("w21") - 4 * c("w11")) / (size * size)
-    return w.select("row", "col", (rise * 100).alias("slope_pct"), F.degrees(F.atan(rise)).alias("slope_deg"), aspect.alias("aspect"), laplacian.alias("laplacian"))
+    """(row, col, slope_pct, slope_deg, aspect, laplacian) by Horn's weights; aspect in degrees from north, -1 where flat; null where the window has a hole."""
+
+    def run(w: np.ndarray) -> dict[str, np.ndarray]:
+        gx = ((w[2] + 2 * w[5] + w[8]) - (w[0] + 2 * w[3] + w[6])) / (8.0 * size)
+        gy = ((w[6] + 2 * w[7] + w[8]) - (w[0] + 2 * w[1] + w[2])) / (8.0 * size)
+        rise = np.sqrt(gx * gx + gy * gy)
+        turned = np.degrees(np.arctan2(-gx, gy))
+        aspect = np.where(rise == 0, -1.0, np.where(turned < 0, turned + 360.0, turned))
+        return {"slope_pct": rise * 100, "slope_deg": np.degrees(np.arctan(rise)), "aspect": aspect, "laplacian": (w[1] + w[3] + w[5] + w[7] - 4 * w[4]) / (size * size)}
+
+    return windows(cells, rows, cols, run, "slope_pct double, slope_deg double, aspect double, laplacian double")
 
 
 def median_filled(cells: DataFrame, rows: int, cols: int, valid_only: bool = False) -> DataFrame:
@@ -80,8 +90,7 @@ def median_filled(cells: DataFrame, rows: int, cols: int, valid_only: bool = Fal
     else:
         whole = wide_quantiles(cells, ["value"], {"_m_": 0.5}).withColumnRenamed("_m_value", "_m")
         source = cells.crossJoin(F.broadcast(whole)).select("row", "col", F.coalesce("value", "_m").alias("value"))  # one row
-    medians = neighbours(source, rows, cols).groupBy("row", "col").agg(F.median("value").alias("_w"))
-    return cells.join(medians, ["row", "col"], "left").select("row", "col", F.coalesce("value", "_w").alias("value"))
+    return cells.join(medians(source, rows, cols), ["row", "col"], "left").select("row", "col", F.coalesce("value", "med").alias("value"))
 
 
 def resample_nearest(source: DataFrame, target: DataFrame, fr: Column, fc: Column) -> DataFrame:

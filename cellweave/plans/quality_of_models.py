@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..operators import learning, metrics
-from .registry import CHANCES_SQL, SCORED_SQL, big, cells, chances, query, r, scored, table
+from ..operators import learning, metrics, tiles
+from .registry import CELLS_SQL, CHANCES_SQL, SCORED_SQL, big, cells, chances, query, r, scored, table
 
 CURVE_SQL = f"""(SELECT p AS score, sum(tp) OVER w AS tp, sum(fp) OVER w AS fp, sum(tp) OVER () AS positives, sum(fp) OVER () AS negatives FROM
   (SELECT p, sum(y)::DOUBLE AS tp, sum(1 - y)::DOUBLE AS fp FROM {SCORED_SQL} GROUP BY 1) WINDOW w AS (ORDER BY p DESC ROWS UNBOUNDED PRECEDING))"""
@@ -377,14 +376,28 @@ def kriged_field(spark, sf):
     return learning.kriged(stations, grid_)
 
 
-@query(None)
+WETNESS_SQL = f"""WITH RECURSIVE c AS MATERIALIZED (SELECT row, col, value AS z FROM {CELLS_SQL}),
+  s AS (SELECT row_number() OVER (ORDER BY i, j) AS k, i, j, sqrt((i * i + j * j)::DOUBLE) AS len FROM (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j) WHERE i <> 0 OR j <> 0),
+  n AS MATERIALIZED (SELECT a.row, a.col, a.z, k, len, b.row AS r2, b.col AS c2 FROM (SELECT row, col, z, k, len, row + i AS r2, col + j AS c2 FROM c, s) a JOIN c b ON b.row = a.r2 AND b.col = a.c2),
+  o AS MATERIALIZED (SELECT row, col, z FROM n GROUP BY ALL HAVING count(*) < 8),
+  f AS (SELECT row, col, z AS v FROM o UNION SELECT n.row, n.col, greatest(f.v, n.z) FROM f JOIN n ON n.r2 = f.row AND n.c2 = f.col),
+  l AS MATERIALIZED (SELECT row, col, min(v) AS l FROM f GROUP BY ALL),
+  m AS MATERIALIZED (SELECT n.row, n.col, k, r2, c2, a.l AS l, b.l AS l2, (a.l - b.l) / len AS fall FROM n JOIN l a ON a.row = n.row AND a.col = n.col JOIN l b ON b.row = r2 AND b.col = c2),
+  x AS MATERIALIZED (SELECT row, col, greatest(max(fall), 0) AS fall FROM m GROUP BY ALL),
+  e AS (SELECT row, col, 0 AS d FROM x WHERE fall > 0 UNION SELECT row, col, 0 FROM o UNION SELECT m.row, m.col, e.d + 1 FROM e JOIN m ON m.r2 = e.row AND m.c2 = e.col AND m.l = m.l2 WHERE e.d < 50),
+  w AS MATERIALIZED (SELECT row, col, min(d) AS d FROM e GROUP BY ALL),
+  g AS (SELECT m.row, m.col, m.r2, m.c2, m.k FROM m JOIN x ON x.row = m.row AND x.col = m.col WHERE x.fall > 0 AND m.fall = x.fall
+    UNION ALL SELECT m.row, m.col, m.r2, m.c2, m.k FROM m JOIN x ON x.row = m.row AND x.col = m.col JOIN w a ON a.row = m.row AND a.col = m.col JOIN w b ON b.row = m.r2 AND b.col = m.c2 WHERE x.fall = 0 AND m.l = m.l2 AND b.d < a.d),
+  t AS MATERIALIZED (SELECT row, col, r2, c2 FROM (SELECT *, row_number() OVER (PARTITION BY row, col ORDER BY k) AS nth FROM g) WHERE nth = 1),
+  p AS (SELECT row, col FROM c UNION ALL SELECT r2, c2 FROM p JOIN t ON t.row = p.row AND t.col = p.col),
+  a AS (SELECT row, col, count(*)::BIGINT AS area FROM p GROUP BY ALL)
+SELECT a.row, a.col, l.l AS level, area, round(ln(area * 50.0::DOUBLE / greatest(x.fall / 50.0::DOUBLE, 1e-3::DOUBLE)), 6) AS twi FROM a JOIN l ON l.row = a.row AND l.col = a.col JOIN x ON x.row = a.row AND x.col = a.col"""
+
+
+@query(WETNESS_SQL)
 def wetness_index(spark, sf):
-    basin = cells(spark, sf).select(F.floor(F.col("row") / 40).alias("basin"), "row", "col", "value")  # basins of 1600 cells
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        return learning.wetness(part, 50.0)
-
-    return basin.groupBy("basin").applyInPandas(run, "row int, col int, twi double")
+    """Levels, draining cells and wetness of the whole raster, over tiles of 32 cells."""
+    return tiles.flow(cells(spark, sf), 50.0, 32).withColumn("twi", r("twi"))
 
 
 @query(None)

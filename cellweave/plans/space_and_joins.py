@@ -56,7 +56,7 @@ def point_grid(spark, sf):
 @query(f"""WITH c AS {CELLS_SQL}, n AS (SELECT a.row, a.col, b.value FROM c a, range(-1, 2) dr(i), range(-1, 2) dc(j), c b WHERE b.row = greatest(0, least({LAST_ROW_SQL}, a.row + i)) AND b.col = greatest(0, least(39, a.col + j)))
   SELECT row, col, median(value) AS med, count(*)::BIGINT AS n FROM n GROUP BY ALL""")
 def median3x3(spark, sf):
-    return grid.neighbours(cells(spark, sf).select("row", "col", "value"), cell_rows(spark, sf), COLUMNS).groupBy("row", "col").agg(F.median("value").alias("med"), big(F.count(F.lit(1))).alias("n"))
+    return grid.medians(cells(spark, sf).select("row", "col", "value"), cell_rows(spark, sf), COLUMNS)
 
 
 WINDOW_SQL = f"""(WITH c AS {CELLS_SQL}, n AS (SELECT a.row, a.col, i, j, b.value FROM c a, range(-1, 2) dr(i), range(-1, 2) dc(j), c b WHERE b.row = greatest(0, least({LAST_ROW_SQL}, a.row + i)) AND b.col = greatest(0, least(39, a.col + j)))
