@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,9 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows as written to the shared folder: nothing before them is computed again, whichever executor is lost."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own, not made yet, in the shared folder."""
+    shared_folder(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
