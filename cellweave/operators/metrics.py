@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.semantics import col
+from .cuts import cut
 from .ordered import quantiles, running
 
 
@@ -55,7 +56,8 @@ def curve(df: DataFrame, y: str, score: str, weight: str | None = None) -> DataF
 
 
 def summed_curve(sums: DataFrame) -> DataFrame:
-    """The curve of rows (score, p, n) with one row for each score."""
+    """The curve of rows (score, p, n) with one row for each score, which are written once: edges, buckets and totals all read them."""
+    sums = cut(sums)
     whole = sums.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     return running(sums, "score", {"tp": "p", "fp": "n"}, descending=True).crossJoin(F.broadcast(whole))  # one row
 

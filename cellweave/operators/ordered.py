@@ -3,19 +3,23 @@
 Running sums deal rows to buckets between approximate quantiles of the order, so
 that an outlier doesn't put the rest into one; a window runs within each bucket
 and starts from the sum of the buckets before it, of which there are at most
-`buckets` for each key. Exact quantiles come from three narrow passes: brackets
-from approximate quantiles, counts below them, and the few values inside.
+`buckets` for each key. Exact quantiles come from two narrow passes: brackets
+from approximate quantiles, then counts below them with the few values inside.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+TOGETHER = 7  # quantiles of one pass: the code of many more is too long to be compiled
+
+
 def _bucket(value: Column, blocks: str) -> Column:
     """How many edges are at most the value, by the first edge of each block, so that a row meets few of them."""
     block = F.size(F.filter(blocks, lambda b: F.get(b, F.lit(0)) <= value))
@@ -40,7 +44,7 @@ def running(df: DataFrame, order: str, sums: dict[str, str], keys: Sequence[str]
     return joined.select(*df.columns, *[(F.col(f"_before_{n}") + F.sum(c).over(within)).alias(n) for n, c in sums.items()])
 
 
-def quantiles(values: DataFrame, wanted: Sequence[float], keys: Sequence[str] = ("name",), value: str = "value", accuracy: int = 50_000) -> DataFrame:
+def quantiles(values: DataFrame, wanted: Sequence[float], keys: Sequence[str] = ("name",), value: str = "value", accuracy: int = 10_000) -> DataFrame:
     """(keys, q, value): exact quantiles, linear between neighbouring ranks, of long rows (keys, value); missing values are left out.
 
     keys name columns of a table, so they take few values. An approximate
@@ -49,23 +53,34 @@ def quantiles(values: DataFrame, wanted: Sequence[float], keys: Sequence[str] =
     4 * accuracy rows are their own bracket. Of a group only what lies in the
     brackets, some 4 / accuracy of its rows for each quantile, is shuffled and ranked.
     """
+    wanted = sorted(set(wanted))
+    if len(wanted) > TOGETHER:
+        parts = [quantiles(values, wanted[i : i + TOGETHER], keys, value, accuracy) for i in range(0, len(wanted), TOGETHER)]
+        return reduce(DataFrame.unionByName, parts)
     v, near = F.col(value).cast("double"), 2 / accuracy
-    known = values.where(F.col(value).isNotNull())
+    known = values.where(F.col(value).isNotNull() & ~F.isnan(v))
     spots = sorted({min(1.0, max(0.0, q + d)) for q in wanted for d in (-near, near)})
     facts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.min(v).alias("_min"), F.max(v).alias("_max"), F.percentile_approx(v, spots, accuracy).alias("_p"))
     exact = F.col("_all") <= 4 * accuracy
-    at = lambda q, end: F.when(exact | F.lit(not 0 < q < 1), F.col(end)).otherwise(F.get("_p", F.lit(spots.index(min(1.0, max(0.0, q))))))
-    brackets = F.array(*[F.struct(F.lit(float(q)).alias("q"), at(q - near, "_min").alias("low"), at(q + near, "_max").alias("high")) for q in wanted])
-    facts = F.broadcast(facts.select(*keys, "_all", brackets.alias("_w")))  # a row for each column of a table
+    edge = lambda q, end: F.when(exact | F.lit(not 0 < q < 1), F.col(end)).otherwise(F.get("_p", F.lit(spots.index(min(1.0, max(0.0, q))))))
+    ends = [(f"_low{i}", f"_high{i}") for i in range(len(wanted))]
+    brackets = [edge(q + d, end).alias(name) for q, names in zip(wanted, ends, strict=True) for d, end, name in ((-near, "_min", names[0]), (near, "_max", names[1]))]
+    facts = F.broadcast(facts.select(*keys, "_all", *brackets))  # a row for each column of a table
     met = lambda df: df.join(facts, list(keys)) if keys else df.crossJoin(facts)
-    placed = met(known.select(*keys, v.alias("_v")))
-    counts = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.count_if(F.col("_v") < F.col("_w")[i]["low"]).alias("n")) for i, q in enumerate(wanted)])
-    below = placed.groupBy(*keys, "_all").agg(counts.alias("_c")).select(*keys, "_all", F.explode("_c").alias("_c")).select(*keys, "_all", F.col("_c.q").alias("q"), F.col("_c.n").alias("_below"))
-    holds = lambda w: (F.col("_v") >= w["low"]) & (F.col("_v") <= w["high"])
-    inside = placed.where(F.exists("_w", holds)).select(*keys, "_v", F.explode(F.filter("_w", holds)).alias("_s"))
-    inside = inside.groupBy(*keys, F.col("_s.q").alias("q"), "_v").agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(W.partitionBy(*keys, "q").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = inside.withColumn("_upto", upto).join(F.broadcast(below), [*keys, "q"]).withColumn("_upto", F.col("_upto") + F.col("_below"))
+    # one pass more: each row tells how many brackets begin at or below it, and its value if it lies in one; sums leave few rows of it
+    begun = sum((F.when(F.col("_v") >= F.col(low), 1).otherwise(0) for low, _ in ends), F.lit(0))
+    lies = [F.col("_v").between(F.col(low), F.col(high)) for low, high in ends]
+    at = lambda i, kept: F.struct(i.cast("int").alias("at"), (F.col("_v") if kept else F.lit(None).cast("double")).alias("_v"))
+    entries = F.when(reduce(lambda x, y: x | y, lies), F.array(at(begun, False), *[F.when(c, at(F.lit(i), True)) for i, c in enumerate(lies)])).otherwise(F.array(at(begun, False)))
+    told = met(known.select(*keys, v.alias("_v"))).select(*keys, "_all", F.explode(entries).alias("_s")).where("_s is not null")
+    sums = told.groupBy(*keys, "_all", F.col("_s.at").alias("_at"), F.col("_s._v").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # a value without a bracket's name lies below all brackets that have not begun there
+    spread = F.when(F.col("_v").isNotNull(), F.array("_at")).when(F.col("_at") < len(wanted), F.sequence("_at", F.lit(len(wanted) - 1)))
+    each = sums.select(*keys, "_all", F.explode(spread).alias("_at"), "_v", "_n").groupBy(*keys, "_all", "_at", "_v").agg(F.sum("_n").alias("_n"))
+    sums = each.withColumn("q", F.get(F.array(*[F.lit(float(q)) for q in wanted]), F.col("_at")))
+    # those below come first, as null
+    upto = F.sum("_n").over(W.partitionBy(*keys, "q").orderBy(F.asc_nulls_first("_v")).rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = sums.withColumn("_upto", upto).where("_v is not null")
     spot = F.col("q") * (F.col("_all") - 1)
     holding = lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_n"))
     low, high = F.max(F.when(holding(F.floor(spot)), F.col("_v"))), F.max(F.when(holding(F.ceil(spot)), F.col("_v")))
