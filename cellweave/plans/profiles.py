@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import agronomy
-from ..operators import grid, statistics
+from ..operators import grid, information, statistics
 from .registry import CHANCES_SQL, REGISTRY_SQL, big, chances, query, r, registry, table
 
 NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -214,6 +214,24 @@ def binned_information(spark, sf):
     return statistics.binned_information(table(spark, sf, "lineitem"), "l_quantity", "l_returnflag").select(r("mi").alias("mi"))
 
 
+def _psi(x: str) -> str:
+    """The digamma function, by the same series."""
+    y = f"({x} + 6.0::DOUBLE)"
+    z = f"(1.0::DOUBLE / ({y} * {y}))"
+    series = f"ln({y}) - 0.5::DOUBLE / {y} - {z} * (1 / 12.0::DOUBLE - {z} * (1 / 120.0::DOUBLE - {z} * (1 / 252.0::DOUBLE - {z} / 240.0::DOUBLE)))"
+    return "(" + series + "".join(f" - 1.0::DOUBLE / ({x} + {i}.0::DOUBLE)" for i in range(6)) + ")"
+
+
+@query(f"""WITH s AS MATERIALIZED (SELECT row_number() OVER () AS i, p_retailprice AS v, p_brand AS c, count(*) OVER (PARTITION BY p_brand) AS o FROM part),
+  d AS (SELECT a.i, abs(a.v - b.v) AS d, row_number() OVER (PARTITION BY a.i ORDER BY abs(a.v - b.v)) AS nth FROM s a JOIN s b ON a.c = b.c AND a.i <> b.i),
+  r AS MATERIALIZED (SELECT s.i, s.v, s.o, d.d * (1 - 1e-9::DOUBLE) AS r, least(3, s.o - 1) AS k FROM s JOIN d ON d.i = s.i AND d.nth = least(3, s.o - 1)),
+  m AS (SELECT r.i, r.o, r.k, count(*) AS m FROM r JOIN r x ON x.v >= r.v - r.r AND x.v <= r.v + r.r GROUP BY ALL)
+  SELECT round(greatest(0, {_psi("n")} + k - o - m), 6) + 0.0 AS mi FROM (SELECT count(*) AS n, avg({_psi("k")}) AS k, avg({_psi("o")}) AS o, avg({_psi("m")}) AS m FROM m)""")
+def neighbour_information(spark, sf):
+    """What a part's price tells of its maker, by nearest neighbours."""
+    return information.information(table(spark, sf, "part"), "p_retailprice", "p_brand").select(r("information").alias("mi"))
+
+
 @query("SELECT l_suppkey, round((quantile_cont(l_extendedprice, 0.95) - quantile_cont(l_extendedprice, 0.05)) / abs(median(l_extendedprice)), 6) AS spread FROM lineitem GROUP BY 1")
 def robust_spread(spark, sf):
     q = lambda x: statistics.quantile("l_extendedprice", x)

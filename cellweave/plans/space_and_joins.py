@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import projection
-from ..operators import grid, sampling
+from ..operators import grid, information, sampling
 from .registry import CELLS_SQL, CHANCES_SQL, COLUMNS, LAST_ROW_SQL, REGISTRY_SQL, big, cell_rows, cells, chances, query, r, registry, table
 
 @query(f"SELECT a.row, a.col, round(a.value * 2 - a.price / 1000, 5) + 0.0 AS algebra FROM {CELLS_SQL} a")
@@ -197,6 +197,14 @@ def class_group_folds(spark, sf):
     return sampling.class_folds(groups, "l_suppkey", "kind", "n", 5)
 
 
+@query(None)
+def count_balanced_folds(spark, sf):
+    """Five folds of whole suppliers with nearly the same counts of each flag."""
+    flags = F.array(*[F.count_if(F.col("l_returnflag") == k) for k in ("A", "N", "R")])
+    groups = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(flags.alias("counts"))
+    return information.balanced_folds(groups, "l_suppkey", "counts", 5)
+
+
 QUOTA_SQL = "(SELECT c_nationkey, c_mktsegment, count(*) AS n, least(count(*), greatest(1, floor(400 * count(*) / (SELECT count(*) FROM customer)::DOUBLE)))::BIGINT AS quota FROM customer GROUP BY ALL)"
 
 

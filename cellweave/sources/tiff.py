@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -30,14 +29,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.semantics import NODATA
 from ..operators.tiles import framed
+from .commits import TwoPhaseWriter, listed, opened
 
 CELLS = 4_000_000
 #: Fixed values of the format: fields, their types' struct letters, sample kinds and compressions.
@@ -48,11 +47,6 @@ NONE, LZW, DEFLATE, OLD_DEFLATE = 1, 5, 8, 32946
 CODES = {"none": NONE, "lzw": LZW, "deflate": DEFLATE}
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-
-
 def unlzw(data: bytes) -> bytes:
     """LZW with codes of 9 to 12 bits, highest bit first, widened one code early."""
     out, table, width, previous = [], [], 9, b""
@@ -231,11 +225,8 @@ class TiffReader(DataSourceReader):
 
     def partitions(self) -> list[Blocks]:
         """Runs of block rows of each file that meet the box."""
-        files, root = opened(self.options["path"])
-        info = files.get_file_info(root)
-        if info.type == fs.FileType.NotFound:
-            raise FileNotFoundError(root)
-        names = [root] if info.is_file else sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.is_file and re.search(r"\.tiff?$", f.path, re.I) and not f.base_name.startswith(("_", ".")))
+        files, _ = opened(self.options["path"])
+        names = listed(self.options["path"], r"\.tiff?$")
         out = []
         for name in names:
             with files.open_input_file(name) as source:
@@ -276,48 +267,14 @@ class TiffReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array([layer] * len(r)), pa.array(np.full(len(r), b, np.int32)), pa.array(rows[r].astype(np.int32)), pa.array(cols[c].astype(np.int32)), pa.array(x[c]), pa.array(y[r]), pa.array(v, mask=gap)], ["layer", "band", "row", "col", "x", "y", "value"])
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    files: list[tuple[str, str]]
-
-
-class TiffWriter(DataSourceWriter):
-    def __init__(self, options: dict[str, str], overwrite: bool) -> None:
-        self.options, self.overwrite, self.run = options, overwrite, uuid.uuid4().hex
-
-    def write(self, iterator: Iterator[Row]) -> Written:
-        files, root = opened(self.options["path"])
-        o, made = self.options, []
+class TiffWriter(TwoPhaseWriter):
+    def made(self, rows: Iterator[Row]) -> Iterator[tuple[str, bytes]]:
+        o = self.options
         size = float(o.get("size", 1))
-        files.create_dir(f"{root}/_temporary-{self.run}", recursive=True)
-        for row in iterator:
+        for row in rows:
             bands = [np.array([np.nan if v is None else v for v in b], float).reshape(row["height"], row["width"]) for b in row["bands"]]
             data = encoded(bands, float(o.get("west", 0)) + row["col"] * size, float(o.get("north", 0)) - row["row"] * size, size, o.get("dtype", "float32"), o.get("compress", "deflate"), int(o.get("predictor", 1)), float(o.get("nodata", NODATA)), int(o.get("strip", 64)))
-            held = f"_temporary-{self.run}/{uuid.uuid4().hex}.tif"
-            with files.open_output_stream(f"{root}/{held}", compression=None) as out:
-                out.write(data)
-            made.append((held, f"{row['layer']}_{row['row']}_{row['col']}.tif"))
-        return Written(made)
-
-    def commit(self, messages: list[Written | None]) -> None:
-        files, root = opened(self.options["path"])
-        made = [f for m in messages if m for f in m.files]
-        if self.overwrite and files.get_file_info(root).type == fs.FileType.Directory:
-            kept = {name for _, name in made}
-            for f in files.get_file_info(fs.FileSelector(root)):
-                if f.is_file and f.base_name not in kept:
-                    files.delete_file(f.path)
-        for held, name in made:
-            files.move(f"{root}/{held}", f"{root}/{name}")
-        self._clear()
-
-    def abort(self, messages: list[Written | None]) -> None:
-        self._clear()
-
-    def _clear(self) -> None:
-        files, root = opened(self.options["path"])
-        if files.get_file_info(f"{root}/_temporary-{self.run}").type == fs.FileType.Directory:
-            files.delete_dir(f"{root}/_temporary-{self.run}")
+            yield f"{row['layer']}_{row['row']}_{row['col']}.tif", data
 
 
 class Tiff(DataSource):

@@ -8,7 +8,7 @@ import pytest
 from pyarrow import fs
 
 from cellweave.operators import cuts
-from cellweave.sources import tiff
+from cellweave.sources import commits, tiff
 
 
 @pytest.mark.parametrize("compress", ["none", "deflate", "lzw"])
@@ -109,7 +109,7 @@ def test_a_failed_write_leaves_nothing(spark, cells):
     bad = tiff.tiles_of(cells, ["a"], 16).selectExpr("layer", "row", "col", "if(row > 16, height + 1, height) as height", "width", "bands")
     with pytest.raises(Exception, match="reshape"):
         bad.write.format("tiff").mode("append").options(path=path).save()
-    files, root = tiff.opened(path)
+    files, root = commits.opened(path)
     assert [f.path for f in files.get_file_info(fs.FileSelector(root, recursive=True)) if f.is_file] == []
     with pytest.raises(Exception, match="FileNotFound|not found|NotFound"):
         spark.read.format("tiff").option("path", path + "-none").load().count()
