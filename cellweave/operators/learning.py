@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .cuts import cut
+
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
@@ -426,7 +428,8 @@ def kriged(stations: DataFrame, grid: DataFrame, period: str = "period", least:
         out[period] = str(key[0])
         return out
 
-    solved = stations.select(F.col(period).cast("string").alias(period), "x", "y", "value").groupBy(period).applyInPandas(keyed, schema)
+    solved = cut(stations.select(F.col(period).cast("string").alias(period), "x", "y", "value").groupBy(period).applyInPandas(keyed, schema))
+    held = solved.agg(F.coalesce(F.sum(F.size("w")), F.lit(0))).first()[0]
     pairs = F.arrays_zip("sx", "sy", "w")
 
     def term(s):
@@ -434,8 +437,8 @@ def kriged(stations: DataFrame, grid: DataFrame, period: str = "period", least:
         t = F.least(h / F.col("reach"), F.lit(1.0))
         return s["w"] * F.when(h > 0, F.col("nugget") + F.col("sill") * (1.5 * t - 0.5 * t * t * t)).otherwise(0.0)
 
-    # periods are rows of a calendar, each with its few stations in arrays
-    return grid.crossJoin(F.broadcast(solved)).select(period, "row", "col", (F.col("base") + F.aggregate(F.transform(pairs, term), F.lit(0.0), lambda a, b: a + b)).alias("value"))
+    # every cell has a value for every period; weights of up to a million stations are some 24 MB
+    return grid.crossJoin(F.broadcast(solved) if held <= 1_000_000 else solved).select(period, "row", "col", (F.col("base") + F.aggregate(F.transform(pairs, term), F.lit(0.0), lambda a, b: a + b)).alias("value"))
 
 
 def wetness(part: pd.DataFrame, size: float) -> pd.DataFrame:

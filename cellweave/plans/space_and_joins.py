@@ -77,42 +77,43 @@ def median_imputed(spark, sf):
     return grid.median_filled(c, cell_rows(spark, sf), COLUMNS)
 
 
-@query(f"SELECT t.row, t.col, c.value FROM (SELECT x::INT AS row, y::INT AS col FROM range(20) a(x), range(20) b(y)) t LEFT JOIN {CELLS_SQL} c ON c.row = floor(t.row * 1.2::DOUBLE + 0.3::DOUBLE + 0.5::DOUBLE) AND c.col = floor(t.col * 1.5::DOUBLE + 0.5::DOUBLE)")
-def nearest_resample(spark, sf):
-    return grid.resample_nearest(cells(spark, sf).select("row", "col", "value"), grid.grid(spark, 20, 20), F.col("row") * 1.2 + 0.3, F.col("col") * 1.5)
-
-
-@query(f"""SELECT t.row, t.col, round(sum(c.value * w) / sum(CASE WHEN c.value IS NOT NULL THEN w END), 5) AS value FROM
-  (SELECT a.row, a.col, floor(a.fr) + i AS r, floor(a.fc) + j AS c, (1 - abs(a.fr - floor(a.fr) - i)) * (1 - abs(a.fc - floor(a.fc) - j)) AS w FROM
-    (SELECT x::INT AS row, y::INT AS col, x * 0.7::DOUBLE + 0.2::DOUBLE AS fr, y * 1.3::DOUBLE + 0.4::DOUBLE AS fc FROM range(20) a(x), range(20) b(y)) a, range(2) i(i), range(2) j(j)) t
-  LEFT JOIN {CELLS_SQL} c ON c.row = t.r AND c.col = t.c GROUP BY ALL""")
-def bilinear_resample(spark, sf):
-    out = grid.resample_kernel(cells(spark, sf).select("row", "col", "value"), grid.grid(spark, 20, 20), F.col("row") * 0.7 + 0.2, F.col("col") * 1.3 + 0.4)
-    return out.withColumn("value", r("value", 5))
-
-
 #: Heights of the targets whose cells reach over the whole source: 1.2 t + 0.8 below its rows, 0.7 t + 0.2 up to its last row.
 NEAREST_ROWS_SQL, BILINEAR_ROWS_SQL = f"(10 * {LAST_ROW_SQL} + 13) // 12", f"(10 * {LAST_ROW_SQL} - 2) // 7 + 1"
 NEAREST_COLUMNS, BILINEAR_COLUMNS = (10 * COLUMNS + 9) // 15, (10 * COLUMNS - 14) // 13 + 1
 
 
-@query(f"""SELECT t.row, t.col, c.value FROM (SELECT x::INT AS row, y::INT AS col FROM (SELECT unnest(range({NEAREST_ROWS_SQL})) AS x), range({NEAREST_COLUMNS}) b(y)) t
-  LEFT JOIN {CELLS_SQL} c ON c.row = floor(t.row * 1.2::DOUBLE + 0.3::DOUBLE + 0.5::DOUBLE) AND c.col = floor(t.col * 1.5::DOUBLE + 0.5::DOUBLE)""")
+NEAREST_SQL = f"""SELECT t.row, t.col, c.value FROM (SELECT x::INT AS row, y::INT AS col FROM (SELECT unnest(range({NEAREST_ROWS_SQL})) AS x), range({NEAREST_COLUMNS}) b(y)) t
+  LEFT JOIN {CELLS_SQL} c ON c.row = floor(t.row * 1.2::DOUBLE + 0.3::DOUBLE + 0.5::DOUBLE) AND c.col = floor(t.col * 1.5::DOUBLE + 0.5::DOUBLE)"""
+BILINEAR_SQL = f"""SELECT t.row, t.col, round(sum(c.value * w) / sum(CASE WHEN c.value IS NOT NULL THEN w END), 5) AS value FROM
+  (SELECT a.row, a.col, floor(a.fr) + i AS r, floor(a.fc) + j AS c, (1 - abs(a.fr - floor(a.fr) - i)) * (1 - abs(a.fc - floor(a.fc) - j)) AS w FROM
+    (SELECT x::INT AS row, y::INT AS col, x * 0.7::DOUBLE + 0.2::DOUBLE AS fr, y * 1.3::DOUBLE + 0.4::DOUBLE AS fc FROM (SELECT unnest(range({BILINEAR_ROWS_SQL})) AS x), range({BILINEAR_COLUMNS}) b(y)) a, range(2) i(i), range(2) j(j)) t
+  LEFT JOIN {CELLS_SQL} c ON c.row = t.r AND c.col = t.c GROUP BY ALL"""
+
+
+@query(NEAREST_SQL)
 def nearest_resample_whole(spark, sf):
     target = grid.grid(spark, (10 * cell_rows(spark, sf) + 3) // 12, NEAREST_COLUMNS)
     return grid.resample_nearest(cells(spark, sf).select("row", "col", "value"), target, F.col("row") * 1.2 + 0.3, F.col("col") * 1.5)
 
 
-@query(f"""SELECT t.row, t.col, round(sum(c.value * w) / sum(CASE WHEN c.value IS NOT NULL THEN w END), 5) AS value FROM
-  (SELECT a.row, a.col, floor(a.fr) + i AS r, floor(a.fc) + j AS c, (1 - abs(a.fr - floor(a.fr) - i)) * (1 - abs(a.fc - floor(a.fc) - j)) AS w FROM
-    (SELECT x::INT AS row, y::INT AS col, x * 0.7::DOUBLE + 0.2::DOUBLE AS fr, y * 1.3::DOUBLE + 0.4::DOUBLE AS fc FROM (SELECT unnest(range({BILINEAR_ROWS_SQL})) AS x), range({BILINEAR_COLUMNS}) b(y)) a, range(2) i(i), range(2) j(j)) t
-  LEFT JOIN {CELLS_SQL} c ON c.row = t.r AND c.col = t.c GROUP BY ALL""")
+@query(BILINEAR_SQL)
 def bilinear_resample_whole(spark, sf):
     target = grid.grid(spark, (10 * cell_rows(spark, sf) - 12) // 7 + 1, BILINEAR_COLUMNS)
     out = grid.resample_kernel(cells(spark, sf).select("row", "col", "value"), target, F.col("row") * 0.7 + 0.2, F.col("col") * 1.3 + 0.4)
     return out.withColumn("value", r("value", 5))
 
 
+# the names of the queries that took a part of the source before
+@query(NEAREST_SQL)
+def nearest_resample(spark, sf):
+    return nearest_resample_whole(spark, sf)
+
+
+@query(BILINEAR_SQL)
+def bilinear_resample(spark, sf):
+    return bilinear_resample_whole(spark, sf)
+
+
 @query(f"SELECT floor((col + 0.5::DOUBLE) / 5)::BIGINT AS bx, floor((row + 0.5::DOUBLE) / 5)::BIGINT AS by, round(avg(value), 6) AS mean, count(value)::BIGINT AS n FROM {CELLS_SQL} GROUP BY ALL")
 def grid_bin_mean(spark, sf):
     points = cells(spark, sf).select((F.col("col") + 0.5).alias("x"), (F.col("row") + 0.5).alias("y"), "value")
