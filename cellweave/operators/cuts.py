@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,10 @@ def shared_folder(spark: SparkSession) -> None:
         return
     if named is None and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cellweave-"))
+    if named is None:
+        named = tempfile.mkdtemp(prefix="cellweave-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    context.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:
