@@ -1,12 +1,17 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
-Vectors are scaled by the largest norm and get one more component that makes
-all norms 1, so the largest inner product is the smallest Euclidean distance.
-Each of `tables` tables cuts `k` Gaussian projections into cells of width
+Vectors are dealt by norm to bands, each scaled by the largest norm in it, and get
+one more component that makes all norms 1, so within a band the largest inner
+product is the smallest Euclidean distance, and a few long vectors don't shrink
+the others. A band spans a factor of 2, or as much more as leaves no more than
+`BANDS` of them; a query visits the same cells in each. Each of `tables` tables cuts `k` Gaussian projections into cells of width
 `width`. k follows from the number of vectors, so that a bucket holds a falling
 share of them. A query visits its own buckets and, over all tables in the order
 of the estimated chance of success (the sum of squared distances to the cell
-borders crossed), the likeliest perturbed ones, `probes` a table on average.
+borders crossed), the likeliest perturbed ones, `probes` a table on average. If
+not given, `probes` is the least of a rising series at which `RECALL` of the true
+neighbours of `SAMPLE` queries lie in visited buckets; their true neighbours come
+from one pass over all vectors.
 What the tables find is merged and reranked by the inner product of the original
 vectors in double precision.
 
@@ -43,6 +48,11 @@ from pyspark.sql import functions as F
 from .common import forget, importable, is_empty, small, store
 
 
+BANDS = 8
+SAMPLE, RECALL = 100, 0.93
+PROBES = (20, 40, 80, 120, 180, 270, 400, 600, 900, 1350, 2000)
+
+
 def perturbations(k: int, most: int) -> np.ndarray:
     """Sets of ranks of the 2k border distances of k cells, sorted: at most `most` of them, likeliest first, padded with -1.
 
@@ -64,9 +74,19 @@ def perturbations(k: int, most: int) -> np.ndarray:
     return np.array([[*ranks, *[-1] * (width - len(ranks))] for ranks in found], np.int64)
 
 
+def bands_of(exponents: list[int], most: int = BANDS) -> tuple[int, list[int]]:
+    """(width, bands): powers of two that a band spans, and the bands that hold any of the given exponents."""
+    width = 1
+    while len(found := sorted({e // width for e in exponents})) > most:
+        width *= 2
+    return width, found
+
+
 class Hashing:
-    def __init__(self, scale: float, tables: int = 8, k: int = 8, width: float = 2.5, probes: int = 80, seed: int = 11) -> None:
-        self.scale, self.tables, self.k, self.width, self.probes, self.seed = scale, tables, k, width, probes, seed
+    """scales: the largest norm of each band; width_of_band: powers of two that a band spans."""
+
+    def __init__(self, scales: dict[int, float], width_of_band: int = 1, tables: int = 8, k: int = 8, width: float = 2.5, probes: int = 80, seed: int = 11) -> None:
+        self.scales, self.band_width, self.tables, self.k, self.width, self.probes, self.seed = scales, width_of_band, tables, k, width, probes, seed
         self.sets = perturbations(k, 2 * probes)
         self._planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -77,18 +97,16 @@ class Hashing:
             self._planes[length] = rng.normal(size=(length + 1, self.tables * self.k)), rng.uniform(0, self.width, self.tables * self.k)
         return self._planes[length]
 
-    def cells(self, vectors: np.ndarray, query: bool) -> np.ndarray:
+    def cells(self, scaled: np.ndarray, rest: np.ndarray) -> np.ndarray:
         """(n, tables, k) of positions in cell widths."""
-        norms = np.linalg.norm(vectors, axis=1)
-        scaled = vectors / (norms[:, None] if query else self.scale)
-        rest = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0, 1 - (norms / self.scale) ** 2))
-        a, b = self.planes(vectors.shape[1])
-        return ((np.column_stack([scaled, rest]) @ a + b) / self.width).reshape(len(vectors), self.tables, self.k)
-
-    def keys(self, cells: np.ndarray, table: np.ndarray, length: int) -> np.ndarray:
-        """A 63-bit key of (table, length, cells)."""
+        a, b = self.planes(scaled.shape[1])
+        return ((np.column_stack([scaled, rest]) @ a + b) / self.width).reshape(len(scaled), self.tables, self.k)
+
+    def keys(self, cells: np.ndarray, table: np.ndarray, length: int, band: np.ndarray) -> np.ndarray:
+        """A 63-bit key of (table, length, band, cells)."""
         with np.errstate(over="ignore"):
             h = (table.astype(np.uint64) * np.uint64(1000003) + np.uint64(length + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            h = h ^ (band.astype(np.int64).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             for j in range(self.k):
                 h = (h ^ cells[..., j].astype(np.uint64)) * np.uint64(0x100000001B3)
                 h ^= h >> np.uint64(29)
@@ -96,12 +114,15 @@ class Hashing:
 
     def own(self, vectors: np.ndarray) -> np.ndarray:
         """(n, tables): the bucket of each vector."""
-        cells = np.floor(self.cells(vectors, False)).astype(np.int64)
-        return self.keys(cells, np.broadcast_to(np.arange(self.tables), cells.shape[:2]), vectors.shape[1])
+        norms = norms_of(vectors)
+        band = exponents_of(norms) // self.band_width
+        scale = np.array([self.scales[b] for b in band.tolist()])
+        cells = np.floor(self.cells(vectors / scale[:, None], np.sqrt(np.maximum(0, 1 - (norms / scale) ** 2)))).astype(np.int64)
+        return self.keys(cells, np.broadcast_to(np.arange(self.tables), cells.shape[:2]), vectors.shape[1], band[:, None])
 
     def probed(self, vectors: np.ndarray) -> np.ndarray:
-        """(n, tables * probes): the buckets a query visits."""
-        n, at = len(vectors), self.cells(vectors, True)
+        """(n, bands * tables * probes): the buckets a query visits."""
+        n, at = len(vectors), self.cells(vectors / norms_of(vectors)[:, None], np.zeros(len(vectors)))
         floor = np.floor(at).astype(np.int64)
         low = at - floor
         distances = np.concatenate([low, 1 - low], 2)  # down, up
@@ -117,7 +138,22 @@ class Hashing:
             r, c = np.nonzero(ranks[:, :, j] >= 0)
             crossed = order[r, table[r, c], ranks[r, c, j]]
             cells[r, c, crossed % self.k] += np.where(crossed < self.k, -1, 1)
-        return self.keys(cells, table, vectors.shape[1])
+        return np.concatenate([self.keys(cells, table, vectors.shape[1], np.array(b)) for b in self.scales], 1)
+
+    def hits(self, query: np.ndarray, true: np.ndarray) -> int:
+        """How many of a query's true neighbours lie in buckets that it visits."""
+        return int(np.isin(self.own(true), self.probed(query[None])[0]).any(1).sum())
+
+
+def norms_of(vectors: np.ndarray) -> np.ndarray:
+    """Lengths, of very long and very short vectors too."""
+    top = np.abs(vectors).max(1)
+    return top * np.linalg.norm(vectors / top[:, None], axis=1)
+
+
+def exponents_of(norms: np.ndarray) -> np.ndarray:
+    """The power of two next below a norm."""
+    return np.frexp(norms)[1].astype(np.int64)
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -251,19 +287,81 @@ def cells_for(n: int) -> int:
     return max(4, round(0.64 * float(np.log2(max(n, 2)))))
 
 
-def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20, tables: int = 8, k: int | None = None, width: float = 2.5, probes: int = 80, block: int = 20000, vec_id: str = "vec_id", vector: str = "vec") -> DataFrame:
+def norm_powers(vectors: DataFrame) -> list:
+    """(e, n, top) rows: how many vectors have a norm of each power of two, and their largest norm."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norms = np.concatenate([np.zeros(0), *[norms_of(matrix) for _, matrix in _by_length(batch.column("vec"))]])
+            e, at = np.unique(exponents_of(norms), return_inverse=True)
+            top = np.zeros(len(e))
+            np.maximum.at(top, at, norms)
+            yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.bincount(at, minlength=len(e))), pa.array(top)], ["e", "n", "top"])
+
+    return vectors.select("vec").mapInArrow(run, "e long, n long, top double").groupBy("e").agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect()  # at most some 2,100 powers
+
+
+def true_neighbours(data: DataFrame, sample: list[tuple[object, np.ndarray]], n: int) -> dict[object, np.ndarray]:
+    """The n nearest vectors of a few queries (id, vector), by one pass over all vectors; each task keeps the nearest of its rows."""
+    shared = data.sparkSession.sparkContext.broadcast(sample)  # SAMPLE vectors
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[float, int, object, np.ndarray]]] = {i: [] for i in range(len(shared.value))}
+        turn = 0
+        for batch in batches:
+            ids = batch.column("vec_id").to_pylist()
+            for rows, matrix in _by_length(batch.column("vec")):
+                for i, (own, vec) in enumerate(shared.value):
+                    if len(vec) != matrix.shape[1]:
+                        continue
+                    scores = matrix @ vec
+                    for j in np.argsort(-scores, kind="stable")[: n + 1]:
+                        if ids[rows[j]] != own:
+                            turn += 1
+                            item = (float(scores[j]), turn, ids[rows[j]], matrix[j])
+                            heapq.heappush(held[i], item) if len(held[i]) < n else heapq.heappushpop(held[i], item)
+        found = [(i, *x) for i, h in held.items() for x in h]
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[4].tolist() for f in found], pa.list_(pa.float64()))], ["i", "score", "vec"])
+
+    rank = F.row_number().over(W.partitionBy("i").orderBy(F.desc("score"), "vec"))
+    rows = data.select("vec_id", "vec").mapInArrow(run, "i int, score double, vec array<double>").withColumn("r", rank).where(F.col("r") <= n).collect()  # n for each query of the sample
+    out: dict[object, list] = {}
+    for r in rows:
+        out.setdefault(sample[r["i"]][0], []).append(r["vec"])
+    return {k: np.array(v) for k, v in out.items()}
+
+
+def enough_probes(hashing_for, sample: list[tuple[object, np.ndarray]], true: dict[object, np.ndarray], recall: float) -> Hashing:
+    """The hashing of the fewest probes of the series that finds so much of the sample's true neighbours, or the last one."""
+    asked = [(v, true[i]) for i, v in sample if i in true]
+    for probes in PROBES:
+        hashing = hashing_for(probes)
+        if sum(hashing.hits(v, t) for v, t in asked) >= recall * sum(len(t) for _, t in asked):
+            break
+    return hashing
+
+
+def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20, tables: int = 8, k: int | None = None, width: float = 2.5, probes: int | None = None, block: int = 20000, vec_id: str = "vec_id", vector: str = "vec", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) for each usable vector that `is_query` picks."""
     importable(vectors.sparkSession)
     fine = store(usable(vectors, vec_id, vector), "vectors")
-    facts = fine.agg(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))).alias("norm"), F.count(F.lit(1)).alias("n")).first()
-    hashing = Hashing(float(facts["norm"] or 1.0), tables, k or cells_for(int(facts["n"])), width, probes)
+    powers = norm_powers(fine)
+    total = sum(r["n"] for r in powers)
+    span, bands = bands_of([r["e"] for r in powers])
+    scales = {b: max(r["top"] for r in powers if r["e"] // span == b) * (1 + 1e-9) for b in bands}
     # more copies of a vector than anyone can have among the nearest take no part
     copies = F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))
     data = store(fine.withColumn("_c", copies).where(F.col("_c") <= n + 1).drop("_c"), "candidates")
     asked = fine.where(is_query)
+    hashing_for = lambda p: Hashing(scales, span, tables, k or cells_for(total), width, p)
+    if probes is None:
+        sample = [(r["vec_id"], np.array(r["vec"], float)) for r in asked.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).collect()]
+        hashing = enough_probes(hashing_for, sample, true_neighbours(data, sample, n), recall)
+    else:
+        hashing = hashing_for(probes)
     groups_of = asked.groupBy("vec").agg(F.min("vec_id").alias("query"))
     queries = store(groups_of, "queries")
-    groups = max(16, -(-int(facts["n"]) * tables // block))
+    groups = max(16, -(-total * tables // block))
     id_kind, vec_kind = dict(fine.dtypes)["vec_id"], dict(fine.dtypes)["vec"]
 
     def hashed(df: DataFrame, name: str, keys) -> DataFrame:
@@ -301,7 +399,7 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20,
     enough = queries.join(found.groupBy("query").agg(F.count(F.lit(1)).alias("_f")), "query", "left").join(lengths, F.size("vec") == F.col("_l"))
     short = store(enough.where(F.coalesce("_f", F.lit(0)) < F.least(F.lit(n + 1), "_n")).select("query", "vec"), "short")
     if not is_empty(short):
-        pieces = max(1, -(-int(facts["n"]) // block))
+        pieces = max(1, -(-total // block))
         everything = data.select(F.pmod(F.xxhash64("vec_id"), F.lit(pieces)).cast("int").alias("g"), F.lit(0).cast("long").alias("key"), "vec_id", "vec")
         again = short.select(F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("g"), F.array(F.lit(0).cast("long")).alias("keys"), "query", "vec")
         exact = best(search_blocks(everything, again, n + 1, pieces), n + 1)
