@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -74,19 +75,34 @@ def perturbations(k: int, most: int) -> np.ndarray:
     return np.array([[*ranks, *[-1] * (width - len(ranks))] for ranks in found], np.int64)
 
 
-def bands_of(exponents: list[int], most: int = BANDS) -> tuple[int, list[int]]:
-    """(width, bands): powers of two that a band spans, and the bands that hold any of the given exponents."""
-    width = 1
-    while len(found := sorted({e // width for e in exponents})) > most:
-        width *= 2
-    return width, found
+@dataclass
+class Bands:
+    """Norms from the largest down: band i holds those of `width` eighths of a power of two below `top`, scaled by the largest in it."""
 
+    top: int
+    width: int
+    scales: dict[int, float]
 
-class Hashing:
-    """scales: the largest norm of each band; width_of_band: powers of two that a band spans."""
+    @classmethod
+    def of(cls, found: list[tuple[int, float]], most: int = BANDS) -> Bands:
+        """The bands of (eighths, largest norm) pairs: a factor of 2 each, or as many times squared as leaves no more than `most`."""
+        top, width = max((e for e, _ in found), default=0), 8
+        while len({(top - e) // width for e, _ in found}) > most:
+            width *= 2
+        scales: dict[int, float] = {}
+        for e, norm in found:
+            scales[(top - e) // width] = max(scales.get((top - e) // width, 0.0), norm * (1 + 1e-9))
+        return cls(top, width, scales)
+
+    def place(self, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The band of each norm, and its scale."""
+        band = (self.top - eighths(norms)) // self.width
+        return band, np.array([self.scales[b] for b in band.tolist()])
 
-    def __init__(self, scales: dict[int, float], width_of_band: int = 1, tables: int = 8, k: int = 8, width: float = 2.5, probes: int = 80, seed: int = 11) -> None:
-        self.scales, self.band_width, self.tables, self.k, self.width, self.probes, self.seed = scales, width_of_band, tables, k, width, probes, seed
+
+class Hashing:
+    def __init__(self, bands: Bands, tables: int = 8, k: int = 8, width: float = 2.5, probes: int = 80, seed: int = 11) -> None:
+        self.bands, self.tables, self.k, self.width, self.probes, self.seed = bands, tables, k, width, probes, seed
         self.sets = perturbations(k, 2 * probes)
         self._planes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -115,8 +131,7 @@ class Hashing:
     def own(self, vectors: np.ndarray) -> np.ndarray:
         """(n, tables): the bucket of each vector."""
         norms = norms_of(vectors)
-        band = exponents_of(norms) // self.band_width
-        scale = np.array([self.scales[b] for b in band.tolist()])
+        band, scale = self.bands.place(norms)
         cells = np.floor(self.cells(vectors / scale[:, None], np.sqrt(np.maximum(0, 1 - (norms / scale) ** 2)))).astype(np.int64)
         return self.keys(cells, np.broadcast_to(np.arange(self.tables), cells.shape[:2]), vectors.shape[1], band[:, None])
 
@@ -138,7 +153,7 @@ class Hashing:
             r, c = np.nonzero(ranks[:, :, j] >= 0)
             crossed = order[r, table[r, c], ranks[r, c, j]]
             cells[r, c, crossed % self.k] += np.where(crossed < self.k, -1, 1)
-        return np.concatenate([self.keys(cells, table, vectors.shape[1], np.array(b)) for b in self.scales], 1)
+        return np.concatenate([self.keys(cells, table, vectors.shape[1], np.array(b)) for b in self.bands.scales], 1)
 
     def hits(self, query: np.ndarray, true: np.ndarray) -> int:
         """How many of a query's true neighbours lie in buckets that it visits."""
@@ -151,9 +166,9 @@ def norms_of(vectors: np.ndarray) -> np.ndarray:
     return top * np.linalg.norm(vectors / top[:, None], axis=1)
 
 
-def exponents_of(norms: np.ndarray) -> np.ndarray:
-    """The power of two next below a norm."""
-    return np.frexp(norms)[1].astype(np.int64)
+def eighths(norms: np.ndarray) -> np.ndarray:
+    """The logarithms of norms, in whole eighths of a power of two."""
+    return np.floor(8 * np.log2(norms)).astype(np.int64)
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -288,17 +303,17 @@ def cells_for(n: int) -> int:
 
 
 def norm_powers(vectors: DataFrame) -> list:
-    """(e, n, top) rows: how many vectors have a norm of each power of two, and their largest norm."""
+    """(e, n, top) rows: how many vectors have a norm of each eighth of a power of two, and their largest norm."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             norms = np.concatenate([np.zeros(0), *[norms_of(matrix) for _, matrix in _by_length(batch.column("vec"))]])
-            e, at = np.unique(exponents_of(norms), return_inverse=True)
+            e, at = np.unique(eighths(norms), return_inverse=True)
             top = np.zeros(len(e))
             np.maximum.at(top, at, norms)
             yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.bincount(at, minlength=len(e))), pa.array(top)], ["e", "n", "top"])
 
-    return vectors.select("vec").mapInArrow(run, "e long, n long, top double").groupBy("e").agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect()  # at most some 2,100 powers
+    return vectors.select("vec").mapInArrow(run, "e long, n long, top double").groupBy("e").agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect()  # at most some 17,000 of them
 
 
 def true_neighbours(data: DataFrame, sample: list[tuple[object, np.ndarray]], n: int) -> dict[object, np.ndarray]:
@@ -347,13 +362,12 @@ def nearest(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", n: int = 20,
     fine = store(usable(vectors, vec_id, vector), "vectors")
     powers = norm_powers(fine)
     total = sum(r["n"] for r in powers)
-    span, bands = bands_of([r["e"] for r in powers])
-    scales = {b: max(r["top"] for r in powers if r["e"] // span == b) * (1 + 1e-9) for b in bands}
+    bands = Bands.of([(r["e"], r["top"]) for r in powers])
     # more copies of a vector than anyone can have among the nearest take no part
     copies = F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))
     data = store(fine.withColumn("_c", copies).where(F.col("_c") <= n + 1).drop("_c"), "candidates")
     asked = fine.where(is_query)
-    hashing_for = lambda p: Hashing(scales, span, tables, k or cells_for(total), width, p)
+    hashing_for = lambda p: Hashing(bands, tables, k or cells_for(total), width, p)
     if probes is None:
         sample = [(r["vec_id"], np.array(r["vec"], float)) for r in asked.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).collect()]
         hashing = enough_probes(hashing_for, sample, true_neighbours(data, sample, n), recall)

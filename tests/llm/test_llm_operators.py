@@ -794,7 +794,7 @@ def test_recall_on_the_small_table(spark):
 
 
 def test_probes_come_in_order_of_success():
-    h = neighbours.Hashing({0: 1.0}, 2, tables=2, k=3, width=1.0, probes=5)
+    h = neighbours.Hashing(neighbours.Bands.of([(-1, 1.0), (0, 1.0)]), tables=2, k=3, width=1.0, probes=5)
     v = np.random.default_rng(0).normal(size=(4, 6))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     own, probed = h.own(v * (1 - 1e-12)), h.probed(v)
@@ -812,8 +812,7 @@ def test_one_long_vector_leaves_the_buckets_of_the_others_alone(spark):
 
     def largest(rows: np.ndarray) -> int:
         powers = neighbours.norm_powers(spark.createDataFrame([(v.tolist(),) for v in rows], "vec array<double>").repartition(3))
-        span, bands = neighbours.bands_of([r["e"] for r in powers])
-        h = neighbours.Hashing({b: max(r["top"] for r in powers if r["e"] // span == b) * (1 + 1e-9) for b in bands}, span, k=neighbours.cells_for(len(rows)))
+        h = neighbours.Hashing(neighbours.Bands.of([(r["e"], r["top"]) for r in powers]), k=neighbours.cells_for(len(rows)))
         return max(np.unique(keys, return_counts=True)[1].max() for keys in h.own(rows).T)
 
     assert largest(x) <= 1.5 * largest(x[:-1]) < len(x) / 2
@@ -825,18 +824,21 @@ def test_one_long_vector_leaves_the_buckets_of_the_others_alone(spark):
 
 
 def test_norms_of_all_sizes_take_few_bands():
-    span, bands = neighbours.bands_of(list(range(-1000, 1000, 7)))
-    assert len(bands) <= neighbours.BANDS and all(e // span in bands for e in range(-1000, 1000, 7))
-    assert neighbours.bands_of([3, 4, -40]) == (1, [-40, 3, 4]) and neighbours.bands_of([]) == (1, [])
+    wide = neighbours.Bands.of([(e, 2.0 ** (e / 8)) for e in range(-8000, 8000, 7)])
+    assert len(wide.scales) <= neighbours.BANDS
+    bands = neighbours.Bands.of([(25, 9.0), (24, 8.5), (18, 5.0), (-293, 1e-11)])
+    assert bands.width == 8 and list(bands.scales) == [0, 39]
+    band, scale = bands.place(np.array([9.0, 5.0, 1e-11]))
+    assert band.tolist() == [0, 0, 39] and np.all(scale >= [9.0, 5.0, 1e-11]) and neighbours.Bands.of([]).scales == {}
     norms = neighbours.norms_of(np.array([[3e200, 4e200], [3e-200, 4e-200], [0.0, 2.0]]))
-    assert np.allclose(norms, [5e200, 5e-200, 2.0], rtol=1e-15) and neighbours.exponents_of(norms)[2] == 2
+    assert np.allclose(norms, [5e200, 5e-200, 2.0], rtol=1e-15) and neighbours.eighths(norms)[2] == 8
 
 
 def test_probes_rise_until_the_sample_is_found():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    hashing = lambda p: neighbours.Hashing({0: 1 + 1e-9, 1: 1 + 1e-9}, 1, 2, 10, probes=p)
+    hashing = lambda p: neighbours.Hashing(neighbours.Bands.of([(-1, 1.0), (0, 1.0)]), 2, 10, probes=p)
     sample = [(i, x[i]) for i in range(30)]
     true = {i: x[np.argsort(-(x @ x[i]))[1:21]] for i in range(30)}
     low, high = (neighbours.enough_probes(hashing, sample, true, r) for r in (0.5, 0.95))
