@@ -50,11 +50,17 @@ def fits(feature: dict, request: dict) -> bool:
 
 
 def cast(value, kind):
-    if value is None or isinstance(value, CASTS[type(kind)]) and not isinstance(value, bool):
+    """A value of a page as a column's type, missing where it doesn't fit."""
+    to = CASTS[type(kind)]
+    if value is None or type(value) is to:
         return value
+    if to is bool:
+        return {"true": True, "false": False}.get(str(value).lower())
+    if to is str:
+        return json.dumps(value) if isinstance(value, (dict, list, bool)) else str(value)
     try:
-        return CASTS[type(kind)](value)
-    except (TypeError, ValueError):
+        return to(value)
+    except (TypeError, ValueError, OverflowError):
         return None
 
 

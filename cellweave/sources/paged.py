@@ -6,7 +6,8 @@
 Each page is a partition. Pages come from a folder of page_<n>.json files (a
 landed copy of the service, as the engine runs without a network) or from a
 subclass that overrides fetch(). Equality and range filters on numbers and text
-are pushed down and applied in the reader, as a service would apply them. `limit`
+are pushed down and applied in the reader, as a service would apply them, to
+values cast by the schema: what doesn't fit a column's type is missing. `limit`
 counts rows that pass them: a page hands out at most so many, and scan() stops
 the whole read there.
 """
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
+from .features import CASTS, cast
+
 
 class Page(InputPartition):
     def __init__(self, number: int) -> None:
@@ -36,6 +39,7 @@ TESTS = {EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: ope
 class PagedReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict[str, str]) -> None:
         self.schema, self.options, self.asked = schema, options, []
+        self.kinds = {f.name: f.dataType for f in schema.fields}
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
@@ -45,8 +49,12 @@ class PagedReader(DataSourceReader):
             else:
                 yield f
 
+    def value(self, row: dict, name: str):
+        """A field as its column's type, missing where it doesn't fit it."""
+        return cast(row.get(name), self.kinds[name]) if type(self.kinds.get(name)) in CASTS else row.get(name)
+
     def passes(self, row: dict) -> bool:
-        return all(row.get(name) is not None and TESTS[kind](row[name], value) for name, kind, value in self.asked)
+        return all((held := self.value(row, name)) is not None and TESTS[kind](held, value) for name, kind, value in self.asked)
 
     def partitions(self) -> list[Page]:
         return [Page(i) for i in range(int(self.options.get("pages") or len(list(Path(self.options["path"]).glob("page_*.json")))))]
@@ -59,7 +67,7 @@ class PagedReader(DataSourceReader):
         most, names = int(self.options.get("limit", 0)), [f.name for f in self.schema.fields]
         kept = filter(self.passes, self.fetch(partition.number))
         for row in itertools.islice(kept, most) if most else kept:
-            yield tuple(row.get(k) for k in names)
+            yield tuple(self.value(row, k) for k in names)
 
 
 class PagedJson(DataSource):

@@ -42,9 +42,11 @@ def ascii_rows(cells: DataFrame, width: int) -> DataFrame:
     return lines.select("row", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda c: F.coalesce(F.try_element_at("m", c), F.lit(NODATA)).cast("string")), " ").alias("value"))
 
 
-def markdown(df: DataFrame, title: str) -> str:
-    """A report table; the caller hands in a profile, a row for each column of a table."""
-    rows = df.collect()
+def markdown(df: DataFrame, title: str, most: int = 10_000) -> str:
+    """A report table; the caller hands in a profile, a row for each column of a table. More than `most` rows are no report, and raise."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows")
     head = f"# {title}\n\n| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns) + "\n"
     return head + "".join("| " + " | ".join("" if v is None else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) + " |\n" for r in rows)
 

@@ -61,6 +61,20 @@ def test_paged_source(spark, tmp_path):
     assert list(reader.pushFilters([paged.EqualTo(("dept",), "A"), paged.GreaterThan(("id",), 1)])) == [] and list(reader.read(paged.Page(1))) == [(3, "A")]
 
 
+def test_paged_values_are_cast_before_they_are_tested(spark, tmp_path):
+    held = [{"id": "7", "dept": 5}, {"id": "x", "dept": None}, {"id": 9.0, "dept": "5"}, {"id": None, "dept": True}, {}]
+    (tmp_path / "page_0.json").write_text(json.dumps(held))
+    paged.register(spark)
+    df = spark.read.format("paged_json").schema("id long, dept string").option("path", str(tmp_path)).load()
+    assert [r["id"] for r in df.where("id > 6").orderBy("id").collect()] == [7, 9] and df.where("id = 7").count() == 1
+    assert df.where("dept = '5'").count() == 2 and df.where("id is null").count() == 3
+
+
+def test_reports_are_short(spark):
+    with pytest.raises(ValueError, match="more than 5 rows"):
+        sinks.markdown(spark.range(6), "Too long", 5)
+
+
 def test_ascii_grid(spark, tmp_path):
     (tmp_path / "dem.asc").write_text("ncols 3\nnrows 2\nxllcorner 0\nyllcorner 0\ncellsize 10\nNODATA_value -9999\n1 2 -9999\n4 5 6\n")
     spark.dataSource.register(AsciiGrid)
