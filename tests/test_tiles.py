@@ -90,3 +90,25 @@ def test_flow_of_no_cells_and_of_one(spark):
     assert tiles.flow(cells.where("false")).count() == 0
     only = tiles.flow(cells, 1.0, 2).collect()
     assert [(x["row"], x["col"], x["level"], x["area"]) for x in only] == [(3, 4, 6.0, 1)]
+
+
+def test_long_level_ways_end_where_the_sql_ends_them(spark, tmp_path):
+    import compare
+    import pandas as pd
+
+    from cellweave.plans.catalog import QUERIES, SQL
+
+    z = np.full((16, 40), 50)  # a level channel of 140 cells with one way out
+    for i in range(2, 14, 4):
+        z[i, 2:38] = z[i + 2, 2:38] = 5
+        z[i + 1, 37] = 5
+        z[i + 3, 2] = 5
+    z[0:2, 2] = 4, 5
+    rows = pd.DataFrame({"p_partkey": np.arange(z.size), "p_size": z.ravel().astype("int32"), "p_retailprice": 1.0})
+    rows.to_parquet(tmp_path / "part.parquet")
+    con, area = compare.connect(str(tmp_path)), {}
+    for name in ("wetness_index", "wetness_index_whole"):
+        found = QUERIES[name](spark, str(tmp_path))
+        assert compare.mismatch(found, con, SQL[name]) is None
+        area[name] = found.where("row = 0 and col = 2").first()["area"]
+    assert area["wetness_index"] < 200 < area["wetness_index_whole"]
