@@ -400,12 +400,14 @@ def fit_variogram(xy: np.ndarray, z: np.ndarray, lags: int = 12) -> tuple[float,
     return best[1:]
 
 
-def kriged(stations: DataFrame, grid: DataFrame, period: str = "period", least: int = 4) -> DataFrame:
+def kriged(stations: DataFrame, grid: DataFrame, period: str = "period", least: int = 4, block: int = 512) -> DataFrame:
     """(period, row, col, value): ordinary kriging of each period's stations (x, y, value) at the grid's cells (row, col, x, y).
 
     Stations of a period are tens of rows and are solved in one pandas group;
-    the dual weights are then sent to the cells, which stay distributed. Fewer
-    than `least` stations leave the period out; a constant field is its mean.
+    the dual weights are then sent to the cells, which are dealt in blocks to as
+    many tasks as a shuffle has, however few files they come from. Fewer than
+    `least` stations leave the period out; a constant field is its mean; a cell
+    without x or y takes the period's base.
     """
     schema = f"{period} string, sx array<double>, sy array<double>, w array<double>, base double, nugget double, sill double, reach double"
 
@@ -430,15 +432,33 @@ def kriged(stations: DataFrame, grid: DataFrame, period: str = "period", least:
 
     solved = cut(stations.select(F.col(period).cast("string").alias(period), "x", "y", "value").groupBy(period).applyInPandas(keyed, schema))
     held = solved.agg(F.coalesce(F.sum(F.size("w")), F.lit(0))).first()[0]
-    pairs = F.arrays_zip("sx", "sy", "w")
-
-    def term(s):
-        h = F.sqrt((F.col("x") - s["sx"]) * (F.col("x") - s["sx"]) + (F.col("y") - s["sy"]) * (F.col("y") - s["sy"]))
-        t = F.least(h / F.col("reach"), F.lit(1.0))
-        return s["w"] * F.when(h > 0, F.col("nugget") + F.col("sill") * (1.5 * t - 0.5 * t * t * t)).otherwise(0.0)
-
+    types, spark = dict(grid.dtypes), grid.sparkSession
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for at in range(0, part.num_rows, block):
+                some = part.slice(at, block)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, some.num_rows], pa.int32()), c) for c in some.columns], names=["rows", "cols", "x", "y"])
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            numbers = lambda c, i, part=part: part.column(c)[i].values.to_numpy(zero_copy_only=False)
+            facts = part.select([period, "base", "nugget", "sill", "reach"]).to_pylist()
+            for i, f in enumerate(facts):
+                x, y, value = numbers("x", i), numbers("y", i), np.zeros(len(part.column("x")[i]))
+                sx, sy, w = (numbers(c, i)[:, None] for c in ("sx", "sy", "w"))
+                for at in range(0, len(w), 64):  # so many stations at once
+                    dx, dy = x - sx[at : at + 64], y - sy[at : at + 64]
+                    h = np.sqrt(dx * dx + dy * dy)
+                    t = np.minimum(h / f["reach"], 1.0)
+                    for term in w[at : at + 64] * np.where(h > 0, f["nugget"] + f["sill"] * (1.5 * t - 0.5 * t * t * t), 0.0):
+                        value += term
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(f[period], pa.string()), len(value)), part.column("rows")[i].values, part.column("cols")[i].values, pa.array(f["base"] + value)], names=[period, "row", "col", "value"])
+
+    cells = grid.select("row", "col", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    blocks = cells.mapInArrow(packed, f"rows array<{types['row']}>, cols array<{types['col']}>, x array<double>, y array<double>").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     # every cell has a value for every period; weights of up to a million stations are some 24 MB
-    return grid.crossJoin(F.broadcast(solved) if held <= 1_000_000 else solved).select(period, "row", "col", (F.col("base") + F.aggregate(F.transform(pairs, term), F.lit(0.0), lambda a, b: a + b)).alias("value"))
+    return blocks.crossJoin(F.broadcast(solved) if held <= 1_000_000 else solved).mapInArrow(filled, f"{period} string, row {types['row']}, col {types['col']}, value double")
 
 
 def wetness(part: pd.DataFrame, size: float) -> pd.DataFrame:

@@ -34,6 +34,17 @@ def test_kriging_is_exact_at_stations_and_constant_for_constants(spark):
     assert all(abs(out["a", i] - values[i]) < 1e-6 for i in range(12)) and all(abs(out["b", i] - 7) < 1e-9 for i in range(12))
 
 
+def test_kriged_cells_are_dealt_to_all_tasks(spark):
+    stations = spark.createDataFrame([(p, float(i % 3), float(i // 3), float((i * k) % 7)) for p, k in (("a", 3), ("b", 5)) for i in range(9)], "period string, x double, y double, value double")
+    cells = spark.range(0, 1500, 1, 1).select((F.col("id") / 40).cast("int").alias("row"), (F.col("id") % 40).cast("int").alias("col"), (F.col("id") / 500).alias("x"), F.when(F.col("id") > 0, F.col("id") % 40 / 13).alias("y"))
+    out = learning.kriged(stations, cells)
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+    found = {(r["period"], r["row"], r["col"]): r["value"] for r in out.collect()}
+    assert len(found) == out.count() == 3000 and found["a", 0, 0] != found["b", 0, 0]
+    some = {(r["period"], r["row"], r["col"]): r["value"] for r in learning.kriged(stations, cells.where("col = 7"), block=1).collect()}
+    assert len(some) == 76 and all(found[k] == v for k, v in some.items())
+
+
 def test_wetness_grows_downhill():
     rows = [(r, c, float(10 - r + abs(c - 2))) for r in range(6) for c in range(5)]
     out = learning.wetness(pd.DataFrame(rows, columns=["row", "col", "value"]), 1.0)
