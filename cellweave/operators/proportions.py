@@ -214,7 +214,7 @@ def chunks(rows: DataFrame, proportions: DataFrame, bag: str, key: str, features
 
 
 def _matrix(rows: list) -> np.ndarray:
-    return np.array([[np.nan if v is None else v for v in r] for r in rows], float)
+    return np.array([np.asarray(r, float) for r in rows])  # None becomes NaN
 
 
 def added(df: DataFrame, run) -> np.ndarray:

@@ -194,3 +194,15 @@ def test_awkward_rows_of_boosting(spark, classes):
     assert all(f == [-1] for t in boosting.fit(flat, "x", "y", 3, "id", rounds=1)[0].trees for f in [t[0].feature])
     with pytest.raises(ValueError):
         boosting.fit(rows.where("false"), "x", "y", 3, "id")
+
+
+def test_letters_are_counted_once_in_whole_texts(spark, tmp_path):
+    from cellweave.plans import learned
+
+    texts = ["", None, "aAá ßß\U0001f600\ne", "\x00su" * 700, "ÃßŸ\u009fß", "dead"]
+    spark.createDataFrame([(i, t, "es" if i < 5 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = learned.letters(spark, str(tmp_path))
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()  # nothing that follows reads the texts again
+    rows = {r["doc_id"]: (r["kind"], r["x"]) for r in found.collect()}
+    assert rows == {i: (2, [(t or "").count(c) / max(1, len(t or "")) for c in learned.LETTERS]) for i, t in enumerate(texts[:5])}
+    assert learned.letters(spark, str(tmp_path)).where("false").count() == 0
