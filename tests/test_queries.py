@@ -52,3 +52,15 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 def test_aggregates_combine_before_the_shuffle(spark, sf):
     text = plan(QUERIES["named_agg"](spark, sf))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_avg" in text
+
+
+def test_features_of_quality_are_written_once(spark, tmp_path):
+    from cellweave.plans import quality_of_models
+
+    texts = ["", None, "A.b\n.Cé..\U0001f600Z", "x" * 50, "..", "ÀÉ AZ\r\n."]
+    spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    found = quality_of_models._quality(spark, str(tmp_path))
+    assert "FileScan" not in plan(found)  # fits and measures don't read the texts again
+    share = lambda t, kept: None if t is None else sum(map(kept, t)) / max(1, len(t))
+    assert {r["doc_id"]: (r["dots"], r["upper"], r["held"]) for r in found.collect()} == {i: (share(t, lambda c: c == "."), share(t, lambda c: "A" <= c <= "Z"), i % 5 == 0) for i, t in enumerate(texts)}
