@@ -507,11 +507,37 @@ def wetness(part: pd.DataFrame, size: float) -> pd.DataFrame:
     return pd.DataFrame({"row": r + r0, "col": c + c0, "twi": twi[keep]})
 
 
-def nearest_of_kind(df: DataFrame, kind: str, key: str, x: str, k: int = 5, block: int = 1024) -> DataFrame:
-    """(kind, key, x, near): the k nearest other rows of the same class, as arrays, nearest first, ties to the smaller key.
+def _nearest(own: np.ndarray, names: np.ndarray, held: np.ndarray, held_names: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, squared distances) of the k nearest held rows of each own row, nearest first, ties to the first held; infinite where a key meets itself.
+
+    Products pick a few rows more than k, whose distances are then taken in full;
+    rows for which rounding could leave one out are compared with all.
+    """
+    most = min(k + 8, len(held))
+    sizes, held_sizes = (own**2).sum(1), (held**2).sum(1)
+    rough = sizes[:, None] + held_sizes - 2 * own @ held.T
+    rough[names[:, None] == held_names] = np.inf
+    near = np.sort(np.argpartition(rough, most - 1, axis=1)[:, :most], axis=1)
+    d = ((held[near] - own[:, None]) ** 2).sum(2)
+    d[names[:, None] == held_names[near]] = np.inf
+    order = np.argsort(d, axis=1, kind="stable")[:, :k]
+    place, best = np.take_along_axis(near, order, 1), np.take_along_axis(d, order, 1)
+    if most < len(held):
+        edge = np.take_along_axis(rough, near, 1).max(1)
+        for i in np.flatnonzero(~(best[:, -1] + 1e-12 * (sizes + held_sizes.max()) < edge)):
+            d = ((held - own[i]) ** 2).sum(1)
+            d[held_names == names[i]] = np.inf
+            place[i] = np.argsort(d, kind="stable")[:k]
+            best[i] = d[place[i]]
+    return place, best
+
+
+def nearest_of_kind(df: DataFrame, kind: str, key: str, x: str, k: int = 5, block: int = 8192) -> DataFrame:
+    """(kind, key, x, near): the k nearest other rows of the same class, as arrays, nearest first, ties to the smaller key; a class's keys are unique.
 
     A class is cut into blocks by hash; each pair of its blocks meets in a task
-    of its own and returns k rows for each of one block's rows.
+    of its own and returns k keys and distances for each of one block's rows.
+    The vectors of the nearest of all blocks are joined to them at the end.
     """
     rows = df.select(F.col(kind).alias("kind"), F.col(key).alias("key"), F.col(x).cast("array<double>").alias("x"))
     counts = rows.groupBy("kind").agg((F.floor(F.count(F.lit(1)) / block) + 1).cast("int").alias("blocks"))
@@ -522,23 +548,28 @@ def nearest_of_kind(df: DataFrame, kind: str, key: str, x: str, k: int = 5, bloc
 
     def meet(part: pa.Table) -> pa.Table:
         side, names = part.column("side").to_numpy(), np.array(part.column("key").to_pylist())
-        matrix = np.stack(part.column("x").to_pylist())
-        held = np.flatnonzero(side == 1)
+        matrix = part.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(side), -1)
+        held, own = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         held = held[np.argsort(names[held], kind="stable")]
-        found: list[tuple[int, float, int]] = []
-        for own in np.flatnonzero(side == 0):
-            d = ((matrix[held] - matrix[own]) ** 2).sum(1)
-            d[names[held] == names[own]] = np.inf
-            found += [(own, d[at], held[at]) for at in np.argsort(d, kind="stable")[:k] if np.isfinite(d[at])]
-        own, near = (pa.array([f[n] for f in found], pa.int64()) for n in (0, 2))
-        return pa.table({"kind": part.column("kind").take(own), "key": part.column("key").take(own), "d": pa.array([f[1] for f in found], pa.float64()), "near_key": part.column("key").take(near), "near": part.column("x").take(near)})
-
-    from pyspark.sql import Window as W
-
-    found = sides.groupBy("kind", "i", "j").applyInArrow(meet, f"kind {types['kind']}, key {types['key']}, d double, near_key {types['key']}, near array<double>")
-    place = F.row_number().over(W.partitionBy("kind", "key").orderBy("d", "near_key"))
-    best = found.withColumn("_n", place).where(F.col("_n") <= k).groupBy("kind", "key").agg(F.array_sort(F.collect_list(F.struct("_n", "near"))).alias("_l"))
-    return rows.join(best.select("kind", "key", F.transform("_l", lambda s: s["near"]).alias("near")), ["kind", "key"], "left")
+        others, other_names, keys = matrix[held], names[held], part.column("key").combine_chunks()
+        offsets, d, near = [np.zeros(1, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+        for at in range(0, len(own) if len(held) else 0, 256):
+            some = own[at : at + 256]
+            place, best = _nearest(matrix[some], names[some], others, other_names, k)
+            there = np.isfinite(best)
+            offsets.append(there.sum(1))
+            d.append(best[there])
+            near.append(held[place[there]])
+        own = own if len(held) else own[:0]
+        found = pa.StructArray.from_arrays([pa.array(np.concatenate(d)), keys.take(pa.array(np.concatenate(near)))], ["d", "near_key"])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(offsets).cumsum(), pa.int32()), found)
+        return pa.table({"kind": part.column("kind").take(pa.array(own)), "key": keys.take(pa.array(own)), "near": lists})
+
+    found = sides.groupBy("kind", "i", "j").applyInArrow(meet, f"kind {types['kind']}, key {types['key']}, near array<struct<d: double, near_key: {types['key']}>>")
+    best = found.groupBy("kind", "key").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("_l"))
+    each = best.select("kind", "key", F.posexplode("_l").alias("_n", "_s")).select("kind", F.col("key").alias("_key"), "_n", F.col("_s.near_key").alias("key")).join(rows, ["kind", "key"])
+    lists = each.groupBy("kind", F.col("_key").alias("key")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "x"))), lambda s: s["x"]).alias("near"))
+    return rows.join(lists, ["kind", "key"], "left")
 
 
 def oversampled(df: DataFrame, kind: str, key: str, x: str, k: int = 5) -> DataFrame:

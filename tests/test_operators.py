@@ -201,3 +201,19 @@ def test_running_sums_and_quantiles_equal_numpy(spark):
         rows = sorted(ordered.running(scores, "s", {"upto": "n"}, descending=down, buckets=7).collect(), key=lambda r: r["s"], reverse=down)
         assert [r["upto"] for r in rows] == list(range(1, len(rows) + 1))
     assert ordered.quantiles(df.limit(0), wanted).collect() == []
+
+
+def test_nearest_of_kind_sends_keys_and_keeps_ties(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(60, 4)) + 1e6, np.ones((40, 4)), [[np.inf, 0.0, 0.0, 0.0]]])  # far from 0, where products round, and many copies
+    df = spark.createDataFrame([(i, "a", v.tolist()) for i, v in enumerate(x)], "id long, kind string, x array<double>")
+    for block in (16, 1000):
+        out = learning.nearest_of_kind(df, "kind", "id", "x", 3, block)
+        met = [line for line in out._jdf.queryExecution().analyzed().toString().splitlines() if "FlatMapGroupsInArrow" in line]
+        assert met and all(line.rsplit("[", 1)[1].count("#") == 3 for line in met)  # one row of keys and distances for a row and a pair of blocks, no vectors
+        near = {r["key"]: r["near"] for r in out.collect()}
+        with np.errstate(invalid="ignore"):
+            for i in range(100):
+                want = sorted((((x[j] - x[i]) ** 2).sum(), j) for j in range(100) if j != i)[:3]
+                assert near[i] == [x[j].tolist() for _, j in want]
+        assert near[100] is None
